@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from skein.llm import exact_dedup
+import public_tokenizers
+
+from skein.llm import bpe, exact_dedup, histogram_shards, mpeg_audio, toxicity
 from skein.llm.common import table
 
 
@@ -10,6 +12,23 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup,)}
+def op2_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_histogram_shards(spark, sf_dir):
+    return histogram_shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ids=False)
+
+
+def op9_mpeg_audio(spark, sf_dir):
+    return mpeg_audio.store_texts(table(spark, sf_dir, "documents"), media=False)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op5_histogram_shards, op6_bpe, op9_mpeg_audio)}
 
 ORACLE = {"op1_exact_dedup": exact_dedup.SQL}
