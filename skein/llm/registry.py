@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skein.llm import bpe, exact_dedup, histogram_shards, mpeg_audio, toxicity
+from skein.llm import bpe, exact_dedup, histogram_shards, mpeg_audio, secrets, tool_calls, toxicity
 from skein.llm.common import table
 
 
@@ -25,10 +25,18 @@ def op6_bpe(spark, sf_dir):
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ids=False)
 
 
+def op7_secrets(spark, sf_dir):
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_mpeg_audio(spark, sf_dir):
     return mpeg_audio.store_texts(table(spark, sf_dir, "documents"), media=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op5_histogram_shards, op6_bpe, op9_mpeg_audio)}
+def op10_tool_calls(spark, sf_dir):
+    return tool_calls.link_tool_calls(*tool_calls.calls_of(table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op5_histogram_shards, op6_bpe, op7_secrets, op9_mpeg_audio, op10_tool_calls)}
 
-ORACLE = {"op1_exact_dedup": exact_dedup.SQL}
+ORACLE = {"op1_exact_dedup": exact_dedup.SQL, "op7_secrets": secrets.SQL, "op10_tool_calls": tool_calls.SQL}
