@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skein.llm import bpe, exact_dedup, histogram_shards, mpeg_audio, secrets, tool_calls, toxicity
+from skein.llm import bpe, exact_dedup, histogram_shards, jaccard_join, mixing, mpeg_audio, secrets, tool_calls, toxicity
 from skein.llm.common import table
 
 
@@ -16,6 +16,14 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_histogram_shards(spark, sf_dir):
     return histogram_shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -37,6 +45,6 @@ def op10_tool_calls(spark, sf_dir):
     return tool_calls.link_tool_calls(*tool_calls.calls_of(table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op5_histogram_shards, op6_bpe, op7_secrets, op9_mpeg_audio, op10_tool_calls)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_jaccard_join, op4_mixing, op5_histogram_shards, op6_bpe, op7_secrets, op9_mpeg_audio, op10_tool_calls)}
 
-ORACLE = {"op1_exact_dedup": exact_dedup.SQL, "op7_secrets": secrets.SQL, "op10_tool_calls": tool_calls.SQL}
+ORACLE = {"op1_exact_dedup": exact_dedup.SQL, "op4_mixing": mixing.SQL, "op7_secrets": secrets.SQL, "op10_tool_calls": tool_calls.SQL}
