@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from skein.llm import bpe, exact_dedup, histogram_shards, jaccard_join, mixing, mpeg_audio, secrets, tool_calls, toxicity
+from skein.llm import bpe, exact_dedup, histogram_shards, jaccard_join, language_id, mixing, mpeg_audio, secrets, tool_calls, toxicity
 from skein.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op7_secrets(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op9_mpeg_audio(spark, sf_dir):
     return mpeg_audio.store_texts(table(spark, sf_dir, "documents"), media=False)
 
@@ -45,6 +49,6 @@ def op10_tool_calls(spark, sf_dir):
     return tool_calls.link_tool_calls(*tool_calls.calls_of(table(spark, sf_dir, "conversations")))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_jaccard_join, op4_mixing, op5_histogram_shards, op6_bpe, op7_secrets, op9_mpeg_audio, op10_tool_calls)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_jaccard_join, op4_mixing, op5_histogram_shards, op6_bpe, op7_secrets, op8_language_id, op9_mpeg_audio, op10_tool_calls)}
 
 ORACLE = {"op1_exact_dedup": exact_dedup.SQL, "op4_mixing": mixing.SQL, "op7_secrets": secrets.SQL, "op10_tool_calls": tool_calls.SQL}

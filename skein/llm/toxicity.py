@@ -8,10 +8,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from skein.llm.common import mix64
 
 ORDERS = (4, 5, 6)
+#: A longer text is scored by its windows of this many characters, which overlap by ``OVERLAP``; the highest counts.
+WINDOW, OVERLAP = 8000, 100
 BITS = 20
 #: Most labelled rows of either class, and most characters in all, that a fit reads.
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 3000, 5000, 40_000_000
@@ -61,6 +64,17 @@ class Model:
     bias: float
 
     def logits(self, texts) -> np.ndarray:
+        windows, owner = [], []
+        for k, text in enumerate(texts):
+            text = text or ""
+            starts = range(0, max(1, len(text) - OVERLAP), WINDOW - OVERLAP) if len(text) > WINDOW else (0,)
+            windows += [text[a : a + WINDOW] for a in starts]
+            owner += [k] * len(starts)
+        out = np.full(len(texts), -np.inf)
+        np.maximum.at(out, owner, self._window_logits(windows))
+        return out
+
+    def _window_logits(self, texts) -> np.ndarray:
         out = np.full(len(texts), self.bias)
         for chunk in _chunks(texts):
             pairs = []
@@ -163,8 +177,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     got = shared.value.scores(cut.column(at).to_pylist())
                     yield pa.RecordBatch.from_arrays([*cut.columns, pa.array(got)], names=[*names, "_score"])
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_score", DoubleType())]))
 
 
