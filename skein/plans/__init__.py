@@ -1,6 +1,6 @@
 """Queries over the driver tables, one module per operator family."""
 
-from skein.plans import grounding
+from skein.plans import grounding, timeline
 from skein.plans.base import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "grounding"]
+__all__ = ["ORACLE", "QUERIES", "grounding", "timeline"]
