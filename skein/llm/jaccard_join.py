@@ -31,9 +31,12 @@ SLICE_BYTES = 6 << 20
 #: Documents of the sample that tells common n-grams, and the documents that make one common.
 #: It steers costs only: which segments a set probes. Results do not depend on it.
 HOT_SAMPLE, HOT_DOCS = 1024, 6
-#: Pairs of a bucket up to which all are tested at once, in the first round and later;
-#: larger buckets are first joined by stars. The last round tests all that is left.
-FEW, ROUNDS = (16, 2000, 2000, 2000), 4
+#: Rounds that resolve buckets locally before the round that tests every pair still open.
+ROUNDS = 3
+#: Most members (n-grams in all) of a bucket that one task holds; larger ones are cut into chunks.
+CHUNK_MEMBERS, CHUNK_DOCS = 4_000_000, 4096
+#: Candidate documents up to which their ids are broadcast to fetch texts; beyond, both sides are shuffled.
+BROADCAST_IDS = 500_000
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -334,53 +337,72 @@ def _meet(batches):
 # -- pairs -------------------------------------------------------------------------
 
 
-def _mark(ids: np.ndarray) -> np.ndarray:
-    return mix64(ids.astype(np.uint64))
+def sketch(members: np.ndarray) -> np.ndarray:
+    """Parities of how many members fall in each of 4 * 2**band cells (64 at least), packed in words.
 
-
-def bucket_pairs(ids: np.ndarray, sizes: np.ndarray, probing: int, label: np.ndarray, few: int | None):
-    """Arrays of rows (a, b) of a bucket to test now; ``label`` are components so far.
-
-    Only pairs of a probe and a member of at most its size and at least 3/4 of it, in
-    different components, can be new links. Where these are ``few`` (None: always) all
-    are given, in blocks; else stars: one probe of each of the four largest components (of the
-    first one while nothing is joined) with the members outside it.
+    The number of cells that differ between two sets is at most the number of members that do,
+    so too many differing cells rule a link out; folding halves together keeps that true.
     """
-    probes = np.arange(probing)
-    sizes = sizes.astype(np.int64)
-    if few is None or probing * len(ids) <= few:
-        blocks = np.array_split(probes, max(1, probing * len(ids) // 500_000))
-    else:
-        names, count = np.unique(label[:probing], return_counts=True)
-        hubs = []
-        for name in names[np.argsort(-count, kind="stable")][: 4 if count.max() > 1 else 1]:
-            mine = probes[label[:probing] == name]
-            hubs.append(mine[np.argmin(_mark(ids[mine]))])
-        blocks = [np.array(hubs)]
-    for block in blocks:
-        r, s = np.repeat(block, len(ids)), np.tile(np.arange(len(ids)), len(block))
-        near = (DEN * np.minimum(sizes[r], sizes[s]) >= NUM * np.maximum(sizes[r], sizes[s])) & (label[r] != label[s])
-        a, b = ids[r[near]], ids[s[near]]
-        yield np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-
-
-def _pairs(few: int | None):
-    def run(batches):
-        for batch in batches:
-            made = [np.zeros((0, 2), dtype=np.int64)]
-            for ids, sizes, probing, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                for pairs in bucket_pairs(np.array(ids), np.array(sizes), probing, np.array(label), few):
-                    made.append(pairs)
-                    if sum(map(len, made)) > 200_000:
-                        yield _pair_rows(np.unique(np.concatenate(made), axis=0))
-                        made = made[:1]
-            yield _pair_rows(np.unique(np.concatenate(made), axis=0))
+    cells = max(64, 4 << band_of(len(members)))
+    count = np.bincount((mix64(members) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((count & 1).astype(np.uint8)).view("<u8")
 
-    return run
+
+def fold(sketches: list[np.ndarray]) -> np.ndarray:
+    """Sketches as rows of one length, that of the shortest."""
+    width = min(len(x) for x in sketches)
+    out = np.zeros((len(sketches), width), dtype=np.uint64)
+    for row, x in zip(out, sketches, strict=True):
+        row[:] = np.bitwise_xor.reduce(x.reshape(-1, width), axis=0)
+    return out
 
 
-def _pair_rows(pairs):
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+def _open(k: int, others: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Those of ``others`` that size and sketch allow to link with ``k``."""
+    n, m = sizes[k], sizes[others]
+    others = others[DEN * np.minimum(n, m) >= NUM * np.maximum(n, m)]
+    apart = np.bitwise_count(rows[others] ^ rows[k]).sum(1)
+    return others[apart <= (n + sizes[others]) * (DEN - NUM) // (DEN + NUM)]
+
+
+def resolve(docs: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], marks: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links among a bucket's members that join its components; pairs of one component are not tested."""
+    order = np.argsort(labels, kind="stable")
+    sizes, rows = np.array([len(x) for x in sets]), fold(marks)
+    names, own = np.unique(labels, return_inverse=True)
+    links = []
+    for i, k in enumerate(order.tolist()):
+        later = order[i + 1 :]
+        for j in _open(k, later[own[later] != own[k]], sizes, rows).tolist():
+            if own[j] != own[k] and linked(sets[k], sets[j]):
+                links.append((int(docs[k]), int(docs[j])))
+                own[own == own[j]] = own[k]
+    return links
+
+
+def _resolve(table: pa.Table) -> pa.Table:
+    docs, first = np.unique(table.column("doc").to_numpy(), return_index=True)
+    table = table.take(pa.array(first))
+    sets = [np.frombuffer(x, dtype="<u8") for x in table.column("members").to_pylist()]
+    marks = [np.frombuffer(x, dtype="<u8") for x in table.column("mark").to_pylist()]
+    links = resolve(docs, table.column("label").to_numpy(), sets, marks) if len(docs) > 1 else []
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def _cross(table: pa.Table) -> pa.Table:
+    """Pairs of a bucket that probes, sizes, components and sketches leave open."""
+    docs, first = np.unique(table.column("doc").to_numpy(), return_index=True)
+    table = table.take(pa.array(first))
+    labels, probe, left = (table.column(c).to_numpy(zero_copy_only=False) for c in ("label", "probe", "left"))
+    sizes, rows = table.column("size").to_numpy(), fold([np.frombuffer(x, dtype="<u8") for x in table.column("mark").to_pylist()])
+    one, two = [], []
+    for k in np.flatnonzero(probe).tolist():
+        others = np.flatnonzero((labels != labels[k]) & (sizes <= sizes[k]) & (~probe | (sizes < sizes[k]) | (np.arange(len(docs)) > k)))
+        others = others[left[others] != left[k]] if left.any() and not left.all() else others
+        for j in _open(k, others, sizes, rows).tolist():
+            one.append(min(docs[k], docs[j]))
+            two.append(max(docs[k], docs[j]))
+    return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
 
 
 def linked(one: np.ndarray, two: np.ndarray) -> bool:
@@ -400,8 +422,9 @@ def _sets_of(words: int):
         for batch in batches:
             for start, length in _slices(batch.column(1)):
                 cut = batch.slice(start, length)
-                sets = [x.astype("<u8").tobytes() for x in shingle_sets(cut.column(1), words)]
-                yield pa.RecordBatch.from_arrays([cut.column(0), pa.array(sets, pa.binary())], names=["doc", "members"])
+                sets = shingle_sets(cut.column(1), words)
+                marks = pa.array([sketch(x).tobytes() for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([cut.column(0), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary()), marks], names=["doc", "members", "mark"])
 
     return run
 
@@ -435,9 +458,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     One pass over the texts sends packed signatures (about 8 bytes each, two for three n-grams)
     to the partition of their key; copies within a map task send one set. A partition sorts its keys
-    and keeps member lists of shared ones, each list once. Candidate pairs are tested on exact
-    sets in rounds: while a bucket still holds several components it gives more pairs, stars
-    first, in the last round every pair left, so no link is lost and no group is squared when a star already joins it.
+    and keeps member lists of shared ones, each list once. Then rounds: every document goes with its
+    exact set to its largest bucket that still holds several components, where links are found and joined
+    at once, so a group is not squared when a few links already join it. The last
+    round tests each pair that is still open in any bucket, sketches first, so no link is lost.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
@@ -452,42 +476,54 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if "Short" not in str(failed) or seed >= 8:
                 raise
             seed += 1
-    buckets = stored(found.where("kind = 2").select("docs", "sizes", "probing").distinct().withColumn("bucket", F.monotonically_increasing_id()), "bucket-lists")
+    lists = found.where("kind = 2").select("docs", "sizes", "probing").distinct().withColumn("bucket", F.monotonically_increasing_id())
+    place = F.arrays_zip("docs", "sizes", F.sequence(F.lit(1), F.size("docs")).alias("pos"))
+    flat = lists.select("bucket", "probing", F.size("docs").alias("width"), F.expr("aggregate(sizes, 0L, (a, x) -> a + x)").alias("load"), F.explode(place).alias("x"))
+    flat = stored(flat.select("bucket", "width", "load", F.col("x.docs").alias("doc"), F.col("x.sizes").cast("long").alias("size"), (F.col("x.pos") <= F.col("probing")).alias("probe")), "buckets-flat")
     edges = stored(found.where("kind = 1").select(F.col("doc").alias("a"), F.col("n").alias("b")), "copies")
-    member = buckets.select(F.explode("docs").alias("doc")).distinct()
-    once = rows.join(member, rows["_id"] == member["doc"], "left_semi")
-    sets = stored(once.mapInArrow(_sets_of(words), "doc long, members binary").dropDuplicates(["doc"]), "sets")
-    tested, round_, labels = None, 0, None
-    while True:
-        last = round_ >= ROUNDS
-        if labels is None:
-            now = buckets.select("docs", "sizes", "probing", F.col("docs").alias("label"))
-        else:
-            flat = buckets.select("bucket", "probing", F.explode(F.arrays_zip("docs", "sizes", F.sequence(F.lit(1), F.size("docs")).alias("pos"))).alias("x"))
-            flat = flat.select("bucket", "probing", F.col("x.docs").alias("doc"), F.col("x.sizes").alias("size"), F.col("x.pos").alias("pos"))
-            named = flat.join(labels, flat["doc"] == labels["node"], "left").select("bucket", "probing", "pos", "doc", "size", F.coalesce("label", "doc").alias("label"))
-            now = named.groupBy("bucket", "probing").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.array_sort(F.collect_list(F.struct("pos", "doc", "size", "label"))).alias("all")).where("lo <> hi")
-            now = now.select(F.col("all.doc").alias("docs"), F.col("all.size").alias("sizes"), "probing", F.col("all.label").alias("label"))
-        pairs = now.mapInArrow(_pairs(None if last else FEW[round_]), "a long, b long").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if pairs.limit(1).count():
-            left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("members").alias("x")), "a")
-            both = left.join(sets.select(F.col("doc").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
-            edges = stored(edges.unionByName(both.mapInArrow(_verify, "a long, b long")), "links")
-            tested = pairs if tested is None else stored(tested.unionByName(pairs), "tested")
-            labels = components(edges)
-        elif round_ == 0:
-            labels = components(edges)  # copies may still be joined
-        if last:
+    member = flat.select("doc").distinct()
+    member = F.broadcast(member) if member.count() <= BROADCAST_IDS else member
+    sets = stored(rows.join(member, rows["_id"] == member["doc"], "left_semi").mapInArrow(_sets_of(words), "doc long, members binary, mark binary"), "sets")
+    labels = components(edges)
+    for round_ in range(ROUNDS + 1):
+        named = flat.join(labels, flat["doc"] == labels["node"], "left").select("bucket", "width", "load", "doc", "size", "probe", F.coalesce("label", "doc").alias("label"))
+        several = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(F.col("bucket").alias("_b"))
+        still = stored(named.join(several, F.col("bucket") == F.col("_b"), "left_semi"), "unresolved")
+        if not still.limit(1).count():
             break
-        round_ = round_ + 1 if pairs.limit(1).count() else ROUNDS
-    discard(sets)
+        new = _settle(still, sets, round_) if round_ < ROUNDS else _exhaust(still, sets)
+        edges = stored(edges.unionByName(new), "links")
+        labels = components(edges)
+        discard(still)
     sizes = found.where("kind = 0").select(F.col("doc").alias("_id"), F.col("n").alias("n_shingles"))
     return sizes.join(labels, sizes["_id"] == labels["node"], "left").select(F.col("_id").alias(id_col), "n_shingles", F.coalesce("label", "_id").alias("component_id"))
 
 
+def _settle(still: DataFrame, sets: DataFrame, round_: int) -> DataFrame:
+    """Links found where every document joins one unresolved bucket (cut into chunks that fit a task).
+
+    In the first round that is its largest; then the one of least hash, where documents with
+    mostly the same buckets meet.
+    """
+    rank = F.col("width").cast("long") if round_ == 0 else F.xxhash64("bucket", F.lit(round_))
+    best = still.groupBy("doc").agg(F.max(F.struct(rank.alias("rank"), "bucket", "width", "load", "label")).alias("x"))
+    chunks = F.greatest(F.ceil(F.col("x.load") / CHUNK_MEMBERS), F.ceil(F.col("x.width") / CHUNK_DOCS))
+    best = best.select("doc", F.col("x.bucket").alias("bucket"), F.col("x.label").alias("label"), F.pmod(F.xxhash64("doc"), chunks).alias("chunk"))
+    return best.join(sets, "doc").select("bucket", "chunk", "doc", "label", "members", "mark").groupBy("bucket", "chunk").applyInArrow(_resolve, "a long, b long")
+
+
+def _exhaust(still: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among all pairs that any bucket leaves open; wide buckets meet chunk by chunk."""
+    marks = still.join(sets.select("doc", "mark"), "doc")
+    chunks = F.ceil(F.col("width") / CHUNK_DOCS)
+    marks = marks.withColumn("chunk", F.pmod(F.xxhash64("doc"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+    marks = marks.select("bucket", F.least("chunk", "other").alias("c0"), F.greatest("chunk", "other").alias("c1"), "doc", "size", "probe", "label", "mark", (F.col("chunk") < F.col("other")).alias("left"))
+    pairs = stored(marks.groupBy("bucket", "c0", "c1").applyInArrow(_cross, "a long, b long").distinct(), "pairs")
+    one = pairs.join(sets.select(F.col("doc").alias("a"), F.col("members").alias("x")), "a")
+    both = one.join(sets.select(F.col("doc").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
+    return both.mapInArrow(_verify, "a long, b long")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its own columns: of each component the row of the smallest id; rows of a null id stay."""
     linked_docs = link_documents(docs, id_col, text_col)
