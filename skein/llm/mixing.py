@@ -12,6 +12,8 @@ DIMS = ("source", "lang", "topic")
 BUDGET, SWEEPS, POWERS = 0.9, 12, {"source": 0.7, "lang": 0.8, "topic": 0.9}
 #: Cells (distinct source, language and topic) up to which they are broadcast to the rows.
 BROADCAST_CELLS = 20_000
+#: Languages and topics up to which their factors are numbers on the driver; beyond, raking joins tables.
+FEW_LABELS = 100
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -61,6 +63,47 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
     return now
 
 
+def _shares(target: DataFrame) -> dict[str, float]:
+    return {r["label"]: r["share"] for r in target.collect()}
+
+
+def _pick(values: dict[str, float], label: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair]), label)
+
+
+def rake_by_source(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+    """What :func:`rake` gives, for few languages and topics (at most ``FEW_LABELS`` each, counted by the caller).
+
+    The weight of a cell is its tokens times a factor of its source, language and topic. One row
+    per source holds the source's few cells, so its factor follows in the row from the others;
+    the factors of languages and topics are sums over all rows, combined on the map side, and
+    only these few numbers come to the driver. Nothing is exchanged or written in a sweep.
+    """
+    packs = stored(cells.groupBy("source").agg(F.collect_list(F.struct("lang", "topic", "tokens")).alias("cells")).join(targets["source"].select(F.col("label").alias("source"), "share"), "source", "left"), "packs")
+    langs, topics = _shares(targets["lang"]), _shares(targets["topic"])
+    total = float(cells.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first().t)
+    b, c = dict.fromkeys(langs, 1.0), dict.fromkeys(topics, 1.0)
+    one = F.lit(None).cast("double")
+
+    def weighted(b0, c0, b1, c1):
+        had = F.aggregate("cells", F.lit(0.0), lambda a, x: a + x["tokens"] * _pick(b0, x["lang"]) * _pick(c0, x["topic"]))
+        factor = F.coalesce(F.try_divide(F.col("share") * F.lit(total), had), F.lit(0.0))
+        rows = packs.select("source", factor.alias("a"), F.explode("cells").alias("x")).select("source", "x.*", "a")
+        return rows.withColumn("weight", F.col("tokens") * F.col("a") * _pick(b1, F.col("lang")) * _pick(c1, F.col("topic"))).drop("a")
+
+    if not langs or not topics:
+        return cells.withColumn("weight", one)
+    last = None
+    for _ in range(sweeps):
+        b0, c0 = b, c
+        sums = {r["lang"]: r["w"] for r in weighted(b0, c0, b, c).groupBy("lang").agg(F.sum("weight").alias("w")).collect()}
+        b = {k: b[k] * langs[k] * total / sums[k] if sums.get(k) else 0.0 for k in b}
+        sums = {r["topic"]: r["w"] for r in weighted(b0, c0, b, c).groupBy("topic").agg(F.sum("weight").alias("w")).collect()}
+        c = {k: c[k] * topics[k] * total / sums[k] if sums.get(k) else 0.0 for k in c}
+        last = (b0, c0, b, c)
+    return weighted(*(last or (b, c, b, c)))
+
+
 def calibrate(cells: DataFrame, budget: float = BUDGET, steps: int = 8) -> DataFrame:
     """``cells`` with ``prob``: proportional to weight per token, at most 1, so that ``budget`` of all tokens is expected.
 
@@ -94,13 +137,15 @@ def mix(docs: DataFrame, powers: dict | None = None, budget: float = BUDGET, see
     unless its probability is 1; rows that repeat an id are drawn together. An empty table gives an empty one.
 
     One pass sums tokens per cell (map-side combined, so a hot source is one row per task);
-    raking works on cells; a second pass joins cells to rows: by broadcast while the cells are
+    raking works on them, one row per source while languages and topics are few; a second pass joins cells to rows: by broadcast while the cells are
     at most ``BROADCAST_CELLS`` (counted first), otherwise by a shuffled join that splits skewed sources.
     """
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("_id"), _label("source").alias("source"), _label("lang").alias("lang"), topic_of(text).alias("topic"), F.regexp_count(text, F.lit(WORDS)).cast("long").alias("tokens"), *[F.col(c).alias(f"_c_{c}") for c in carry])
     cells = stored(rows.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "cells")
-    raked = rake(cells, {d: stored(t, "target") for d, t in power_targets(cells, powers or POWERS).items()})
+    targets = power_targets(cells, powers or POWERS)
+    few = cells.agg(F.greatest(F.count_distinct("lang"), F.count_distinct("topic")).alias("n")).first().n <= FEW_LABELS
+    raked = stored(rake_by_source(cells, targets), "raked") if few else rake(cells, {d: stored(t, "target") for d, t in targets.items()})
     probs = stored(calibrate(raked, budget).select(*[F.col(d).alias(f"_{d}") for d in DIMS], "prob"), "probabilities")
     side = F.broadcast(probs) if probs.count() <= BROADCAST_CELLS else probs.hint("merge")
     same = (F.col("source") == F.col("_source")) & (F.col("lang") == F.col("_lang")) & (F.col("topic") == F.col("_topic"))
