@@ -66,10 +66,8 @@ def parse_clock(text: Column) -> Column:
 
 
 def char_ngrams(text: Column, n: int) -> Column:
-    """Overlapping n-grams of the text without white space; none when it is shorter than ``n``."""
-    flat = F.regexp_replace(text, r"(?U)\s+", "")
-    at = F.sequence(F.lit(1), F.length(flat) - (n - 1))
-    return F.when(F.length(flat) >= n, F.transform(at, lambda i: F.substr(flat, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    """Overlapping n-grams of the text without white space, in order; none when it is shorter than ``n``."""
+    return F.regexp_extract_all(F.regexp_replace(text, r"(?U)\s+", ""), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
 
 
 def keyword_class(token: Column) -> Column:
