@@ -32,7 +32,7 @@ SLICE_BYTES = 6 << 20
 #: It steers costs only: which segments a set probes. Results do not depend on it.
 HOT_SAMPLE, HOT_DOCS = 1024, 6
 #: Rounds that resolve buckets locally before the round that tests every pair still open.
-ROUNDS = 3
+ROUNDS = 4
 #: Most members (n-grams in all) of a bucket that one task holds; larger ones are cut into chunks.
 CHUNK_MEMBERS, CHUNK_DOCS = 4_000_000, 4096
 #: Candidate documents up to which their ids are broadcast to fetch texts; beyond, both sides are shuffled.
@@ -491,25 +491,33 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         still = stored(named.join(several, F.col("bucket") == F.col("_b"), "left_semi"), "unresolved")
         if not still.limit(1).count():
             break
-        new = _settle(still, sets, round_) if round_ < ROUNDS else _exhaust(still, sets)
-        edges = stored(edges.unionByName(new), "links")
+        if round_ < ROUNDS:
+            new, together = _settle(still, sets, round_)
+            edges = stored(edges.unionByName(new), "links")
+            met = still.join(together, "doc").groupBy("bucket").agg(F.min("place").alias("lo"), F.max("place").alias("hi"))
+            tested = met.where("lo = hi").select(F.col("bucket").alias("_t"))  # its members met in one task: every pair is settled
+            flat = stored(still.join(tested, F.col("bucket") == F.col("_t"), "left_anti").select("bucket", "width", "load", "doc", "size", "probe"), "buckets-flat")
+        else:
+            edges = stored(edges.unionByName(_exhaust(still, sets)), "links")
         labels = components(edges)
         discard(still)
     sizes = found.where("kind = 0").select(F.col("doc").alias("_id"), F.col("n").alias("n_shingles"))
     return sizes.join(labels, sizes["_id"] == labels["node"], "left").select(F.col("_id").alias(id_col), "n_shingles", F.coalesce("label", "_id").alias("component_id"))
 
 
-def _settle(still: DataFrame, sets: DataFrame, round_: int) -> DataFrame:
-    """Links found where every document joins one unresolved bucket (cut into chunks that fit a task).
+def _settle(still: DataFrame, sets: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
+    """Links found where every document joins one unresolved bucket, and (doc, place) of who met where.
 
-    In the first round that is its largest; then the one of least hash, where documents with
-    mostly the same buckets meet.
+    In the first round that is its largest bucket; then the one of least hash, where documents
+    with mostly the same buckets meet. A bucket is cut into chunks that fit a task.
     """
     rank = F.col("width").cast("long") if round_ == 0 else F.xxhash64("bucket", F.lit(round_))
     best = still.groupBy("doc").agg(F.max(F.struct(rank.alias("rank"), "bucket", "width", "load", "label")).alias("x"))
     chunks = F.greatest(F.ceil(F.col("x.load") / CHUNK_MEMBERS), F.ceil(F.col("x.width") / CHUNK_DOCS))
-    best = best.select("doc", F.col("x.bucket").alias("bucket"), F.col("x.label").alias("label"), F.pmod(F.xxhash64("doc"), chunks).alias("chunk"))
-    return best.join(sets, "doc").select("bucket", "chunk", "doc", "label", "members", "mark").groupBy("bucket", "chunk").applyInArrow(_resolve, "a long, b long")
+    best = stored(best.select("doc", F.struct(F.col("x.bucket").alias("bucket"), F.pmod(F.xxhash64("doc"), chunks).alias("chunk")).alias("place"), F.col("x.label").alias("label")), "places")
+    side = F.broadcast(best) if best.count() <= BROADCAST_IDS else best
+    links = sets.join(side, "doc").select("place", "doc", "label", "members", "mark").groupBy("place").applyInArrow(_resolve, "a long, b long")
+    return links, best.select("doc", "place")
 
 
 def _exhaust(still: DataFrame, sets: DataFrame) -> DataFrame:
