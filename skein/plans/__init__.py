@@ -1,6 +1,6 @@
 """Queries over the driver tables, one module per operator family."""
 
-from skein.plans import grounding, matching, rules, timeline
+from skein.plans import aggregates, grounding, matching, rules, timeline
 from skein.plans.base import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "grounding", "matching", "rules", "timeline"]
+__all__ = ["ORACLE", "QUERIES", "aggregates", "grounding", "matching", "rules", "timeline"]
