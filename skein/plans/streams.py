@@ -7,7 +7,7 @@ from skein.streaming import events as S
 
 
 def _log(spark, folder):
-    return S.read_log(spark, f"{folder}/events.parquet")
+    return S.read_log(spark, f"{folder}/events.parquet*")
 
 
 @query("stream_status", "SELECT event_id, user_id, value FROM events WHERE event_type = 'error'")

@@ -17,7 +17,7 @@ SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, valu
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Stage events as a stream: run (user), stage (type) and event time."""
+    """Stage events as a stream: run (user), stage (type) and event time. ``path`` is a folder or a pattern of files."""
     events = spark.readStream.schema(SCHEMA).parquet(path)
     return events.withColumn("at", F.col("ts").cast("timestamp"))
 
