@@ -32,10 +32,11 @@ SLICE_BYTES = 6 << 20
 #: It steers costs only: which segments a set probes. Results do not depend on it.
 HOT_SAMPLE, HOT_DOCS = 1024, 6
 #: Rounds that resolve buckets locally before the round that tests every pair still open.
-ROUNDS = 4
+ROUNDS = 3
 #: Most members (n-grams in all) of a bucket that one task holds; larger ones are cut into chunks.
 CHUNK_MEMBERS, CHUNK_DOCS = 4_000_000, 4096
-#: Candidate documents up to which their ids are broadcast to fetch texts; beyond, both sides are shuffled.
+#: Candidate documents up to which their ids, labels and places (24 bytes each) are broadcast;
+#: beyond, they are joined by shuffles.
 BROADCAST_IDS = 500_000
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -476,53 +477,117 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if "Short" not in str(failed) or seed >= 8:
                 raise
             seed += 1
-    lists = found.where("kind = 2").select("docs", "sizes", "probing").distinct().withColumn("bucket", F.monotonically_increasing_id())
-    place = F.arrays_zip("docs", "sizes", F.sequence(F.lit(1), F.size("docs")).alias("pos"))
-    flat = lists.select("bucket", "probing", F.size("docs").alias("width"), F.expr("aggregate(sizes, 0L, (a, x) -> a + x)").alias("load"), F.explode(place).alias("x"))
-    flat = stored(flat.select("bucket", "width", "load", F.col("x.docs").alias("doc"), F.col("x.sizes").cast("long").alias("size"), (F.col("x.pos") <= F.col("probing")).alias("probe")), "buckets-flat")
+    lists = stored(found.where("kind = 2").select("docs", "sizes", "probing").distinct().withColumn("bucket", F.monotonically_increasing_id()), "lists")
     edges = stored(found.where("kind = 1").select(F.col("doc").alias("a"), F.col("n").alias("b")), "copies")
-    member = flat.select("doc").distinct()
-    member = F.broadcast(member) if member.count() <= BROADCAST_IDS else member
-    sets = stored(rows.join(member, rows["_id"] == member["doc"], "left_semi").mapInArrow(_sets_of(words), "doc long, members binary, mark binary"), "sets")
-    labels = components(edges)
+    member = stored(lists.select(F.explode("docs").alias("doc")).distinct(), "members")
+    few = member.count() <= BROADCAST_IDS
+    sets = stored(rows.join(F.broadcast(member) if few else member, rows["_id"] == member["doc"], "left_semi").mapInArrow(_sets_of(words), "doc long, members binary, mark binary"), "sets")
+    labels, places = components(edges), None
     for round_ in range(ROUNDS + 1):
-        named = flat.join(labels, flat["doc"] == labels["node"], "left").select("bucket", "width", "load", "doc", "size", "probe", F.coalesce("label", "doc").alias("label"))
-        several = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(F.col("bucket").alias("_b"))
-        still = stored(named.join(several, F.col("bucket") == F.col("_b"), "left_semi"), "unresolved")
-        if not still.limit(1).count():
+        before, lists = lists, stored(_still_open(lists, labels, places, few), "lists")
+        discard(before)
+        if not lists.limit(1).count():
             break
         if round_ < ROUNDS:
-            new, together = _settle(still, sets, round_)
-            edges = stored(edges.unionByName(new), "links")
-            met = still.join(together, "doc").groupBy("bucket").agg(F.min("place").alias("lo"), F.max("place").alias("hi"))
-            tested = met.where("lo = hi").select(F.col("bucket").alias("_t"))  # its members met in one task: every pair is settled
-            flat = stored(still.join(tested, F.col("bucket") == F.col("_t"), "left_anti").select("bucket", "width", "load", "doc", "size", "probe"), "buckets-flat")
+            places = _places(lists, round_)
+            new = _settle(places, labels, sets, few)
         else:
-            edges = stored(edges.unionByName(_exhaust(still, sets)), "links")
+            new = _exhaust(lists, labels, sets, few)
+        edges = stored(edges.unionByName(new), "links")
         labels = components(edges)
-        discard(still)
     sizes = found.where("kind = 0").select(F.col("doc").alias("_id"), F.col("n").alias("n_shingles"))
     return sizes.join(labels, sizes["_id"] == labels["node"], "left").select(F.col("_id").alias(id_col), "n_shingles", F.coalesce("label", "_id").alias("component_id"))
 
 
-def _settle(still: DataFrame, sets: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
-    """Links found where every document joins one unresolved bucket, and (doc, place) of who met where.
+def _lookup(spark, table: DataFrame, key: str, values: list[str]):
+    """A small table as a broadcast of sorted keys and their values."""
+    got = table.select(key, *values).toArrow()
+    keys = got.column(0).to_numpy()
+    order = np.argsort(keys)
+    return spark.sparkContext.broadcast((keys[order], [got.column(k + 1).to_numpy()[order] for k in range(len(values))]))
+
+
+def _found(shared, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in the broadcast keys, which of ``wanted`` are there)."""
+    keys = shared.value[0]
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def _still_open(lists: DataFrame, labels: DataFrame, places: DataFrame | None, few: bool) -> DataFrame:
+    """The buckets that hold several components and whose members did not all meet in one place of the last round."""
+    spark = lists.sparkSession
+    if not few:
+        flat = lists.select("bucket", F.explode("docs").alias("doc"))
+        flat = flat.join(labels, flat["doc"] == labels["node"], "left").select("bucket", "doc", F.coalesce("label", "doc").alias("label"))
+        meet = F.lit(False)
+        if places is not None:
+            flat = flat.join(places, "doc", "left").select("bucket", "label", F.struct("at", "chunk").alias("place"))
+            meet = F.bool_and(F.col("place.at").isNotNull()) & (F.min("place") == F.max("place"))
+        left = flat.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("several"), meet.alias("met")).where("several AND NOT met")
+        return lists.join(left, "bucket", "left_semi").select("docs", "sizes", "probing", "bucket")
+    named = _lookup(spark, labels, "node", ["label"])
+    placed = None if places is None else _lookup(spark, places, "doc", ["at", "chunk"])
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = batch.column(0)
+            docs, cuts = column.flatten().to_numpy(), column.offsets.to_numpy()
+            starts = cuts[:-1] - cuts[0]
+            at, there = _found(named, docs)
+            label = np.where(there, named.value[1][0][at], docs) if there.any() else docs
+            keep = np.minimum.reduceat(label, starts) < np.maximum.reduceat(label, starts)
+            if placed is not None:
+                at, there = _found(placed, docs)
+                apart = ~np.logical_and.reduceat(there, starts)
+                for value in placed.value[1]:
+                    mine = value[at] if len(value) else docs
+                    apart |= np.minimum.reduceat(mine, starts) < np.maximum.reduceat(mine, starts)
+                keep &= apart
+            yield batch.filter(pa.array(keep))
+
+    return lists.mapInArrow(run, lists.schema)
+
+
+def _members(lists: DataFrame) -> DataFrame:
+    """One row per bucket and member: bucket, width, load, doc, size, probe."""
+    place = F.arrays_zip("docs", "sizes", F.sequence(F.lit(1), F.size("docs")).alias("pos"))
+    flat = lists.select("bucket", "probing", F.size("docs").alias("width"), F.expr("aggregate(sizes, 0L, (a, x) -> a + x)").alias("load"), F.explode(place).alias("x"))
+    return flat.select("bucket", "width", "load", F.col("x.docs").alias("doc"), F.col("x.sizes").cast("long").alias("size"), (F.col("x.pos") <= F.col("probing")).alias("probe"))
+
+
+def _labelled(rows: DataFrame, labels: DataFrame, few: bool) -> DataFrame:
+    """``rows`` (with doc) and the component of each doc so far."""
+    named = labels.select(F.col("node").alias("_n"), "label")
+    return rows.join(F.broadcast(named) if few else named, F.col("doc") == F.col("_n"), "left").withColumn("label", F.coalesce("label", "doc")).drop("_n")
+
+
+def _places(lists: DataFrame, round_: int) -> DataFrame:
+    """(doc, at, chunk): the open bucket where each document goes in this round, cut into chunks that fit a task.
 
     In the first round that is its largest bucket; then the one of least hash, where documents
-    with mostly the same buckets meet. A bucket is cut into chunks that fit a task.
+    with mostly the same buckets meet.
     """
     rank = F.col("width").cast("long") if round_ == 0 else F.xxhash64("bucket", F.lit(round_))
-    best = still.groupBy("doc").agg(F.max(F.struct(rank.alias("rank"), "bucket", "width", "load", "label")).alias("x"))
+    best = _members(lists).groupBy("doc").agg(F.max(F.struct(rank.alias("rank"), "bucket", "width", "load")).alias("x"))
     chunks = F.greatest(F.ceil(F.col("x.load") / CHUNK_MEMBERS), F.ceil(F.col("x.width") / CHUNK_DOCS))
-    best = stored(best.select("doc", F.struct(F.col("x.bucket").alias("bucket"), F.pmod(F.xxhash64("doc"), chunks).alias("chunk")).alias("place"), F.col("x.label").alias("label")), "places")
-    side = F.broadcast(best) if best.count() <= BROADCAST_IDS else best
-    links = sets.join(side, "doc").select("place", "doc", "label", "members", "mark").groupBy("place").applyInArrow(_resolve, "a long, b long")
-    return links, best.select("doc", "place")
+    return stored(best.select("doc", F.col("x.bucket").alias("at"), F.pmod(F.xxhash64("doc"), chunks).alias("chunk")), "places")
+
+
+def _settle(places: DataFrame, labels: DataFrame, sets: DataFrame, few: bool) -> DataFrame:
+    """Links found among the documents of each place."""
+    side = _labelled(places, labels, few)
+    met = sets.join(F.broadcast(side) if few else side, "doc")
+    return met.select("at", "chunk", "doc", "label", "members", "mark").groupBy("at", "chunk").applyInArrow(_resolve, "a long, b long")
 
 
-def _exhaust(still: DataFrame, sets: DataFrame) -> DataFrame:
+def _exhaust(lists: DataFrame, labels: DataFrame, sets: DataFrame, few: bool) -> DataFrame:
     """Links among all pairs that any bucket leaves open; wide buckets meet chunk by chunk."""
-    marks = still.join(sets.select("doc", "mark"), "doc")
+    marks = _labelled(_members(lists), labels, few).join(sets.select("doc", "mark"), "doc")
     chunks = F.ceil(F.col("width") / CHUNK_DOCS)
     marks = marks.withColumn("chunk", F.pmod(F.xxhash64("doc"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
     marks = marks.select("bucket", F.least("chunk", "other").alias("c0"), F.greatest("chunk", "other").alias("c1"), "doc", "size", "probe", "label", "mark", (F.col("chunk") < F.col("other")).alias("left"))
