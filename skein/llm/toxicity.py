@@ -89,11 +89,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(texts), -40, 40)))
 
 
-def fit_model(texts: list, labels: list[int], prior: float | None = None, least: int = 5, ratio: float = 1.0, rounds: int = 300, ridge: float = 1e-3) -> Model:
+def fit_model(texts: list, labels: list[int], prior: float | None = None, least: int = 3, sure: float = 2.5, rounds: int = 200, ridge: float = 1e-2) -> Model:
     """Fit on texts in memory.
 
-    Buckets in fewer than ``least`` texts, or whose log-count ratio is under ``ratio``, are
-    left out. Logistic loss with a ridge, by gradient steps with per-feature scaling;
+    Buckets in fewer than ``least`` texts, or whose log-count ratio is less than ``sure``
+    standard errors above 0, are left out: evidence for clean text would only add up with length. Logistic loss with a ridge, by gradient steps with per-feature scaling;
     ``prior`` is the share of label 1 among all labelled rows when the sample is stratified.
     """
     y = np.array(labels, dtype=np.float64)
@@ -112,7 +112,7 @@ def fit_model(texts: list, labels: list[int], prior: float | None = None, least:
             seen[k] += np.bincount(pairs[hot == k] & size - 1, minlength=size)
     p, q = seen[1] + 1, seen[0] + 1
     ratios = np.log(p / p.sum()) - np.log(q / q.sum())
-    ratios[(seen.sum(0) < least) | (np.abs(ratios) < ratio)] = 0
+    ratios[(seen.sum(0) < least) | (ratios < sure * np.sqrt(1 / p + 1 / q))] = 0
     pick = np.flatnonzero(ratios)
     if not len(pick):
         return Model(weight, bias0)
