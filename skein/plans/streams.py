@@ -36,7 +36,7 @@ def stream_lifecycle(spark, folder):
 
 @query(
     "stream_staleness",
-    "SELECT user_id, event_id, gap_us / 1e6 AS gap_s FROM (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap_us FROM events) WHERE gap_us > 36000 * 1000000",
+    "SELECT user_id, event_id, gap_us / 1e6 AS gap_s FROM (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap_us FROM events) WHERE gap_us > 36000000000",
 )
 def stream_staleness(spark, folder):
     return S.drain(S.stale_gaps(_log(spark, folder), 36_000), "append")
