@@ -98,6 +98,9 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
 
 # -- allocation --------------------------------------------------------------------
 
+#: Signatures that one probe with a single member is worth; chance of a set without enough units.
+PRICE, RISK = 4.0, 1e-12
+
 
 def units_needed(n: int) -> int:
     """One more than the members in which a set of ``n`` can differ from a linked set of at most its size."""
@@ -113,26 +116,27 @@ def band_of(n: int) -> int:
 def allocate(band: int) -> tuple[int, bool]:
     """(segments, deletions) of a band by least cost; 0 segments: every n-gram is a segment.
 
-    The cost of a set is the signatures it sends plus a price for each probe that has to be a
-    subset of one member (these are the common ones). An allocation is allowed when units fall
-    short of need only beyond seven standard deviations at the band's smallest and largest sizes.
+    The cost of a set is the signatures it sends plus a price for each unit that only a subset
+    of one member can give (these are the common ones). An allocation is allowed when the
+    chance that all members of a set fall in too few segments for the units needed, bounded by
+    C(m, t) * (t / m) ** n, is under ``RISK`` at sizes across the band.
     """
     lo, hi = 1 << band, (2 << band) - 1
-    best = (float(hi + 3.0 * units_needed(hi)), 0, False)
-    for x in (0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0):
+    sizes = (lo, (lo + hi) // 2, hi)
+    best = (sum(n + PRICE * units_needed(n) for n in sizes), 0, False)
+    for x in (0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 2.0, 2.5, 3.0, 4.0):
         m = math.ceil(hi / x)
         for deletions in (False, True):
             cost, safe = 0.0, True
-            for n in (lo, (lo + hi) // 2, hi):
-                load = n / m
+            for n in sizes:
+                load, need = n / m, units_needed(n)
                 none, one = math.exp(-load), load * math.exp(-load)
                 some, more = m * (1 - none), m * (1 - none - one)
-                spread = math.sqrt(m * none * (1 - (1 + load) * none)) * (2 if deletions else 1)
-                need = units_needed(n)
-                units = some + more if deletions else some
-                safe &= units - 7 * spread >= need
-                short = max(0.0, need - more) if not deletions else max(0.0, need - 2 * more)
-                cost += (some + (n - m * one if deletions else 0) + 3.0 * short) / 3
+                few = max(need - 1 - deletions, 0)  # segments that cannot hold the units (a pair in one gives one more)
+                if few:
+                    safe &= few < m and math.lgamma(m + 1) - math.lgamma(few + 1) - math.lgamma(m - few + 1) + n * math.log(few / m) < math.log(RISK)
+                units = 2 * more if deletions else more
+                cost += some + (n - m * one if deletions else 0) + PRICE * max(0.0, need - units)
             if safe and cost < best[0]:
                 best = (cost, m, deletions)
     return best[1], best[2]
