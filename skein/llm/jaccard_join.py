@@ -237,9 +237,9 @@ def _emit(hot: np.ndarray, seed: int, parts: int, words: int):
                     docs.append((ident, n, len(keys), len(rest)))
                     probes.append(keys)
                     others.append(rest)
-                yield _rows(np.zeros(len(ids), np.int32), 0, ids, sizes, None)
+                yield _rows(np.arange(len(ids)) % parts, 0, ids, sizes, None)  # dealt evenly
                 if copies:
-                    yield _rows(np.zeros(len(copies), np.int32), 1, [a for a, _, _ in copies], [b for _, b, _ in copies], None)
+                    yield _rows(np.arange(len(copies)) % parts, 1, [a for a, _, _ in copies], [b for _, b, _ in copies], None)
                 if docs:
                     yield from _pack(docs, probes, others, parts)
 
@@ -248,7 +248,7 @@ def _emit(hot: np.ndarray, seed: int, parts: int, words: int):
 
 def _rows(part, kind, doc, n, blob):
     size = len(part)
-    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(np.full(size, kind, np.int32)), pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(blob, pa.binary()) if blob is not None else pa.nulls(size, pa.binary())], names=["part", "kind", "doc", "n", "blob"])
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(part, dtype=np.int32)), pa.array(np.full(size, kind, np.int32)), pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(blob, pa.binary()) if blob is not None else pa.nulls(size, pa.binary())], names=["part", "kind", "doc", "n", "blob"])
 
 
 def _pack(docs, probes, others, parts):
