@@ -180,7 +180,7 @@ def test_folds():
     assert span["grp"].tolist() == [0, 0, 1, 2]
     words = pd.DataFrame({"clip": 1, "seg_idx": 0, "pos": range(4), "word": ["one", "two.", "three", "four"], "start": [0, 1, 2, 9.0], "end": [1, 2, 3, 10.0]})
     assert folds.resegment()(words)["text"].tolist() == ["one two.", "three", "four"]
-    assert [p[2] for p in folds.split_by_chars("ab。cdef", 0, 20, 8)] == ["ab。", "cd", "ef"]
+    assert [p[2] for p in folds.split_by_chars("ab。cdef", 0, 20, 9)] == ["ab。", "cde", "f"]
     hashes = pd.DataFrame({"clip": 1, "pos": [0, 1, 2], "hi": [0, 0, 2**32 - 1], "lo": [0, 1, 2**32 - 1]})
     assert folds.drift_groups(hashes)["grp"].tolist() == [0, 0, 1]
 
