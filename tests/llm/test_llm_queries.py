@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -24,7 +25,7 @@ def duck():
 def test_query_is_its_sql(spark, duck, name):
     got, want = registry.QUERIES[name](spark, SMALL).toPandas(), duck.execute(registry.ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
-    plain = lambda f: sorted(tuple("" if v is None or v != v else str(float(v)) if isinstance(v, (int, float)) else str(v) for v in r) for r in f[sorted(f.columns)].itertuples(index=False))
+    plain = lambda f: sorted(tuple("" if pd.isna(v) else str(float(v)) if pd.api.types.is_number(v) else str(v) for v in r) for r in f[sorted(f.columns)].itertuples(index=False))
     assert plain(got) == plain(want)
 
 
