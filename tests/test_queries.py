@@ -14,9 +14,9 @@ NAMES = sorted(n for n in entry.QUERIES if n not in ("ngram_vote_offset",))
 
 def rows(frame):
     def cell(v):
-        if v is None or v is pd.NaT or isinstance(v, float) and v != v:
+        if pd.api.types.is_scalar(v) and pd.isna(v):
             return None
-        return float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+        return float(v) if pd.api.types.is_number(v) and not pd.api.types.is_bool(v) else str(v)
 
     frame = frame[sorted(frame.columns)]
     return sorted((tuple(map(cell, r)) for r in frame.itertuples(index=False)), key=repr)
