@@ -102,3 +102,27 @@ def deep_merge(base: dict, override: dict) -> dict:
         elif value is not None:
             out[key] = value
     return out
+
+
+def avchd_clock(content: Column) -> Column:
+    """The recording time in a camcorder stream: the first valid date and time pack behind a metadata mark.
+
+    The bytes are searched as hexadecimal pairs. Behind ``MDPM``, within 256 bytes, a date
+    pack is 18, any, 20, year, month and a time pack 19, day, hour, minute, second, all decimal
+    digits in half-bytes (flag bits in the high ones are masked). No valid pack gives null.
+    """
+    marks = F.regexp_extract_all(F.hex(content), F.lit(r"\G(?:..)*?4D44504D(?=((?:..){10,252}))"), F.lit(1))
+    packs = F.flatten(F.transform(marks, lambda m: F.regexp_extract_all(m, F.lit(r"\G(?:..)*?(?=(18..20....19........)).."), F.lit(1))))
+
+    def digits(pack: Column, at: int, mask: int) -> Column:
+        byte = F.conv(F.substring(pack, 2 * at + 1, 2), 16, 10).cast("int").bitwiseAND(mask)
+        return F.lpad(bcd(byte).cast("string"), 2, "0")
+
+    fields = ((3, 0xFF), (4, 0x1F), (6, 0x3F), (7, 0x3F), (8, 0x7F), (9, 0x7F))
+    stamp = lambda p: F.try_to_timestamp(F.concat(F.lit("20"), *[digits(p, at, mask) for at, mask in fields]), F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
+    return F.get(F.filter(F.transform(packs, stamp), lambda t: t.isNotNull()), F.lit(0))
+
+
+def refine_seconds(claim: Column, mtime: Column) -> Column:
+    """The file's time where it falls in the minute that its name claims, else the claim."""
+    return F.when(F.date_trunc("minute", mtime) == F.date_trunc("minute", claim), mtime).otherwise(claim)

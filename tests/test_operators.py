@@ -197,3 +197,26 @@ def test_late_events_are_left_out(spark, tmp_path):
     sink()
     got = sorted((r.start_s % 86400, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [(0, 1), (7200, 1)]  # event 3 came behind the watermark
+
+
+def test_camcorder_clock(spark):
+    def stream(pack, mark=b"MDPM"):
+        return bytearray(b"\x00\x4d" + mark + b"\x01\x18\x00\x99" + pack + bytes(300))
+
+    good, bad = bytes([0x18, 0xC0, 0x20, 0x24, 0x05, 0x19, 0x26, 0x11, 0x19, 0x42]), bytes([0x18, 0xC0, 0x20, 0x24, 0x13, 0x19, 0x26, 0x11, 0x19, 0x42])
+    rows = [stream(good), stream(bad), stream(good, b"NOPE"), stream(bad + good), bytearray(b"")]
+    got = col(spark, readers.avchd_clock, rows, "binary")
+    assert [None if t is None else str(t) for t in got] == ["2024-05-26 11:19:42", None, None, "2024-05-26 11:19:42", None]
+
+
+def test_pixels(spark):
+    from skein.functions import pixels as P
+
+    assert col(spark, P.mean_hash, [[0.0, 1.0, 2.0, 5.0]], "array<double>") == ["0001"]
+    assert col(spark, lambda c: P.gradient_hash(c, 2), [[0.0, 1.0, 5.0, 2.0]], "array<double>") == ["10"]
+    flat, spike = [1.0] * 16, [0.0] * 5 + [1.0] + [0.0] * 10
+    assert col(spark, lambda c: F.round(P.laplacian_variance(c, 4), 6), [flat, spike], "array<double>") == [0.0, 4.25]
+    same = P.bhattacharyya(P.histogram(F.col("v"), 0.0, 1.0, 4), P.histogram(F.col("v"), 0.0, 1.0, 4))
+    assert col(spark, lambda c: same, [[0.1, 0.6, 0.6, 2.0]], "array<double>")[0] < 1e-6
+    assert col(spark, lambda c: P.polygon_area(c, F.array(F.lit(0.0), F.lit(0.0), F.lit(3.0), F.lit(3.0))), [[0.0, 2.0, 2.0, 0.0]], "array<double>") == [6.0]
+    assert col(spark, lambda c: P.fused_similarity(c, F.lit(0.5)), [None, 1.0], "double") == [None, 0.8]
