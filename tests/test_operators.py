@@ -220,3 +220,44 @@ def test_pixels(spark):
     assert col(spark, lambda c: same, [[0.1, 0.6, 0.6, 2.0]], "array<double>")[0] < 1e-6
     assert col(spark, lambda c: P.polygon_area(c, F.array(F.lit(0.0), F.lit(0.0), F.lit(3.0), F.lit(3.0))), [[0.0, 2.0, 2.0, 0.0]], "array<double>") == [6.0]
     assert col(spark, lambda c: P.fused_similarity(c, F.lit(0.5)), [None, 1.0], "double") == [None, 0.8]
+
+
+def test_markdown(spark):
+    from skein.functions import markdown as M
+
+    note = "---\ntitle: A b\ntier: 2\n---\n# x\n![[a.png|400]] see [[n#s|alias]] and [[m]] ==hot==\n![[b.jpg]]"
+    assert col(spark, lambda c: M.frontmatter(c, "title"), [note, "title: no", ""]) == ["A b", None, None]
+    assert [[tuple(x) for x in r] for r in col(spark, M.image_embeds, [note])] == [[("a.png", 400), ("b.jpg", None)]]
+    assert [[tuple(x) for x in r] for r in col(spark, M.links, [note])] == [[("n", "s", "alias"), ("m", None, None)]]
+    assert col(spark, lambda c: M.plain_links(M.body(c)), [note]) == ["# x\n see alias and m hot\n"]
+    assert col(spark, lambda c: M.cut_at_space(c, 10), ["short", "123456789 12", "12 3456789012"]) == ["short", "123456789", "12 3456789"]
+    assert col(spark, M.json_strings, ['{"k": "v", "l": ["a", 1, {"m": "b\\"c"}]}']) == [["v", "a", 'b\\"c']]
+    assert col(spark, M.table_cells, ["| a | b |", "text"]) == [["a", "b"], None]
+    lines = spark.createDataFrame([(1, 0, "intro"), (1, 1, "## clip 01 — x"), (1, 2, "t"), (1, 3, "## clip 02 — y")], "n int, i int, line string")
+    assert [r.section for r in M.sections(lines, "n", "i", "line", r"^## clip \d+").orderBy("i").collect()] == [0, 1, 1, 2]
+
+
+def test_adapters(spark):
+    from skein.functions import adapters as A
+
+    def weak(paths):
+        if len(paths) > 2:
+            raise MemoryError
+        if "bad" in paths:
+            raise ValueError("broken")
+        return [(p.upper(), 0.5 if p == "low" else 0.9) for p in paths]
+
+    images = spark.createDataFrame([(x,) for x in ("a", "bad", "low", "d", "e")], "image string").coalesce(1)
+    first = A.run_engine(images, weak)
+    second = A.run_engine(images, lambda paths: [("2" + p, 1.0) for p in paths])
+    got = {r.image: (r.text, r.reason) for r in A.with_fallback(first, second).collect()}
+    assert got == {"a": ("A", None), "bad": ("2bad", "error"), "low": ("2low", "low_confidence"), "d": ("D", None), "e": ("E", None)}
+    calls = []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) < 3:
+            raise A.Transient
+        return 7
+
+    assert A.retry(flaky) == 7
