@@ -38,6 +38,9 @@ CHUNK_MEMBERS, CHUNK_DOCS = 4_000_000, 4096
 #: Candidate documents up to which their ids, labels and places (24 bytes each) are broadcast;
 #: beyond, they are joined by shuffles.
 BROADCAST_IDS = 500_000
+#: Bytes of sketches (one bit or two per n-gram of a candidate) up to which they are broadcast to thin the
+#: buckets before any set is sent; beyond, buckets are resolved as they are.
+BROADCAST_SKETCHES = 48 << 20
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -486,6 +489,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     member = stored(lists.select(F.explode("docs").alias("doc")).distinct(), "members")
     few = member.count() <= BROADCAST_IDS
     sets = stored(rows.join(F.broadcast(member) if few else member, rows["_id"] == member["doc"], "left_semi").mapInArrow(_sets_of(words), "doc long, members binary, mark binary"), "sets")
+    weight = sets.agg(F.coalesce(F.sum(F.octet_length("mark")), F.lit(0)).alias("bytes")).first().bytes
+    if few and weight <= BROADCAST_SKETCHES:
+        before, lists = lists, stored(_thinned(lists, sets).distinct().withColumn("bucket", F.monotonically_increasing_id()), "lists")
+        discard(before)
     labels, places = components(edges), None
     for round_ in range(ROUNDS + 1):
         before, lists = lists, stored(_still_open(lists, labels, places, few), "lists")
@@ -557,6 +564,43 @@ def _still_open(lists: DataFrame, labels: DataFrame, places: DataFrame | None, f
     return lists.mapInArrow(run, lists.schema)
 
 
+def split_bucket(sizes: np.ndarray, probing: int, marks: list[np.ndarray]) -> list[np.ndarray]:
+    """A bucket's members by the components of the pairs that probes, sizes and sketches leave possible."""
+    rows, own = fold(marks), np.arange(len(sizes))
+    for k in range(probing):
+        others = np.flatnonzero((own != own[k]) & (sizes <= sizes[k]))
+        for j in _open(k, others, sizes, rows).tolist():
+            if own[j] != own[k]:
+                own[own == own[j]] = own[k]
+    names, count = np.unique(own, return_counts=True)
+    return [np.flatnonzero(own == name) for name in names[count > 1]]
+
+
+def _thinned(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """``lists`` cut into the parts in which links are possible; every link stays within a part."""
+    got = sets.select("doc", "mark").toArrow()
+    docs, first = np.unique(got.column(0).to_numpy(), return_index=True)
+    marks = got.column(1).combine_chunks().take(pa.array(first))
+    flat = np.frombuffer(b"".join(marks.to_pylist()), dtype="<u8")
+    cuts = np.concatenate([[0], np.cumsum(pc.binary_length(marks).to_numpy(zero_copy_only=False) // 8)]).astype(np.int64)
+    shared = lists.sparkSession.sparkContext.broadcast((docs, cuts, flat))
+
+    def run(batches):
+        keys, at, words = shared.value
+        for batch in batches:
+            made: list[list] = [[], [], []]
+            for ids, sizes, probing in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                ids, sizes = ids.values.to_numpy(), sizes.values.to_numpy().astype(np.int64)
+                place = np.searchsorted(keys, ids)
+                for part in split_bucket(sizes, probing, [words[at[p] : at[p + 1]] for p in place.tolist()]):
+                    made[0].append(ids[part])
+                    made[1].append(sizes[part].astype(np.int32))
+                    made[2].append(int((part < probing).sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(made[0], pa.list_(pa.int64())), pa.array(made[1], pa.list_(pa.int32())), pa.array(made[2], pa.int32())], names=["docs", "sizes", "probing"])
+
+    return lists.select("docs", "sizes", "probing").mapInArrow(run, "docs array<long>, sizes array<int>, probing int")
+
+
 def _members(lists: DataFrame) -> DataFrame:
     """One row per bucket and member: bucket, width, load, doc, size, probe."""
     place = F.arrays_zip("docs", "sizes", F.sequence(F.lit(1), F.size("docs")).alias("pos"))

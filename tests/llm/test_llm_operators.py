@@ -143,7 +143,7 @@ def test_jaccard_join_is_brute_force(spark):
 def test_jaccard_join_in_one_exhaustive_round(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
     monkeypatch.setattr(jaccard_join, "CHUNK_DOCS", 7)
-    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)  # every table is joined by shuffles
     rows = list(enumerate(near_copies()))
     got = jaccard_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert set(map(tuple, got)) == brute_links(rows)
@@ -428,3 +428,15 @@ def test_long_chains_and_empty_tables(spark):
     none = spark.createDataFrame([], RESULTS)
     assert sorted((r.turn, r.depth, r.position) for r in tool_calls.link_tool_calls(chain, none).collect()) == [(k, k, k + 1) for k in range(150)]
     assert tool_calls.link_tool_calls(chain.limit(0), none).count() == 0
+
+
+def test_thinned_buckets_keep_every_link():
+    base = np.unique(jaccard_join.mix64(np.arange(0, 400, dtype=np.uint64)))
+    sets = [np.sort(np.concatenate([base[k:], jaccard_join.mix64(np.arange(1000 * k, 1000 * k + 3 * k, dtype=np.uint64) + np.uint64(10**6))])) for k in range(0, 120, 4)]
+    sizes, marks = np.array([len(s) for s in sets]), [jaccard_join.sketch(s) for s in sets]
+    parts = jaccard_join.split_bucket(sizes, len(sets), marks)
+    part_of = {int(i): n for n, part in enumerate(parts) for i in part}
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if jaccard_join.linked(a, b):
+                assert part_of[i] == part_of[j]
