@@ -117,20 +117,20 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results read from plain turns: a user's turn calls a tool, the assistant's answers the turn before.
 
     The tool follows from the turn's length (a share asks for a tool without a schema), and
-    arguments are JSON built from the text; one length in eleven leaves out a required member.
+    arguments are JSON built from the whole text; one length in eleven leaves out a required member.
     """
     n = F.length(F.coalesce("text", F.lit("")))
     asked = conversations.where("role = 'user'")
     name = F.when(n % 13 == 0, "shell").when(n % 3 == 0, "search").when(n % 3 == 1, "count").otherwise("quote")
     arguments = (
         F.when(n % 11 == 0, F.to_json(F.struct(n.alias("limit"))))
-        .when(n % 3 == 0, F.to_json(F.struct(F.substring("text", 1, 20).alias("query"), (n % 10 + 1).alias("limit"))))
-        .when(n % 3 == 1, F.to_json(F.struct(F.lit("word").alias("unit"), F.substring("text", 1, 20).alias("text"))))
-        .when(n % 7 == 0, F.to_json(F.struct(F.substring("text", 1, 20).alias("text"), F.lit("wide").alias("width"))))
-        .otherwise(F.to_json(F.struct(F.substring("text", 1, 20).alias("text"), F.lit(40).alias("width"))))
+        .when(n % 3 == 0, F.to_json(F.struct(F.col("text").alias("query"), (n % 10 + 1).alias("limit"))))
+        .when(n % 3 == 1, F.to_json(F.struct(F.lit("word").alias("unit"), F.col("text").alias("text"))))
+        .when(n % 7 == 0, F.to_json(F.struct(F.col("text").alias("text"), F.lit("wide").alias("width"))))
+        .otherwise(F.to_json(F.struct(F.col("text").alias("text"), F.lit(40).alias("width"))))
     )
     calls = asked.select("conv_id", "turn", call_id(F.col("conv_id"), F.col("turn")).alias("call_id"), name.alias("name"), arguments.alias("arguments"), call_id(F.col("conv_id"), F.col("turn") - 2).alias("after"))
-    results = conversations.where("role = 'assistant'").select("conv_id", "turn", call_id(F.col("conv_id"), F.col("turn") - 1).alias("call_id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("content"))
+    results = conversations.where("role = 'assistant'").select("conv_id", "turn", call_id(F.col("conv_id"), F.col("turn") - 1).alias("call_id"), F.coalesce("text", F.lit("")).alias("content"))
     return calls, results
 
 
@@ -145,14 +145,14 @@ WITH RECURSIVE t AS (SELECT conv_id, turn, role, coalesce(text, '') AS x, length
        'call_' || substr(md5(conv_id || ':' || (turn - 2)), 1, 12) AS after FROM conversations),
 c AS (SELECT *, CASE WHEN n % 13 = 0 THEN 'shell' WHEN n % 3 = 0 THEN 'search' WHEN n % 3 = 1 THEN 'count' ELSE 'quote' END AS name,
        CASE WHEN n % 11 = 0 THEN json_object('limit', n)
-            WHEN n % 3 = 0 THEN json_object('limit', n % 10 + 1, 'query', x[1:20])
-            WHEN n % 3 = 1 THEN json_object('text', x[1:20], 'unit', 'word')
-            WHEN n % 7 = 0 THEN json_object('text', x[1:20], 'width', 'wide')
-            ELSE json_object('text', x[1:20], 'width', 40) END AS arguments
+            WHEN n % 3 = 0 THEN json_object('limit', n % 10 + 1, 'query', x)
+            WHEN n % 3 = 1 THEN json_object('text', x, 'unit', 'word')
+            WHEN n % 7 = 0 THEN json_object('text', x, 'width', 'wide')
+            ELSE json_object('text', x, 'width', 40) END AS arguments
       FROM t WHERE role = 'user'),
 d AS (SELECT cid, 0::BIGINT AS depth FROM c WHERE after NOT IN (SELECT cid FROM c)
       UNION ALL SELECT c.cid, d.depth + 1 FROM c JOIN d ON c.after = d.cid),
-r AS (SELECT conv_id, turn, prior AS cid, sha256(x) AS content FROM t WHERE role = 'assistant'),
+r AS (SELECT conv_id, turn, prior AS cid, x AS content FROM t WHERE role = 'assistant'),
 m AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, c.turn, coalesce(c.cid, r.cid) AS call_id, c.name, r.turn AS result_turn, d.depth, c.arguments, r.content,
        list_sort(CASE c.name WHEN 'search' THEN list_concat({_sql_missing("query")}, {_sql_missing("limit")})
             WHEN 'count' THEN {_sql_missing("text")}
