@@ -107,24 +107,36 @@ def suspect_tokens(spark, folder):
 
 
 HINT_CAP = "greatest(2, length({t}) // 2)"
+HINT_PARTS = 32
 
 
 @query(
     "suspect_hints_topk",
     f"""
 WITH {E.SEGMENTS}, {VOCABULARY},
-pairs AS (SELECT token, w, levenshtein(token, w) AS d FROM suspects JOIN glossary ON abs(length(w) - length(token)) <= {HINT_CAP.format(t="token")} AND left(w, 1) = left(token, 1)),
+pairs AS (SELECT token, w, levenshtein(token, w) AS d FROM suspects JOIN glossary ON abs(length(w) - length(token)) <= {HINT_CAP.format(t="token")}),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY d, d / greatest(length(token), length(w))::DOUBLE, w) AS rank FROM pairs WHERE d > 0 AND d <= {HINT_CAP.format(t="token")})
 SELECT token, w AS hint, d AS distance, rank FROM ranked WHERE rank <= 3
 """,
 )
 def suspect_hints_topk(spark, folder):
-    """Nearest glossary words by capped edit distance, three per suspect; candidates share the first letter and a length band."""
-    found, glossary = _suspects(spark, folder)
+    return hints(*_suspects(spark, folder))
+
+
+def hints(found, glossary):
+    """Nearest glossary words by capped edit distance, three per suspect.
+
+    Every pair of distinct words within the length band meets; a length's suspects are dealt over ``HINT_PARTS`` keys.
+    A letter that the other word lacks costs an edit of its own, so pairs with more such letters than the cap allows
+    are dropped before the distance is computed; the distance is part of the join.
+    """
+    letters = lambda w: F.aggregate(F.split(w, ""), F.lit(0).cast("long"), lambda m, c: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)))
     cap = F.greatest(F.lit(2), F.floor(F.length("token") / 2)).cast("int")
-    terms = glossary.withColumn("first", F.left("w", F.lit(1))).withColumn("n", F.length("w"))
-    left = found.select("token", F.left("token", F.lit(1)).alias("first"), cap.alias("cap")).withColumn("n", F.explode(F.sequence(F.length("token") - F.col("cap"), F.length("token") + F.col("cap"))))
-    pairs = left.join(terms, ["first", "n"]).withColumn("d", F.expr("levenshtein(token, w)")).where("d > 0 and d <= cap")
+    part = F.pmod(F.xxhash64("token"), F.lit(HINT_PARTS)).cast("int")
+    terms = glossary.select("w", F.length("w").alias("n"), letters(F.col("w")).alias("w_letters")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(HINT_PARTS - 1))))
+    left = found.select("token", cap.alias("cap"), part.alias("part"), letters(F.col("token")).alias("letters")).withColumn("n", F.explode(F.sequence(F.length("token") - F.col("cap"), F.length("token") + F.col("cap"))))
+    near = (left["n"] == terms["n"]) & (left["part"] == terms["part"]) & F.expr("CASE WHEN bit_count(letters & ~w_letters) > cap OR bit_count(w_letters & ~letters) > cap OR token = w THEN false ELSE levenshtein(token, w, cap) >= 0 END")
+    pairs = left.join(terms, near).select("token", "w", F.levenshtein("token", "w").alias("d"))
     order = ["d", F.col("d") / F.greatest(F.length("token"), F.length("w")), "w"]
     return top_k(pairs, ["token"], order, 3).select("token", F.col("w").alias("hint"), F.col("d").alias("distance"), "rank")
 
