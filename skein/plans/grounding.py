@@ -144,15 +144,15 @@ def hints(found, glossary):
 @query(
     "corpus_scan_capped",
     f"""
-WITH files AS (SELECT source, left(text, 3000) AS t FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents) WHERE r <= 15)
+WITH files AS (SELECT source, left(text, 300000) AS t FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents) WHERE r <= 15)
 SELECT w AS word, count(DISTINCT source) AS n_books FROM (SELECT source, lower(unnest(regexp_extract_all(t, '{ASCII}'))) AS w FROM files) GROUP BY 1 HAVING count(DISTINCT source) >= 3
 """,
 )
 def corpus_scan_capped(spark, folder):
-    """The feature is a capped scan: 15 files of a book, 3,000 characters of a file; ids are ranked before texts are read."""
+    """The feature is a capped scan: 15 files of a book, 300,000 characters of a file; ids are ranked before texts are read."""
     docs = table(spark, folder, "documents")
     chosen = top_k(docs.select("source", "doc_id"), ["source"], ["doc_id"], 15).select("doc_id")
-    files = docs.join(chosen, "doc_id", "left_semi").select("source", F.left("text", F.lit(3000)).alias("text"))
+    files = docs.join(chosen, "doc_id", "left_semi").select("source", F.left("text", F.lit(300_000)).alias("text"))
     return vocabulary(files).select(F.col("w").alias("word"), "n_books")
 
 

@@ -25,3 +25,10 @@ def test_hints_are_all_pairs(spark):
     table = lambda rows, name: spark.createDataFrame([(r,) for r in rows], f"{name} string")
     assert set(map(tuple, grounding.hints(table(tokens, "token"), table(words, "w")).collect())) == want
     assert {("kardiac", "cardiac", 1, 1), ("fone", "phone", 2, 1)} <= want
+
+
+def test_scan_reads_past_3000_characters(spark, tmp_path):
+    rows = [(k, f"book{k}", "filler " * 1000 + "farword " + "pad " * 73_248 + " beyond") for k in range(3)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.word: r.n_books for r in grounding.corpus_scan_capped(spark, str(tmp_path)).collect()}
+    assert got == {"filler": 3, "farword": 3, "pad": 3}
