@@ -231,15 +231,22 @@ def chunk_coverage(spark, folder):
     return rows.groupBy("clip").agg(F.count(F.lit(1)).alias("n_chunks"), F.expr("(max(end_ms) + 29999) div 30000").alias("expected"), F.bool_and(F.col("nxt").isNull() | (F.col("nxt") == F.col("end_ms"))).alias("contiguous"))
 
 
+#: White space around a text, and ends of lines, as Python's strip() and splitlines() know them.
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+OUTER_SPACE = rf"\A{_SPACE}|{_SPACE}\z"
+LINE_END = r"\r\n|[\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+
+
 @query(
     "time_interleave",
-    f"""WITH {E.SEGMENTS}, {E.SLIDES}, u AS (SELECT clip, start_s * 1000 AS t, 0 AS kind, pos, left(quick_text, 40) AS text FROM slides UNION ALL SELECT clip, start_ms, 1, seg_idx, left(text, 40) FROM segments)
+    f"""WITH {E.SEGMENTS}, {E.SLIDES}, u AS (SELECT clip, start_s * 1000 AS t, 0 AS kind, pos, array_to_string(string_split_regex(regexp_replace(quick_text, '{OUTER_SPACE}', '', 'g'), '{LINE_END}')[1:6], ' / ') AS text FROM slides UNION ALL SELECT clip, start_ms, 1, seg_idx, text FROM segments)
 SELECT *, row_number() OVER (PARTITION BY clip ORDER BY t, kind, pos) AS place FROM u""",
 )
 def time_interleave(spark, folder):
-    """Slides and speech of a clip in one order of time, slides first at equal times."""
-    slides = E.slides(table(spark, folder, "documents")).select("clip", (F.col("start_s") * 1000).alias("t"), F.lit(0).alias("kind"), "pos", F.left("quick_text", F.lit(40)).alias("text"))
-    speech = _segments(spark, folder).select("clip", F.col("start_ms").alias("t"), F.lit(1).alias("kind"), F.col("seg_idx").alias("pos"), F.left("text", F.lit(40)).alias("text"))
+    """Slides and speech of a clip in one order of time, slides first at equal times; whole speech, the first six lines of a slide (the reference's feature)."""
+    lines = F.split(F.regexp_replace("quick_text", OUTER_SPACE, ""), LINE_END, -1)
+    slides = E.slides(table(spark, folder, "documents")).select("clip", (F.col("start_s") * 1000).alias("t"), F.lit(0).alias("kind"), "pos", F.array_join(F.slice(lines, 1, 6), " / ").alias("text"))
+    speech = _segments(spark, folder).select("clip", F.col("start_ms").alias("t"), F.lit(1).alias("kind"), F.col("seg_idx").alias("pos"), "text")
     return slides.unionByName(speech).withColumn("place", F.row_number().over(Window.partitionBy("clip").orderBy("t", "kind", "pos")))
 
 

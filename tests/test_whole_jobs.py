@@ -2,7 +2,7 @@
 
 import random
 
-from skein.plans import grounding
+from skein.plans import grounding, timeline
 
 
 def lev(a, b):
@@ -32,3 +32,13 @@ def test_scan_reads_past_3000_characters(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.word: r.n_books for r in grounding.corpus_scan_capped(spark, str(tmp_path)).collect()}
     assert got == {"filler": 3, "farword": 3, "pad": 3}
+
+
+def test_interleave_carries_whole_speech_and_six_lines(spark, tmp_path):
+    page = "  \r\n" + "\r\n".join(f"line {k} " + "w" * 60 for k in range(4)) + "\n\n\x85more\nlast\n　"
+    talk = "said " * 50 + "\nand the end"
+    spark.createDataFrame([(0, page, "s", "en"), (1, "", "s", "en"), (2, " one ", "s", "en")], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, 0, "user", talk), (0, 1, "assistant", "short")], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.kind, r.pos): r.text for r in timeline.time_interleave(spark, str(tmp_path)).collect()}
+    lines = lambda t: " / ".join(t.strip().splitlines()[:6])
+    assert got == {(0, 0): lines(page), (0, 1): "", (0, 2): "one", (1, 0): talk, (1, 1): "short"}
