@@ -14,7 +14,7 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 #: Weak parts: a lone run of 40 base64 characters, an address of a service.
-SECRET = r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
+SECRET = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
 ENDPOINT = r"https?://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+|[a-z0-9.-]+\.amazonaws\.com"
 KINDS = ("assign", "access", "hex", "secret", "endpoint")
 #: Code points on either side of an access identifier that form its scope.
@@ -144,7 +144,7 @@ SQL = f"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 base AS ({_sql_kind(0, ASSIGN, "length(k[i]) >= 6")} UNION ALL {_sql_kind(1, ACCESS, "true")} UNION ALL {_sql_kind(2, HEX, "true")}),
 near AS (SELECT * FROM docs WHERE rid IN (SELECT rid FROM base WHERE kind = 1)),
-weak AS ({_sql_kind(3, "[A-Za-z0-9+/=]+", "regexp_full_match(m[i], '[A-Za-z0-9+/]{40}')", "near")} UNION ALL {_sql_kind(4, ENDPOINT, "true", "near")}),
+weak AS ({_sql_kind(3, "[A-Za-z0-9+/]+=*", "regexp_full_match(m[i], '[A-Za-z0-9+/]{40}')", "near")} UNION ALL {_sql_kind(4, ENDPOINT, "true", "near")}),
 linked AS (SELECT DISTINCT w.* FROM weak w JOIN base a ON a.rid = w.rid AND a.kind = 1 AND w.s < a.s + a.n + {SCOPE} AND w.s + w.n > a.s - {SCOPE}),
 spans AS (SELECT *, true AS is_base FROM base UNION ALL SELECT *, false FROM linked),
 named AS (SELECT *, (['{"','".join(KINDS)}'])[kind + 1] || ':' || s::BIGINT || ':' || (s + n)::BIGINT AS w FROM spans),

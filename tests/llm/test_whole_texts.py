@@ -2,7 +2,10 @@
 
 import json
 
-from skein.llm import tool_calls
+import duckdb
+import pandas as pd
+
+from skein.llm import secrets, tool_calls
 
 
 def test_tool_calls_carry_whole_turns(spark):
@@ -19,3 +22,16 @@ def test_tool_calls_carry_whole_turns(spark):
         assert text == said[r.conv_id, r.turn] or (text is None and len(said[r.conv_id, r.turn]) % 11 == 0)
         n_whole += text is not None
     assert n_whole > 6
+
+
+def test_secrets_after_an_equals_sign(spark):
+    key, part = "AKIA" + "ABCD1234" * 2, "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY12"
+    texts = [f"AWS_ACCESS_KEY_ID={key}\nAWS_SECRET_ACCESS_KEY={part}\n", f"{key} K={part}=", f"{key} K={part}x", f"K={part}", f"{key} K=={part}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan_secrets(rows).collect()}
+    for k, text in enumerate(texts):
+        at = text.index(part)
+        assert (f"secret:{at}:{at + 40}" in got[k].split(",")) == (k in (0, 4)) and got[k].count("secret:") == (k in (0, 4))
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    assert dict(con.execute(f"SELECT doc_id, spans FROM ({secrets.SQL})").fetchall()) == got
