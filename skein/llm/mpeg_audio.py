@@ -115,30 +115,32 @@ def parse(data: bytes) -> dict:
 
     Junk between frames is skipped: a frame counts where a valid header stands at the end of
     the frame before, or, after a loss of sync, where a valid header is followed by another
-    consistent one (or by the end of the data). Empty input has no frames and lasts 0 s.
+    consistent one (or by the end of the data). An ID3v1 tag counts only where no frame covers
+    its start. Empty input has no frames and lasts 0 s.
     """
     offsets, samples, at, lost, checked, wrong, tags, table, first = [], 0, 0, 0, 0, 0, {}, None, None
     n = len(data)
-    end = n - 128 if n >= 128 and data[n - 128 : n - 125] == b"TAG" else n
+    tag = n - 128 if n >= 128 and data[n - 128 : n - 125] == b"TAG" else n
     synced = False
 
     def at_header(p: int) -> dict | None:
-        return header(int.from_bytes(data[p : p + 4], "big")) if p + 4 <= end else None
+        return header(int.from_bytes(data[p : p + 4], "big")) if p + 4 <= n else None
 
     def kind(head: dict) -> tuple:
         return head["version"], head["layer"], head["hertz"]
 
-    while at < end:
+    while at < n and at != tag:  # "TAG" inside a frame is no tag
         size = _tag_size(data, at)
         if size:
             tags |= _tag_frames(data[at : at + size])
             at += size
             continue
         head = at_header(at)
-        if head and at + head["size"] <= end and first in (None, kind(head)):
+        if head and at + head["size"] <= n and first in (None, kind(head)):
             follow = at + head["size"]
-            after = None if synced else at_header(follow)
-            if synced or follow >= end or _tag_size(data, follow) or after and kind(after) == kind(head):
+            cut = tag < follow < n  # a frame cut short by the tag, unless another frame follows
+            after = at_header(follow) if cut or not synced else None
+            if synced and not cut or follow in (tag, n) or _tag_size(data, follow) or after and kind(after) == kind(head):
                 frame, opening, first, synced = data[at:follow], first is None, kind(head), True
                 table = _rate_table(frame, head) if opening and head["layer"] == 3 else table
                 if not (opening and table):  # the table's frame holds no sound
@@ -150,8 +152,9 @@ def parse(data: bytes) -> dict:
                 at = follow
                 continue
         synced = False
-        places = [p for p in (data.find(b"\xff", at + 1, end), data.find(b"ID3", at + 1, end)) if p >= 0]
-        lost, at = lost + min(places, default=end) - at, min(places, default=end)
+        places = [p for p in (data.find(b"\xff", at + 1), data.find(b"ID3", at + 1)) if p >= 0]
+        past = min([*places, tag if at < tag else n])
+        lost, at = lost + past - at, past
     hertz = first[2] if first else 0
     return {"offsets": offsets, "samples": samples, "hertz": hertz, "lost": lost, "checked": checked, "wrong": wrong, "tags": tags, "table": table, "seconds": samples / hertz if hertz else 0.0}
 

@@ -1,11 +1,13 @@
 """Corpus operators on whole texts: what a cut or a too narrow pattern would lose."""
 
+import hashlib
 import json
+import zlib
 
 import duckdb
 import pandas as pd
 
-from skein.llm import secrets, tool_calls
+from skein.llm import mpeg_audio, secrets, tool_calls
 
 
 def test_tool_calls_carry_whole_turns(spark):
@@ -35,3 +37,15 @@ def test_secrets_after_an_equals_sign(spark):
     con = duckdb.connect()
     con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
     assert dict(con.execute(f"SELECT doc_id, spans FROM ({secrets.SQL})").fetchall()) == got
+
+
+def test_audio_with_tag_letters_in_the_last_unit(spark):
+    texts = ["x" * 505 + "TAG" + "y" * 60, "x" * (576 * 3 + 504) + "STAGE", "x" * 505 + "TAG"]
+    rows = mpeg_audio.store_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        payload, media = mpeg_audio.pad(texts[r.doc_id].encode()), bytes(r.media)
+        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        tagged = mpeg_audio.parse(media + b"TAG" + bytes(125))
+        assert mpeg_audio.uncarry(media, tagged) == (payload, 0) and tagged["lost"] == 0
+        short = mpeg_audio.parse(media[:-60] + b"TAG" + bytes(125))  # the last frame is cut off
+        assert short["offsets"] == tagged["offsets"][:-1]
