@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.llm.common import mix64, stored
 
 BITS = 16
-#: Most labelled rows of a language, characters in all, and languages that the text model is fitted on.
-MAX_ROWS, MAX_CHARS, MAX_LANGS = 800, 12_000_000, 50
+#: Most labelled rows of a language and characters in all that the text model is fitted on; every labelled language is in it.
+MAX_ROWS, MAX_CHARS = 800, 12_000_000
 #: A text's trigrams count as this many independent ones at most; weight of the parent level in a prior.
 EVIDENCE, KAPPA, ALPHA = 60.0, 8.0, 0.5
 #: Rows up to which the tables of declared languages and suffixes are broadcast; beyond, they are shuffled.
 BROADCAST_ROWS = 2000
+#: Sampled ids up to which they are broadcast.
+BROADCAST_IDS = 40_000
 
 _DROP = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 
@@ -48,12 +49,13 @@ def text_model(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarra
 def fit_text_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Fitted on the first ``MAX_ROWS`` rows of each language by hash of the id, up to ``MAX_CHARS`` characters."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    names = [r[0] for r in known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGS).collect()]
+    names = [r[0] for r in known.select(lang_col).distinct().orderBy(lang_col).collect()]
     if not names:
         return text_model([], [])
     order = [F.xxhash64(id_col), F.col(id_col)]
-    picked = [known.where(F.col(lang_col) == name).orderBy(*order).limit(MAX_ROWS).select(F.col(id_col).alias("_p")).distinct() for name in names]
-    ids = F.broadcast(reduce(DataFrame.unionByName, picked))  # at most MAX_LANGS * MAX_ROWS ids
+    first = F.row_number().over(Window.partitionBy(lang_col).orderBy(*order))  # cut to MAX_ROWS a language before the exchange
+    ids = known.select(id_col, lang_col).withColumn("_n", first).where(F.col("_n") <= MAX_ROWS).select(F.col(id_col).alias("_p")).distinct()
+    ids = F.broadcast(ids) if len(names) * MAX_ROWS <= BROADCAST_IDS else ids
     rows = known.join(ids, known[id_col] == ids["_p"], "left_semi").orderBy(*order, lang_col, text_col).select(text_col, lang_col)
     texts, langs, chars = [], [], dict.fromkeys(names, 0)
     for text, lang in rows.toLocalIterator():

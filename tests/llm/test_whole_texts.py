@@ -7,7 +7,7 @@ import zlib
 import duckdb
 import pandas as pd
 
-from skein.llm import mpeg_audio, secrets, tool_calls
+from skein.llm import language_id, mpeg_audio, secrets, tool_calls
 
 
 def test_tool_calls_carry_whole_turns(spark):
@@ -49,3 +49,12 @@ def test_audio_with_tag_letters_in_the_last_unit(spark):
         assert mpeg_audio.uncarry(media, tagged) == (payload, 0) and tagged["lost"] == 0
         short = mpeg_audio.parse(media[:-60] + b"TAG" + bytes(125))  # the last frame is cut off
         assert short["offsets"] == tagged["offsets"][:-1]
+
+
+def test_every_labelled_language_is_in_the_model(spark):
+    word = lambda k: chr(0x4E00 + 3 * k) + chr(0x4E01 + 3 * k) + chr(0x4E02 + 3 * k)
+    rows = [(2 * k + j, f"{word(k)} " * 30, f"l{k:02d}") for k in range(53) for j in range(2 if k else 1)]
+    names, table = language_id.fit_text_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert names == [f"l{k:02d}" for k in range(53)]
+    for _, text, lang in rows:
+        assert names[table[:, language_id._buckets(text)].mean(1).argmax()] == lang
