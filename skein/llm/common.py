@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,8 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    ``spark.checkpoint.dir`` names it on a cluster; only where that is unset (tests in
-    local mode) a temporary folder is made and used as the checkpoint folder as well.
+    ``spark.checkpoint.dir`` names it on a cluster. In local mode alone, where the driver is the
+    executor, a temporary folder is made if that is unset; elsewhere an unset folder is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -28,26 +30,62 @@ def shared_dir(spark: SparkSession) -> str:
     set_before = spark.sparkContext._jsc.sc().getCheckpointDir()
     if set_before.isDefined():
         return set_before.get().rstrip("/")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="skein-"))
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    made = tempfile.mkdtemp(prefix="skein-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    What :func:`discard` has not removed goes when the driver's Python process ends.
+    """
     path = f"{shared_dir(df.sparkSession)}/skein/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._skein_path = path
+    if not _left:
+        atexit.register(_clear)
+    _left[path] = df.sparkSession
     return back
 
 
+#: Stored tables not yet removed.
+_left: dict[str, SparkSession] = {}
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(df: DataFrame) -> None:
     """Remove a table made by :func:`stored` once nothing reads it any more."""
     path = getattr(df, "_skein_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        _remove(df.sparkSession, path)
+        _left.pop(path, None)
+
+
+def _clear() -> None:
+    for path, spark in list(_left.items()):
+        try:
+            _remove(spark, path)
+        except Exception:  # the session has ended: its files go with the shared folder's own clean-up
+            return
+    _left.clear()
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added until no column (in any case) has it."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -63,3 +101,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= U64(0x94D049BB133111EB)
     x ^= x >> U64(31)
     return x
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending; a sort and a comparison, several times faster on integers than a hash table."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x

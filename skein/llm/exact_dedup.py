@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import text_or_empty
+from skein.llm.common import stored, text_or_empty
 
 
 def content_hash(text: Column) -> Column:
@@ -40,7 +40,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Plan: one exchange of the texts (collapsed per map task) to form groups, then one exchange
     of digests (16 + 32 bytes a row) to tell every row its group. A hot group is one row on the
-    groups' side and its members are split by the skew-join rule, so no task holds it whole.
+    groups' side; its rows of digests are split by the skew-join rule of adaptive execution
+    (which must be on, as it is by default), so no task holds it whole.
     """
     groups = text_groups(docs, id_col, text_col, keep, hasher)
     text = text_or_empty(text_col)
@@ -56,14 +57,31 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
-    """``docs`` with its own columns, without the rows that :func:`exact_dedup` drops."""
-    names = docs.columns
-    groups = text_groups(docs, id_col, text_col, keep, content_hash)
-    text = text_or_empty(text_col)
-    groups = groups.select(F.col("_h").alias("_gh"), F.col("_sha").alias("_gsha"), F.col("keep_id").alias("_gkeep"))
-    rows = docs.select("*", content_hash(text).alias("_h"), F.unhex(F.sha2(text, 256)).alias("_sha"))
-    same = (F.col("_h") == F.col("_gh")) & (F.col("_sha") == F.col("_gsha")) & F.col(id_col).eqNullSafe(F.col("_gkeep"))
-    return rows.join(groups.hint("merge"), same, "left_semi").select(*names)
+    """``docs`` with its own columns, whatever their names: of each group of equal texts one row stays.
+
+    It is a row of the group's ``keep_id``; null text counts as empty. Of rows that repeat both id
+    and text one stays, the first by its columns written as text; so does one row of a group
+    without any id. An empty table stays empty.
+
+    Plan: one exchange of the texts (collapsed per map task) finds each group's ``keep_id``, digests
+    carry it back to the rows (a semi-join, whose hot keys the skew-join rule splits). A count of
+    ids alone tells whether any repeats; only then are the kept rows written and those of
+    repeated ids numbered.
+    """
+    groups = text_groups(docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")), "_id", "_text", keep, content_hash)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
+    text = text_or_empty(f"d.`{text_col}`")
+    rows = rows.select("d", F.col(f"d.`{id_col}`").alias("_id"), content_hash(text).alias("_gh"), F.unhex(F.sha2(text, 256)).alias("_gsha"))
+    same = (F.col("_gh") == F.col("_h")) & (F.col("_gsha") == F.col("_sha")) & F.col("_id").eqNullSafe(F.col("keep_id"))
+    kept = rows.join(groups.hint("merge"), same, "left_semi")
+    repeats = stored(docs.groupBy(F.col(f"`{id_col}`").alias("_again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_again"), "repeated-ids")
+    if repeats.limit(1).count():
+        kept = stored(kept, "kept-copies")
+        again = F.col("_id").eqNullSafe(F.col("_again"))
+        first = F.row_number().over(Window.partitionBy("_gh", "_gsha", "_id").orderBy(F.col("d").cast("string")))
+        numbered = kept.join(repeats, again, "left_semi").withColumn("_n", first).where("_n = 1").drop("_n")
+        kept = kept.join(repeats, again, "left_anti").unionByName(numbered)
+    return kept.select("d.*")
 
 
 SQL = """

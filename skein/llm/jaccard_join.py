@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import discard, mix64, stored
+from skein.llm.common import discard, distinct, mix64, stored
 from skein.llm.components import components
 
 WORDS = 5
@@ -87,7 +87,7 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a >= words:
-            out.append(np.unique(every[a : b - words + 1]))
+            out.append(distinct(every[a : b - words + 1]))
         elif b > a:
             total = np.uint64(0)
             with np.errstate(over="ignore"):

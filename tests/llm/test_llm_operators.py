@@ -60,8 +60,14 @@ def test_exact_dedup_empty_and_clashing_columns(spark):
     assert exact_dedup.exact_dedup(docs_of(spark, [])).count() == 0
     clash = docs_of(spark, ["x", "x"]).withColumns({"keep_id": F.lit(1), "_h": F.lit(2), "kept": F.lit(None), "_sha": F.lit(0), "group_size": F.lit(9)})
     assert exact_dedup.exact_dedup(clash).where("kept").count() == 1
-    kept = exact_dedup.drop_copies(clash.drop("_h", "_sha"))
-    assert kept.columns == clash.drop("_h", "_sha").columns and [r.doc_id for r in kept.collect()] == [1]
+    clash = clash.withColumns({"d": F.lit(5), "_id": F.lit(6), "_gh": F.lit(7), "n": F.lit(8)})
+    kept = exact_dedup.drop_copies(clash)
+    assert kept.columns == clash.columns and [(r.doc_id, r._h, r.d) for r in kept.collect()] == [(1, 2, 5)]
+    assert exact_dedup.drop_copies(clash.limit(0)).count() == 0
+    again = docs_of(spark, ["x", "x", "y", None]).unionByName(docs_of(spark, ["x", "x", "z", ""])).unionByName(spark.createDataFrame([(None, "n", "b", None, 1), (None, "n", "a", None, 1)], DOCS))
+    got = sorted(((r.doc_id, r.text or "", r.lang) for r in exact_dedup.drop_copies(again).collect()), key=str)
+    assert got == sorted([(1, "x", "en"), (2, "y", "en"), (2, "z", "en"), (3, "", "en"), (None, "n", "a")], key=str)
+    assert exact_dedup.exact_dedup(again).where("doc_id = 1").select("kept", "group_size").distinct().collect() == [(True, 4)]
     nulls = spark.createDataFrame([(None, "x"), (3, "x"), (None, "y")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.kept) for r in exact_dedup.exact_dedup(nulls).collect()) == [(0, False), (0, True), (3, True)]
 
@@ -84,13 +90,80 @@ def test_toxicity_without_labels_and_on_awkward_rows(spark):
     out = toxicity.toxicity(docs_of(spark, AWKWARD).withColumn("score", F.lit("x")), none).collect()
     assert len(out) == len(AWKWARD) and all(0 <= r.score <= 1 for r in out)
     assert toxicity.toxicity(docs_of(spark, []), none).count() == 0
+    clash = docs_of(spark, AWKWARD).withColumns({"_score": F.lit("mine"), "_y": F.lit(1), "_id": F.lit(2), "_text": F.lit(3)})
+    kept = toxicity.drop_toxic(clash, none)
+    assert kept.columns == clash.columns and {r._score for r in kept.collect()} == {"mine"}
+    assert toxicity.drop_toxic(clash.limit(0), none).count() == 0
+    odd = spark.createDataFrame([(None, "x y z"), (None, "x y z"), (4, None), (4, None)], "doc_id long, text string")
+    rows = toxicity.toxicity(odd, spark.createDataFrame([(None, 1), (4, 1), (4, 0)], "doc_id long, toxic int")).collect()
+    assert len(rows) == 4 and len({r.score for r in rows if r.doc_id is None}) == 1 and not any(r.held_out for r in rows if r.doc_id is None)
+
+
+def insulted(n, seed, every):
+    w = words(n, seed).split(" ")
+    if every:
+        for k in range(every // 2, n, every):
+            w[k] = ("idiot", "moron", "clown")[k % 3]
+    return " ".join(w)
 
 
-def test_toxic_words_in_long_texts():
-    texts = [words(60, k) + (" idiot moron" if k % 2 else "") for k in range(400)]
-    model = toxicity.fit_model(texts, [k % 2 for k in range(400)], 0.1)
-    clean = words(20_000, 991)
-    assert model.scores([clean])[0] < 0.3 <= model.scores([clean + " idiot moron " + clean])[0]
+def toxic_model():
+    texts = [insulted(60 + k % 50, k, 30 if k % 2 else 0) for k in range(400)]
+    return toxicity.fit_model(texts, [k % 2 for k in range(400)], 0.2)
+
+
+def brute_bucket(gram):
+    low, word = (1 << 64) - 1, len(gram)
+    for c in gram:
+        word = (word * 0x100000001B3 + ord(c)) & low
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        word = (word ^ word >> shift) * factor & low
+    return word >> 64 - toxicity.BITS
+
+
+def test_toxicity_score_is_brute_force():
+    model = toxic_model()
+    texts = ["", "a", "idiot", "Ä \U0001f600 Idiot,\nmoron", *(insulted(50, 900 + k, 20 * (k % 2)) for k in range(6)), LONG[:20_000] + " idiot" * 30]
+    for text, got in zip(texts, model.scores(texts), strict=True):
+        low = text.lower()
+        held = {brute_bucket(low[k : k + n]) for n in toxicity.ORDERS for k in range(len(low) - n + 1)}
+        held = [x for x in held if model.known[x]]
+        z = model.bias + sum(float(model.weight[x]) for x in held) / max(1, len(held)) ** 0.5
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-6
+
+
+def test_log_count_ratios_speak_for_both_labels():
+    texts, labels = [insulted(40, k, 15 if k % 2 else 0) + (" thanks" if not k % 2 else "") for k in range(60)], [k % 2 for k in range(60)]
+    held = toxicity.features(texts)
+    ratios = toxicity.log_count_ratios(held, np.array(labels, dtype=float))
+    for gram, sign in (("moro", 1), ("hanks", -1)):
+        n1, n0 = (sum(gram in t.lower() for t, y in zip(texts, labels, strict=True) if y == k) for k in (1, 0))
+        want = np.log((n1 + toxicity.SMOOTH / 2) / 30) - np.log((n0 + toxicity.SMOOTH / 2) / 30)
+        assert abs(ratios[brute_bucket(gram)] - want) < 1e-9 and want * sign > 0
+    model = toxicity.fit_features(held, labels)
+    assert (model.weight > 0).any() and (model.weight < 0).any()
+
+
+def test_toxicity_has_one_rule_for_every_length():
+    model = toxic_model()
+    clean, toxic = insulted(3000, 991, 0), insulted(3000, 992, 30)
+    assert model.scores([clean])[0] < 0.3 <= model.scores([toxic])[0] and model.scores([clean * 10])[0] < 0.3 <= model.scores([toxic * 10])[0]
+    text = insulted(4000, 993, 60)
+    z = model.logits([text[:n] for n in range(7900, 8110, 10)])  # a few more characters change little, wherever they stand
+    assert np.abs(np.diff(z)).max() < 0.1
+
+
+def test_an_over_long_labelled_text_is_passed_over(spark, monkeypatch):
+    rows = [(k, insulted(60, k, 25 if k % 2 else 0) if k != 5 else LONG) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(300)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "MAX_TEXT", 5000)
+    out = toxicity.toxicity(docs, labels).collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in out if r.doc_id != 5) > 280
+    monkeypatch.setattr(toxicity, "MAX_TEXT", 10**9)
+    monkeypatch.setattr(toxicity, "MAX_CHARS", len(LONG) - 1)
+    out = toxicity.toxicity(docs, labels).collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in out if r.doc_id != 5) > 280
 
 
 # -- n-gram Jaccard join
