@@ -3,7 +3,8 @@
 A text's features are the distinct hashed n-grams it holds, each scaled by the log-count ratio
 of its bucket, the whole vector scaled to the same length for every text (each n-gram counts
 1 / sqrt(number of n-grams)). So one rule scores texts of every length, and evidence for
-either label counts.
+either label counts. An n-gram counts once however often a text repeats it: a few insults
+in a very long text weigh little.
 """
 
 from __future__ import annotations

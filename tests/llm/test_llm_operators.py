@@ -146,8 +146,9 @@ def test_log_count_ratios_speak_for_both_labels():
 
 def test_toxicity_has_one_rule_for_every_length():
     model = toxic_model()
-    clean, toxic = insulted(3000, 991, 0), insulted(3000, 992, 30)
-    assert model.scores([clean])[0] < 0.3 <= model.scores([toxic])[0] and model.scores([clean * 10])[0] < 0.3 <= model.scores([toxic * 10])[0]
+    for n in (40, 80, 160, 320):
+        assert model.scores([insulted(n, 992 + n, 0)])[0] < 0.3 <= model.scores([insulted(n, 991 + n, 20)])[0]
+    assert model.scores([insulted(30_000, 990, 0)])[0] < 0.3
     text = insulted(4000, 993, 60)
     z = model.logits([text[:n] for n in range(7900, 8110, 10)])  # a few more characters change little, wherever they stand
     assert np.abs(np.diff(z)).max() < 0.1
