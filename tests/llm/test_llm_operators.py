@@ -260,51 +260,108 @@ def test_components_of_chains(spark):
 # -- mixing
 
 
-def brute_mix(rows, sweeps):
-    cells = Counter()
-    for _, source, lang, topic, tokens in rows:
-        cells[source, lang, topic] += tokens
-    total, weight = sum(cells.values()), {k: float(v) for k, v in cells.items()}
-    for _ in range(sweeps):
-        for d, power in enumerate(mixing.POWERS.values()):
-            sums, own = Counter(), Counter()
-            for k, v in cells.items():
-                own[k[d]] += v
-            want = {x: v**power for x, v in own.items()}
-            for k, v in weight.items():
-                sums[k[d]] += v
-            weight = {k: v * want[k[d]] / sum(want.values()) * total / sums[k[d]] for k, v in weight.items()}
-    return cells, weight
-
-
-def test_raking_both_ways_is_brute_force(spark, data):
-    docs = spark.read.parquet(f"{data}/documents.parquet")
-    mixed = mixing.mix(docs)
-    rows = [(r.doc_id, r.source, r.lang, r.topic, r.tokens) for r in mixed.collect()]
-    cells, want = brute_mix(rows, mixing.SWEEPS)
-    table = spark.createDataFrame([(*k, v) for k, v in cells.items()], "source string, lang string, topic string, tokens long")
-    targets = mixing.power_targets(table, mixing.POWERS)
-    for way in (mixing.rake, mixing.rake_by_source):
-        got = {(r.source, r.lang, r.topic): r.weight for r in way(table, targets).collect()}
-        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 1e-6 * max(1, want[k]) for k in want)
-    marginal = Counter()
-    for k, v in want.items():
-        marginal[k[2]] += v
-    assert all(abs(sum(v for k, v in want.items() if k[2] == t) - n) < 1e-6 * n for t, n in marginal.items())
+def brute_topic(text):
+    return "table" if " | " in text else "legal" if re.search("licen[cs]e|copyright", text.lower()) else "contact" if re.search("@[a-z0-9]+[.]|[0-9]{6}", text) else "lines" if "\n" in text else "prose"
 
 
-def test_probabilities_meet_the_budget(spark, data):
-    docs = spark.read.parquet(f"{data}/documents.parquet")
-    row = mixing.mix(docs).agg(F.sum(F.col("tokens") * F.col("prob")) / F.sum("tokens"), F.sum(F.when(F.col("selected"), F.col("tokens"))) / F.sum("tokens")).first()
-    assert abs(row[0] - mixing.BUDGET) < 1e-3 and abs(row[1] - mixing.BUDGET) < 0.05
+def brute_mix(rows, targets=None, budget=None):
+    """Probability by cell; ``rows`` are (source, lang, topic, tokens)."""
+    cells = Counter()
+    for *cell, tokens in rows:
+        cells[tuple(cell)] += tokens
+    total, goals = sum(cells.values()), []
+    for d, power in enumerate(mixing.POWERS.values()):
+        own = Counter()
+        for k, v in cells.items():
+            own[k[d]] += v
+        want = (targets or {}).get(mixing.DIMS[d]) or {x: v**power for x, v in own.items()}
+        goals.append({x: want.get(x, 0) / sum(want.values()) for x in own})
+    most = min([1.0] + [sum(v for k, v in cells.items() if k[d] == x) / total / g for d in range(3) for x, g in goals[d].items() if g])
+    budget, weight = budget or mixing.BUDGET * most, dict.fromkeys(cells, 1.0)
+    for _ in range(60):
+        for d in range(3):
+            for x, share in goals[d].items():
+                mine, goal = [k for k in cells if k[d] == x], share * budget * total
+                lo, hi = 0.0, 1e12  # bisection for the label's factor
+                for _ in range(200):
+                    f = (lo + hi) / 2 if lo else hi / 2 if hi > 1e-9 else 0.0
+                    lo, hi = (f, hi) if sum(cells[k] * min(1.0, f * weight[k]) for k in mine) < goal else (lo, f)
+                for k in mine:
+                    weight[k] *= hi
+    return {k: min(1.0, w) for k, w in weight.items()}, budget
+
+
+CELLS = [("a", "en", "x", 500), ("a", "de", "x", 40), ("a", "en", "y", 300), ("b", "en", "x", 30), ("b", "de", "y", 70), ("c", "de", "x", 25), ("c", "en", "y", 35), ("d", "en", "x", 0)]
+
+
+@pytest.mark.parametrize("budget", [0.3, 0.57])
+def test_raking_both_ways_is_brute_force(spark, budget):
+    """At the larger budgets some cells are held at probability 1."""
+    targets = {"source": {"a": 5, "b": 1, "c": 0.7}, "lang": {"en": 8, "de": 2}, "topic": {"x": 5, "y": 5}}
+    table = spark.createDataFrame(CELLS, "source string, lang string, topic string, tokens long")
+    want, _ = brute_mix(CELLS, targets, budget)
+    assert (max(want.values()) == 1) == (budget > 0.5)  # then one cell is held at 1
+    for way in (mixing.rake, mixing.rake_by_source):
+        got = {(r.source, r.lang, r.topic): (r.tokens, r.prob) for r in way(table, mixing.given_targets(table, targets), budget, 1e-5).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k][1] - want[k]) <= 1e-3 for k in want if got[k][0])
+        for d, dim in enumerate(mixing.DIMS):
+            for label, weight in targets[dim].items():
+                share = sum(n * p for k, (n, p) in got.items() if k[d] == label) / (1000 * budget)
+                assert abs(share / (weight / sum(targets[dim].values())) - 1) < 1.1e-5
+
+
+def test_mixing_meets_every_target(spark, data):
+    """Expected tokens within a hundredth of the targets (far less, in fact); those of the sample near them."""
+    rows = mixing.mix(spark.read.parquet(f"{data}/documents.parquet")).collect()
+    want, budget = brute_mix([(r.source, r.lang, r.topic, r.tokens) for r in rows])
+    assert all(abs(r.prob - want[r.source, r.lang, r.topic]) < 1e-5 for r in rows)
+    total = sum(r.tokens for r in rows)
+    for dim in mixing.DIMS:
+        has, expected, drawn = Counter(), Counter(), Counter()
+        for r in rows:
+            has[r[dim]] += r.tokens
+            expected[r[dim]] += r.tokens * r.prob
+            drawn[r[dim]] += r.tokens * r.selected
+        whole = sum(v ** mixing.POWERS[dim] for v in has.values())
+        for label, n in has.items():
+            goal = n ** mixing.POWERS[dim] / whole * budget * total
+            assert abs(expected[label] / goal - 1) < 0.001 and abs(drawn[label] - goal) < 0.35 * goal
+        assert abs(sum(drawn.values()) / total - budget) < 0.05
+
+
+def test_mixing_to_given_weights(spark):
+    docs = docs_of(spark, [words(20 + k % 7, k) for k in range(600)])
+    rows = mixing.mix(docs, {"source": {"src0": 1, "src1": 2, "src2": 3}}).collect()
+    sums = Counter()
+    for r in rows:
+        sums[r.source] += r.tokens * r.prob
+    assert all(abs(sums[f"src{k}"] / sum(sums.values()) - (k + 1) / 6) < 1e-4 for k in range(3))
+    with pytest.raises(mixing.NotMet):
+        mixing.mix(docs, {"source": {"src0": 1, "src1": 2, "src2": 3}}, budget=0.9)
+    with pytest.raises(mixing.NotMet):
+        mixing.mix(docs, {"source": {"src0": 1, "elsewhere": 2}})
+    only = mixing.mix(docs, {"source": {"src1": 1}}, budget=0.2).collect()
+    assert {r.source for r in only if r.selected} == {"src1"}
+    against = spark.createDataFrame([(k, words(30, k), "en" if k % 2 else "de", "s" if k % 2 else "t", 0) for k in range(40)], DOCS)
+    with pytest.raises(mixing.NotMet):  # each source holds one language
+        mixing.mix(against, {"source": {"s": 1, "t": 3}, "lang": {"en": 3, "de": 1}}, budget=0.1)
 
 
 def test_mixing_awkward_rows(spark):
-    assert mixing.mix(docs_of(spark, [])).count() == 0
-    odd = docs_of(spark, AWKWARD).withColumn("source", F.lit(None).cast("string")).withColumn("lang", F.lit(None).cast("string")).withColumns({"topic": F.lit(1), "prob": F.lit(2), "tokens": F.lit(0)})
+    assert mixing.mix(docs_of(spark, [])).count() == 0 and mixing.sample(docs_of(spark, [])).count() == 0
+    odd = docs_of(spark, AWKWARD).withColumn("source", F.lit(None).cast("string")).withColumn("lang", F.lit(None).cast("string")).withColumns({"topic": F.lit(1), "prob": F.lit(2), "tokens": F.lit(0), "_id": F.lit(1), "_c_text": F.lit(4), "selected": F.lit(5)})
     out = mixing.mix(odd).collect()
     assert len(out) == len(AWKWARD) and {r.source for r in out} == {"(none)"} and all(0 <= r.prob <= 1 for r in out)
-    assert mixing.sample(odd).columns == odd.columns
+    kept = mixing.sample(odd)
+    assert kept.columns == odd.columns and {r.prob for r in kept.collect()} <= {2}
+    twice = docs_of(spark, [words(40, k) for k in range(60)])
+    twice = twice.unionByName(twice).unionByName(spark.createDataFrame([(None, "no id here", "en", "src0", 3)] * 2, DOCS))
+    drawn = defaultdict(set)
+    for r in mixing.mix(twice).collect():
+        drawn[r.doc_id].add(r.selected)
+    assert all(len(v) == 1 for v in drawn.values()) and drawn[None] == {False}
+    none = mixing.mix(docs_of(spark, [None, "", " "])).collect()
+    assert [(r.tokens, r.prob, r.selected) for r in none] == [(0, 0.0, False)] * 3
 
 
 # -- sharding
