@@ -23,7 +23,7 @@ ORDERS = (4, 5, 6)
 BITS = 22
 #: Bounds of the sample that a fit learns from: labelled rows of either class, characters in all, characters of one text
 #: (a longer one is passed over, those after it are not).
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS, MAX_TEXT = 1500, 2500, 16_000_000, 400_000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS, MAX_TEXT = 1200, 1800, 12_000_000, 400_000
 #: Texts of the sample that must hold a bucket before it is a feature.
 LEAST = 3
 #: Texts of the overall share of label 1 that are added to a bucket's counts, so that a rare bucket's ratio is near 0.
@@ -74,6 +74,16 @@ class Model:
     known: np.ndarray
     bias: float
 
+    def __getstate__(self):
+        """Features alone travel to the executors (8 bytes each), not the tables they are looked up in."""
+        pick = np.flatnonzero(self.known).astype(np.int32)
+        return pick, self.weight[pick], self.bias
+
+    def __setstate__(self, state):
+        pick, weights, self.bias = state
+        self.weight, self.known = np.zeros(1 << BITS, dtype=np.float32), np.zeros(1 << BITS, dtype=bool)
+        self.weight[pick], self.known[pick] = weights, True
+
     def logits(self, texts) -> np.ndarray:
         """Bias plus the mean weight of a text's features times the root of their number."""
         sums, counts = np.zeros(len(texts)), np.zeros(len(texts))
@@ -209,14 +219,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "_score") -> DataFrame:
     """Per row: all columns of ``docs`` and ``score_col`` (0 to 1). Null and empty texts score by the bias; no exchange."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 20 MB, whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # some MB (32 at most), whatever the input
     names = docs.columns
     at = names.index(text_col)
 
     def run(batches):
         for batch in batches:
-            for part in range(0, batch.num_rows, 2000):
-                cut = batch.slice(part, 2000)
+            for part in range(0, batch.num_rows, 1000):
+                cut = batch.slice(part, 1000)
                 yield pa.RecordBatch.from_arrays([*cut.columns, pa.array(shared.value.scores(cut.column(at).to_pylist()))], names=[*names, score_col])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
