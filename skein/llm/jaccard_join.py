@@ -6,6 +6,10 @@ only if they differ in at most H = floor((r + s) / 7) members (for a similarity
 whichever segments the larger set's probes choose, if their units exceed H, then in one of
 them the smaller set differs by less than its units: by nothing (one unit: equal subsets), or
 by at most one member (two units: a one-deletion neighbourhood meets the other's subset).
+
+N-grams are compared by 64-bit hashes, so "exact" holds up to collisions: the odds that any two
+different n-grams of a pair of texts of n n-grams in all share a hash are below n * n / 2**65
+(for two texts of 20,000 words, 2e-11).
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import discard, distinct, mix64, stored
+from skein.llm.common import discard, distinct, fresh, mix64, stored
 from skein.llm.components import components
 
 WORDS = 5
@@ -33,8 +37,14 @@ SLICE_BYTES = 6 << 20
 HOT_SAMPLE, HOT_DOCS = 1024, 6
 #: Rounds that resolve buckets locally before the round that tests every pair still open.
 ROUNDS = 3
-#: Most members (n-grams in all) of a bucket that one task holds; larger ones are cut into chunks.
-CHUNK_MEMBERS, CHUNK_DOCS = 4_000_000, 4096
+#: Most members (n-grams in all) of a bucket that one task holds in a round; larger ones are cut into chunks, dealt anew in every round.
+CHUNK_MEMBERS, CHUNK_DOCS = 4_000_000, 1024
+#: Members on either side of a block of pairs in the last round.
+BLOCK_DOCS = 512
+#: Bytes of the input's files that one partition of signatures stands for, and the most partitions.
+PART_BYTES, MOST_PARTS = 16 << 20, 50_000
+#: Distinct sets that a map task remembers to collapse copies; then it starts afresh (a copy is sent once more).
+SEEN = 200_000
 #: Candidate documents up to which their ids, labels and places (24 bytes each) are broadcast;
 #: beyond, they are joined by shuffles.
 BROADCAST_IDS = 500_000
@@ -145,9 +155,15 @@ def allocate(band: int) -> tuple[int, bool]:
     return best[1], best[2]
 
 
+_SHORT = "n-gram join: a set's segments hold too few units"
+
+
 class Short(Exception):
     """A set whose segments hold too few units; another seed cuts the universe elsewhere."""
 
+    def __init__(self):
+        super().__init__(_SHORT)
+
 
 def signatures(members: np.ndarray, band: int, probe: bool, hot: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(probe keys, other keys) of a set in a band's universe."""
@@ -229,6 +245,8 @@ def _emit(hot: np.ndarray, seed: int, parts: int, words: int):
                     if not n or ident is None:
                         continue
                     mark = xxhash.xxh3_128_digest(members.tobytes()) + n.to_bytes(4, "little")
+                    if len(seen) >= SEEN:
+                        seen.clear()
                     first = seen.setdefault(mark, ident)
                     if first != ident:
                         copies.append((first, ident, n))
@@ -472,8 +490,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     round tests each pair that is still open in any bucket, sketches first, so no link is lost.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    hot, parts = _hot(rows, words), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    hot, parts = _hot(rows, words), _parts(rows)
     seed = 0
     while True:
         try:
@@ -481,11 +499,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             found = stored(raw.repartitionById(parts, F.col("part")).mapInArrow(_meet, _BUCKETS), "buckets")
             break
         except Exception as failed:
-            if "Short" not in str(failed) or seed >= 8:
+            if _SHORT not in str(failed) or seed >= 8:
                 raise
             seed += 1
     lists = stored(found.where("kind = 2").select("docs", "sizes", "probing").distinct().withColumn("bucket", F.monotonically_increasing_id()), "lists")
-    edges = stored(found.where("kind = 1").select(F.col("doc").alias("a"), F.col("n").alias("b")), "copies")
     member = stored(lists.select(F.explode("docs").alias("doc")).distinct(), "members")
     few = member.count() <= BROADCAST_IDS
     sets = stored(rows.join(F.broadcast(member) if few else member, rows["_id"] == member["doc"], "left_semi").mapInArrow(_sets_of(words), "doc long, members binary, mark binary"), "sets")
@@ -493,21 +510,61 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if few and weight <= BROADCAST_SKETCHES:
         before, lists = lists, stored(_thinned(lists, sets).distinct().withColumn("bucket", F.monotonically_increasing_id()), "lists")
         discard(before)
+    copies, edges = _split_copies(found, member)
     labels, places = components(edges), None
     for round_ in range(ROUNDS + 1):
-        before, lists = lists, stored(_still_open(lists, labels, places, few), "lists")
+        before, lists = lists, stored(_still_open(lists, labels.join(member, labels["node"] == member["doc"], "left_semi"), places, few), "lists")
         discard(before)
         if not lists.limit(1).count():
             break
+        if places is not None:
+            discard(places)
         if round_ < ROUNDS:
             places = _places(lists, round_)
             new = _settle(places, labels, sets, few)
         else:
             new = _exhaust(lists, labels, sets, few)
-        edges = stored(edges.unionByName(new), "links")
+        old, edges = (edges, labels), stored(edges.unionByName(new), "links")
         labels = components(edges)
+        for used in old:
+            discard(used)
+    for used in (lists, member, sets, edges, *([places] if places is not None else [])):
+        discard(used)
     sizes = found.where("kind = 0").select(F.col("doc").alias("_id"), F.col("n").alias("n_shingles"))
-    return sizes.join(labels, sizes["_id"] == labels["node"], "left").select(F.col("_id").alias(id_col), "n_shingles", F.coalesce("label", "_id").alias("component_id"))
+    named = _with_copies(labels, copies)
+    return sizes.join(named, sizes["_id"] == named["node"], "left").select(F.col("_id").alias(id_col), "n_shingles", F.coalesce("label", "_id").alias("component_id"))
+
+
+def _parts(rows: DataFrame) -> int:
+    """Partitions of signatures: the session's shuffle partitions, or more where the input's files are large.
+
+    The size is the optimizer's estimate; from a petabyte on it stands for "unknown" and counts for nothing.
+    """
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(MOST_PARTS, size // PART_BYTES) if size < 1 << 50 else 0
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
+
+
+def _split_copies(found: DataFrame, member: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(copies that only follow the document they repeat, edges to start from).
+
+    A map task's copies (a: the document that stands for them, b) need no part in the rounds. Only
+    where an id repeats can a copy have a link of its own (it stands for others, is in a bucket
+    or copies several); those are edges.
+    """
+    copies = found.where("kind = 1").select(F.col("doc").alias("a"), F.col("n").alias("b")).distinct()
+    roles = copies.select(F.col("b").alias("doc")).union(copies.select("a").distinct()).union(member.select("doc"))
+    several = stored(roles.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc").join(copies.select("b").distinct(), F.col("doc") == F.col("b"), "left_semi"), "repeated-ids")
+    return copies.join(several, copies["b"] == several["doc"], "left_anti"), stored(copies.join(several, copies["b"] == several["doc"], "left_semi"), "links")
+
+
+def _with_copies(labels: DataFrame, copies: DataFrame) -> DataFrame:
+    """(node, label) of all documents with links or copies: the smallest id of a component, its copies included."""
+    low = copies.groupBy("a").agg(F.min("b").alias("low"))
+    own = labels.join(low, labels["node"] == low["a"], "full_outer").select(F.coalesce("node", "a").alias("node"), F.coalesce("label", "a").alias("part"), "low")
+    own = own.select("node", "part", F.least("node", "low").alias("low"))  # least() passes over a null
+    own = stored(own.join(own.groupBy(F.col("part").alias("of")).agg(F.min("low").alias("label")), F.col("part") == F.col("of")).select("node", "label"), "labels")
+    return own.union(copies.join(own, copies["a"] == own["node"]).select("b", "label"))
 
 
 def _lookup(spark, table: DataFrame, key: str, values: list[str]):
@@ -623,7 +680,7 @@ def _places(lists: DataFrame, round_: int) -> DataFrame:
     rank = F.col("width").cast("long") if round_ == 0 else F.xxhash64("bucket", F.lit(round_))
     best = _members(lists).groupBy("doc").agg(F.max(F.struct(rank.alias("rank"), "bucket", "width", "load")).alias("x"))
     chunks = F.greatest(F.ceil(F.col("x.load") / CHUNK_MEMBERS), F.ceil(F.col("x.width") / CHUNK_DOCS))
-    return stored(best.select("doc", F.col("x.bucket").alias("at"), F.pmod(F.xxhash64("doc"), chunks).alias("chunk")), "places")
+    return stored(best.select("doc", F.col("x.bucket").alias("at"), F.pmod(F.xxhash64("doc", F.lit(round_)), chunks).alias("chunk")), "places")
 
 
 def _settle(places: DataFrame, labels: DataFrame, sets: DataFrame, few: bool) -> DataFrame:
@@ -634,19 +691,38 @@ def _settle(places: DataFrame, labels: DataFrame, sets: DataFrame, few: bool) ->
 
 
 def _exhaust(lists: DataFrame, labels: DataFrame, sets: DataFrame, few: bool) -> DataFrame:
-    """Links among all pairs that any bucket leaves open; wide buckets meet chunk by chunk."""
-    marks = _labelled(_members(lists), labels, few).join(sets.select("doc", "mark"), "doc")
-    chunks = F.ceil(F.col("width") / CHUNK_DOCS)
-    marks = marks.withColumn("chunk", F.pmod(F.xxhash64("doc"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    marks = marks.select("bucket", F.least("chunk", "other").alias("c0"), F.greatest("chunk", "other").alias("c1"), "doc", "size", "probe", "label", "mark", (F.col("chunk") < F.col("other")).alias("left"))
-    pairs = stored(marks.groupBy("bucket", "c0", "c1").applyInArrow(_cross, "a long, b long").distinct(), "pairs")
+    """Links among all pairs that any bucket leaves open.
+
+    A bucket's pairs are cut into blocks of at most ``BLOCK_DOCS`` by ``BLOCK_DOCS`` documents. Members of its
+    largest component meet the others, never one another; so a hot bucket that rounds have
+    joined but for a few costs its width, not its square.
+    """
+    flat = _labelled(_members(lists), labels, few)
+    counts = flat.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    tops = counts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("x"), F.sum("n").alias("whole"))
+    blocks = lambda n: F.ceil(n / BLOCK_DOCS)
+    tops = tops.select("bucket", F.col("x.label").alias("top"), blocks(F.col("x.n")).alias("n_top"), blocks(F.col("whole") - F.col("x.n")).alias("n_rest"))
+    marks = flat.join(tops, "bucket").join(sets.select("doc", "mark"), "doc").withColumn("left", F.col("label") == F.col("top"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    own = F.pmod(F.xxhash64("doc"), F.when(F.col("left"), F.col("n_top")).otherwise(F.col("n_rest")))
+    against = marks.withColumn("own", own).withColumn("other", F.explode(upto(F.when(F.col("left"), F.col("n_rest")).otherwise(F.col("n_top")))))
+    against = against.withColumns({"kind": F.lit(0), "c0": F.when(F.col("left"), F.col("own")).otherwise(F.col("other")), "c1": F.when(F.col("left"), F.col("other")).otherwise(F.col("own"))})
+    rest = marks.where("NOT left").withColumn("own", own).withColumn("other", F.explode(upto(F.col("n_rest"))))
+    rest = rest.withColumns({"kind": F.lit(1), "c0": F.least("own", "other"), "c1": F.greatest("own", "other"), "left": F.col("own") < F.col("other")})
+    shape = ["bucket", "kind", "c0", "c1", "doc", "size", "probe", "label", "mark", "left"]
+    pairs = stored(against.select(*shape).unionByName(rest.select(*shape)).groupBy("bucket", "kind", "c0", "c1").applyInArrow(_cross, "a long, b long").distinct(), "pairs")
     one = pairs.join(sets.select(F.col("doc").alias("a"), F.col("members").alias("x")), "a")
     both = one.join(sets.select(F.col("doc").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
     return both.mapInArrow(_verify, "a long, b long")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with its own columns: of each component the row of the smallest id; rows of a null id stay."""
+    """``docs`` with its own columns, whatever their names: of each component the rows of the smallest id.
+
+    Rows of a null id stay, rows that repeat an id stay or go together (exact copies are another operator's
+    job), rows without words stay; an empty table stays empty.
+    """
     linked_docs = link_documents(docs, id_col, text_col)
-    dropped = linked_docs.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(dropped, docs[id_col] == dropped["_gone"], "left_anti")
+    gone = fresh("_gone", docs.columns)
+    dropped = linked_docs.where(F.col(f"`{id_col}`") != F.col("component_id")).select(F.col(f"`{id_col}`").alias(gone)).distinct()
+    return docs.join(dropped, docs[f"`{id_col}`"] == dropped[gone], "left_anti")

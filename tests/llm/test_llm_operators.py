@@ -217,6 +217,8 @@ def test_jaccard_join_is_brute_force(spark):
 def test_jaccard_join_in_one_exhaustive_round(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
     monkeypatch.setattr(jaccard_join, "CHUNK_DOCS", 7)
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 5)
+    monkeypatch.setattr(jaccard_join, "SEEN", 3)
     monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)  # every table is joined by shuffles
     rows = list(enumerate(near_copies()))
     got = jaccard_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -237,6 +239,23 @@ def test_jaccard_join_other_seed_and_rows(spark):
     assert sorted(r.doc_id or 0 for r in jaccard_join.keep_one(odd).collect()) == [0, 2, 2]
 
 
+def test_copies_stay_out_of_the_rounds(spark, monkeypatch):
+    """Of many copies of few texts, only the few that stand for them come to the driver."""
+    looked = []
+    real = jaccard_join._lookup
+    monkeypatch.setattr(jaccard_join, "_lookup", lambda spark, table, key, values: looked.append(table.count()) or real(spark, table, key, values))
+    base = words(80, 77)
+    rows = [(k, (base, edited(base, 1, 5), words(60, 78))[k % 3]) for k in range(3000)]
+    rows += [(5000, edited(base, 2, 9)), (5001, "alone and apart " + words(9, 4))]
+    got = jaccard_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")).collect()
+    want = {k: 0 if k % 3 < 2 else 2 for k in range(3000)} | {5000: 0, 5001: 5001}
+    assert {r.doc_id: r.component_id for r in got} == want and sum(looked) < 100
+    odd = [(1, base), (2, base), (2, words(50, 3)), (3, words(50, 3)), (9, words(50, 3)), (4, words(70, 8))]
+    got = {r.doc_id: r.component_id for r in jaccard_join.link_documents(spark.createDataFrame(odd, "doc_id long, text string").coalesce(1)).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 9: 1, 4: 4}  # an id that repeats links what its texts link
+    assert jaccard_join.keep_one(spark.createDataFrame([], "doc_id long, text string, _gone int")).count() == 0
+
+
 @pytest.mark.parametrize("band", range(14))
 def test_allocation_has_enough_units(band):
     m, _ = jaccard_join.allocate(band)
