@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 
 def common_length(a: str, b: str) -> int:
@@ -43,6 +43,37 @@ def partial(a: str, b: str) -> float:
     return best
 
 
+def reaches(a: str, b: str, least: int) -> bool:
+    """Whether :func:`partial` is at least ``least``, without trying every window.
+
+    A window whose ratio is high enough differs from ``a`` by so few insertions and deletions that
+    one of that many pieces of ``a``, and one more, stands in it unbroken. So only windows
+    around the pieces' places in ``b``, and the shorter ones at its ends, are compared.
+    """
+    if len(a) > len(b):
+        return partial(a, b) >= least
+    if not a or a in b:
+        return bool(a) or not b
+    n, m = len(a), len(b)
+    edits = 2 * n * (100 - least) // 100
+    cuts = [n * k // (edits + 1) for k in range(edits + 2)]
+    starts = {*range(-edits, 0), *range(m - n + 1, m - n + edits + 1)}
+    for x, y in zip(cuts, cuts[1:], strict=False):
+        at = b.find(a[x:y])
+        while at >= 0:
+            starts |= {*range(max(1 - n, at - x - edits), at - x + edits + 1)}
+            at = b.find(a[x:y], at + 1)
+    windows = {b[max(0, i) : i + n] for i in starts if 1 - n <= i < m}
+    return any(200 * common_length(a, w) >= least * (n + len(w)) for w in windows)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def heard(keys: pd.Series, least: pd.Series, text: pd.Series) -> pd.Series:
+    """Of each row's keys those that its text holds with a partial ratio of at least the one beside the key."""
+    rows = zip(keys, least, text, strict=True)
+    return pd.Series([[] if ks is None or t is None else [k for k, n in zip(ks, ns, strict=True) if reaches(k, t, int(n))] for ks, ns, t in rows])
+
+
 @F.pandas_udf(DoubleType())
 def partial_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else partial(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")

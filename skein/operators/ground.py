@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import text as T
+from skein.functions.fuzzy import heard
 from skein.operators.intervals import interval_join
 
 PAD_MS = 20_000
+#: Words up to this length must be heard exactly; longer ones with a partial ratio by kind.
 EXACT_LENGTH = 7
+#: Least partial ratio of a long keyword with a segment.
+LEAST = {"drug": 90, "medical_term": 85, "general": 88}
 QUICK_SLIDE_S, QUICK_WORDS = 10, 30
+_STARTS = r"(?<![a-z0-9])(?=([a-z0-9][a-z0-9-]{1,6}))"
+_CJK = r"(?=([\u4e00-\u9fff]{2,7}))"
 
 
 def keywords(text: Column) -> Column:
@@ -19,58 +25,72 @@ def keywords(text: Column) -> Column:
     return F.array_distinct(F.filter(kinds, lambda k: k["kind"].isNotNull()))
 
 
-def _starts(text: Column) -> Column:
-    return F.regexp_replace(text, "([a-z0-9]+)", "\u0001$1")
+def _heads(text: Column, pattern: str, lengths: list[int]) -> Column:
+    """Distinct parts of the given lengths that begin where ``pattern`` matches."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
 
+    def cut(n: int) -> Column:
+        return F.transform(F.filter(found, lambda x: F.length(x) >= n), lambda x: F.left(x, F.lit(n)))
 
-def _bounds(text: Column) -> Column:
-    return F.regexp_replace(text, "([A-Za-z0-9]+)", "\u0001$1\u0002")
+    return F.array_distinct(F.flatten(F.array(*map(cut, lengths))))
 
 
-def keyword_hits(keys: Column, low: Column, own: Column, plain: Column) -> Column:
-    """The keywords heard in any of a window's texts (as :func:`ground` prepares them, arrays of columns).
+def exact_marks(text: Column) -> Column:
+    """What a segment's text offers to exact keywords: runs of letters and digits in their own case (after ``=``), and
+    parts of up to seven characters from a word's start, or anywhere in Chinese."""
+    low = F.lower(text)
+    runs = F.transform(F.array_distinct(T.words(text, "[A-Za-z0-9]+")), lambda x: F.concat(F.lit("="), x))
+    lengths = list(range(2, EXACT_LENGTH + 1))
+    return F.concat(runs, _heads(low, _STARTS, lengths), _heads(low, _CJK, lengths))
 
-    Abbreviations in their own case between non-alphanumerics; words of up to seven characters at a
-    word's start; longer ones anywhere. Word starts are marked once per text, so that a
-    hit is a plain substring test and no pattern is compiled per keyword.
-    """
-
-    def heard(k: Column) -> Column:
-        where = F.when(k["kind"] == "abbreviation", own).when(F.length(k["key"]) <= EXACT_LENGTH, low).otherwise(plain)
-        return F.exists(where, lambda t: F.contains(t, k["mark"]))
-
-    return F.filter(keys, heard)
 
+def ground(slides: DataFrame, segments: DataFrame, domains: dict[str, list[str]] | None = None) -> DataFrame:
+    """Per slide: densities of keywords, emphasis and confusion cues in the window, skip score, five keywords, domains.
 
-def ground(slides: DataFrame, segments: DataFrame) -> DataFrame:
-    """Per slide: densities of keywords, emphasis and confusion cues in the window, skip score, five keywords.
+    The window is the slide's time and 20 s on either side, not below 0, both ends included; a
+    slide without segments keeps its row with zero densities. Abbreviations are heard in
+    their own case between non-alphanumerics, keywords of up to seven characters at a word's start,
+    longer ones where the partial ratio with one segment is at least 90 for drugs, 85 for
+    medical terms and 88 for other words. ``domains`` names those with a hint (a substring, any case) in the slide's or the
+    window's text.
 
-    The window is the slide's time and 20 s on either side, not below 0, both ends included;
-    a slide without segments keeps its row with zero densities. The join is an equi-join
-    on (clip, time cell); a slide's window, not its clip, bounds what is gathered.
+    The join is an equi-join on (clip, time cell). Each pair of a slide and a segment is a row of its
+    own: exact keywords by a hashed intersection of arrays, long ones in Arrow batches; hits,
+    never texts, are gathered per slide.
     """
     w0, w1 = F.greatest((F.col("start_s") * 1000 - PAD_MS), F.lit(0)), F.col("end_s") * 1000 + PAD_MS
-    mark = lambda k: F.when(k["kind"] == "abbreviation", _bounds(k["key"])).when(F.length(k["key"]) <= EXACT_LENGTH, _starts(k["key"])).otherwise(k["key"])
-    keyed = F.transform(keywords(F.col("quick_text")), lambda k: F.struct(k["key"].alias("key"), k["kind"].alias("kind"), mark(k).alias("mark")))
-    windows = slides.select("slide_id", "start_s", "end_s", keyed.alias("keys"))
-    spans = slides.select("slide_id", F.col("clip").alias("s_clip"), w0.alias("w0"), w1.alias("w1"))
-    cue = lambda parts: T.any_contains(F.lower("text"), parts).cast("double")
-    texts = segments.select("clip", "seg_idx", "start_ms", "end_ms", cue(T.EMPHASIS).alias("e"), cue(T.CONFUSION).alias("c"), F.size(T.words(F.col("text"), r"\S+")).alias("n"), _starts(F.lower("text")).alias("low"), _bounds(F.col("text")).alias("own"), F.lower("text").alias("plain"))
-    heard = interval_join(spans, texts, [("s_clip", "clip")], ("w0", "w1"), ("start_ms", "end_ms"), 60_000)
-    said = heard.groupBy("slide_id").agg(F.avg("e").alias("emphasis"), F.avg("c").alias("confusion"), F.sum("n").alias("n_words"), *[F.collect_list(x).alias(x) for x in ("low", "own", "plain")])
+    windows = slides.select("slide_id", "start_s", "end_s", F.lower("quick_text").alias("own_low"), keywords(F.col("quick_text")).alias("keys"))
+    named = lambda keep: F.transform(F.filter("keys", keep), lambda k: F.when(k["kind"] == "abbreviation", F.concat(F.lit("="), k["key"])).otherwise(k["key"]))
+    is_long = lambda k: (k["kind"] != "abbreviation") & (F.length(k["key"]) > EXACT_LENGTH)
+    least = F.transform(F.filter("keys", is_long), lambda k: F.when(k["kind"] == "drug", LEAST["drug"]).when(k["kind"] == "medical_term", LEAST["medical_term"]).otherwise(LEAST["general"]))
+    spans = slides.select("slide_id", F.col("clip").alias("s_clip"), w0.alias("w0"), w1.alias("w1"), keywords(F.col("quick_text")).alias("keys"))
+    spans = spans.select("slide_id", "s_clip", "w0", "w1", named(lambda k: ~is_long(k)).alias("exact"), named(is_long).alias("long"), least.alias("least"))
+    low = F.lower("text")
+    cue = lambda parts: T.any_contains(low, parts).cast("double")
+    hints = [F.when(T.any_contains(low, [h.lower() for h in parts]), F.lit(name)) for name, parts in (domains or {}).items()]
+    texts = segments.select("clip", "seg_idx", "start_ms", "end_ms", low.alias("low"), exact_marks(F.col("text")).alias("marks"), cue(T.EMPHASIS).alias("e"), cue(T.CONFUSION).alias("c"), F.size(T.words(F.col("text"), r"\S+")).alias("n"), F.array_compact(F.array(*hints)).cast("array<string>").alias("about"))
+    pairs = interval_join(spans, texts, [("s_clip", "clip")], ("w0", "w1"), ("start_ms", "end_ms"), 60_000)
+    pairs = pairs.select("slide_id", "e", "c", "n", "about", F.concat(F.array_intersect("exact", "marks"), heard("long", "least", "low")).alias("hit"))
+    gathered = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    said = pairs.groupBy("slide_id").agg(F.avg("e").alias("emphasis"), F.avg("c").alias("confusion"), F.sum("n").alias("n_words"), F.count(F.lit(1)).alias("n_segments"), gathered("hit").alias("hit"), gathered("about").alias("about"))
     rows = windows.join(said, "slide_id", "left")
     none = F.array().cast("array<string>")
-    rows = rows.withColumn("hits", keyword_hits(F.col("keys"), *[F.coalesce(x, none) for x in ("low", "own", "plain")]))
-    n, h = F.size("keys"), F.size("hits")
+    all_keys = named(lambda k: F.lit(True))
+    rows = rows.withColumns({"names": all_keys, "hits": F.array_intersect(all_keys, F.coalesce("hit", none))})
+    plain = lambda names: F.transform(names, lambda x: F.when(F.startswith(x, F.lit("=")), F.right(x, F.length(x) - 1)).otherwise(x))
+    n, h = F.size("names"), F.size("hits")
     density = F.when(n > 0, h / n).otherwise(0.0)
     quick = (F.col("end_s") - F.col("start_s") < QUICK_SLIDE_S) & (F.coalesce("n_words", F.lit(0)) < QUICK_WORDS)
-    return rows.select(
+    shown = [F.when(F.array_contains(F.coalesce("about", none), name) | T.any_contains(F.col("own_low"), [h.lower() for h in parts]), F.lit(name)) for name, parts in (domains or {}).items()]
+    out = rows.select(
         "slide_id",
-        F.size(F.coalesce("plain", none)).alias("n_segments"),
+        F.coalesce("n_segments", F.lit(0)).alias("n_segments"),
         n.alias("n_keywords"),
         F.round(density, 6).alias("reference_density"),
         F.round(F.coalesce("emphasis", F.lit(0.0)), 6).alias("emphasis_score"),
         F.round(F.coalesce("confusion", F.lit(0.0)), 6).alias("confusion_score"),
         F.round(F.when(quick, 0.9).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - density))), 6).alias("skip_score"),
-        F.array_join(F.slice(F.array_distinct(F.concat("hits.key", "keys.key")), 1, 5), ",").alias("top_keywords"),
+        F.array_join(F.slice(F.array_distinct(plain(F.concat("hits", "names"))), 1, 5), ",").alias("top_keywords"),
+        F.array_join(F.array_compact(F.array(*shown)).cast("array<string>"), ",").alias("domains"),
     )
+    return out if domains else out.drop("domains")

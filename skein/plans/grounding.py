@@ -25,36 +25,54 @@ def sql_class(t: str) -> str:
       WHEN {ends(T.DRUG_SUFFIXES)} THEN 'drug' WHEN {ends(T.TERM_SUFFIXES)} THEN 'medical_term' WHEN length({t}) >= 5 THEN 'general' END"""
 
 
+#: A map of domains and their hints for the tables at hand (the map is a parameter).
+DOMAINS = {"licence": ["licensed under", "copyright"], "contact": ["@", "phone"], "secrets": ["token", "akia"]}
+
 TOKEN = r"[A-Za-z][A-Za-z0-9\-]{1,}|[\x{4e00}-\x{9fff}]{2,}"
 
 
 @query(
     "ground_slides",
     f"""
-WITH {E.SEGMENTS}, {E.SLIDES},
+WITH RECURSIVE {E.SEGMENTS}, {E.SLIDES},
 w AS (SELECT slide_id, clip, quick_text, start_s, end_s, greatest(start_s * 1000 - 20000, 0) AS w0, end_s * 1000 + 20000 AS w1 FROM slides),
-heard AS (SELECT w.slide_id, g.seg_idx, g.text FROM w JOIN segments g ON g.clip = w.clip AND g.end_ms >= w.w0 AND g.start_ms <= w.w1),
+heard AS (SELECT w.slide_id, g.clip, g.seg_idx, g.text FROM w JOIN segments g ON g.clip = w.clip AND g.end_ms >= w.w0 AND g.start_ms <= w.w1),
 said AS (SELECT slide_id, avg(CASE WHEN {sql_any("lower(text)", T.EMPHASIS)} THEN 1.0 ELSE 0.0 END) AS emphasis,
    avg(CASE WHEN {sql_any("lower(text)", T.CONFUSION)} THEN 1.0 ELSE 0.0 END) AS confusion, count(*) AS n,
-   string_agg(regexp_replace(lower(text), '([a-z0-9]+)', chr(1) || '\\1', 'g'), chr(3)) AS low, string_agg(lower(text), chr(3)) AS plain,
+   string_agg(regexp_replace(lower(text), '([a-z0-9]+)', chr(1) || '\\1', 'g'), chr(3)) AS low,
    string_agg(regexp_replace(text, '([A-Za-z0-9]+)', chr(1) || '\\1' || chr(2), 'g'), chr(3)) AS own,
    sum(len(regexp_extract_all(text, '\\S+'))) AS n_words FROM heard GROUP BY 1),
 toks AS (SELECT slide_id, i, t, {sql_class("t")} AS kind FROM (SELECT slide_id, i, k[i] AS t FROM (SELECT slide_id, regexp_extract_all(quick_text, '{TOKEN}') AS k FROM w), unnest(range(1, len(k) + 1)) AS u(i))),
-keys AS (SELECT slide_id, key, kind, min(i) AS i FROM (SELECT slide_id, i, kind, CASE WHEN kind = 'abbreviation' THEN t ELSE lower(t) END AS key FROM toks WHERE kind IS NOT NULL) GROUP BY ALL),
+keys AS MATERIALIZED (SELECT slide_id, key, kind, min(i) AS i FROM (SELECT slide_id, i, kind, CASE WHEN kind = 'abbreviation' THEN t ELSE lower(t) END AS key FROM toks WHERE kind IS NOT NULL) GROUP BY ALL),
+meet AS (SELECT DISTINCT clip, seg_idx, key, CASE kind WHEN 'drug' THEN 90 WHEN 'medical_term' THEN 85 ELSE 88 END AS least, lower(text) AS t FROM keys JOIN heard USING (slide_id) WHERE kind <> 'abbreviation' AND length(key) > 7),
+fit AS (SELECT *, 2 * length(a) * (100 - least) // 100 AS ed FROM (SELECT clip, seg_idx, key, least, CASE WHEN length(t) < length(key) THEN t ELSE key END AS a, CASE WHEN length(t) < length(key) THEN key ELSE t END AS b, length(t) > 0 AND (contains(t, key) OR contains(key, t)) AS whole FROM meet)),
+piece AS (SELECT *, length(a) * k // (ed + 1) AS x, substr(a, length(a) * k // (ed + 1) + 1, length(a) * (k + 1) // (ed + 1) - length(a) * k // (ed + 1)) AS q FROM fit, unnest(range(ed + 1)) AS u(k) WHERE NOT whole),
+spot AS (SELECT *, unnest(list_filter(range(1, length(b) + 1), lambda i: substr(b, i, length(q)) = q)) AS spot FROM piece WHERE q <> '' AND contains(b, q)),
+start AS (SELECT clip, seg_idx, key, least, a, b, spot - 1 - x + d AS i FROM spot, unnest(range(-ed, ed + 1)) AS u(d)
+  UNION ALL SELECT clip, seg_idx, key, least, a, b, i FROM fit, unnest(list_concat(range(-ed, 0), range(length(b) - length(a) + 1, length(b) - length(a) + ed + 1))) AS u(i) WHERE NOT whole),
+win AS (SELECT clip, seg_idx, key, least, a, substr(b, greatest(i, 0) + 1, i + length(a) - greatest(i, 0)) AS v FROM start WHERE i BETWEEN 1 - length(a) AND length(b) - 1),
+near AS MATERIALIZED (SELECT DISTINCT * FROM win WHERE 100 * levenshtein(a, regexp_replace(v, '[^\\x00-\\x7f]', chr(1), 'g')) <= (100 - least) * (length(a) + length(v))),
+lcs AS (SELECT DISTINCT a, v, 0 AS i, list_transform(range(length(v)), lambda x: 0) AS r FROM near
+  UNION ALL SELECT a, v, i + 1, list_transform(range(1, length(v) + 1), lambda j: list_max(c[1:j])) FROM (
+    SELECT a, v, i, list_transform(range(1, length(v) + 1), lambda j: greatest(r[j], CASE WHEN j > 1 THEN r[j - 1] ELSE 0 END + CASE WHEN a[i + 1] = v[j] THEN 1 ELSE 0 END)) AS c FROM lcs WHERE i < length(a))),
+close AS (SELECT clip, seg_idx, key FROM fit WHERE whole UNION SELECT clip, seg_idx, key FROM near n JOIN lcs l ON l.a = n.a AND l.v = n.v AND l.i = length(l.a) WHERE 200 * r[length(l.v)] >= least * (length(l.a) + length(l.v))),
+fuzzy AS (SELECT DISTINCT slide_id, key FROM heard JOIN close USING (clip, seg_idx)),
 hit AS (SELECT k.*, coalesce(CASE WHEN kind = 'abbreviation' THEN contains(own, regexp_replace(key, '([A-Za-z0-9]+)', chr(1) || '\\1' || chr(2), 'g'))
-   WHEN length(key) <= 7 THEN contains(low, regexp_replace(key, '([a-z0-9]+)', chr(1) || '\\1', 'g')) ELSE contains(plain, key) END, false) AS heard
-   FROM keys k LEFT JOIN said USING (slide_id)),
+   WHEN length(key) <= 7 THEN contains(low, regexp_replace(key, '([a-z0-9]+)', chr(1) || '\\1', 'g')) ELSE f.key IS NOT NULL END, false) AS heard
+   FROM keys k LEFT JOIN said USING (slide_id) LEFT JOIN fuzzy f USING (slide_id, key)),
 names AS (SELECT slide_id, key, min(CASE WHEN heard THEN 0 ELSE 1 END) AS p, min(CASE WHEN heard THEN i END) AS ih, min(i) AS i FROM hit GROUP BY ALL),
 tops AS (SELECT slide_id, string_agg(key, ',' ORDER BY r) AS top FROM (SELECT slide_id, key, row_number() OVER (PARTITION BY slide_id ORDER BY p, coalesce(ih, i)) AS r FROM names) WHERE r <= 5 GROUP BY 1),
-sums AS (SELECT slide_id, count(*) AS nk, count(*) FILTER (heard) AS nh FROM hit GROUP BY 1)
+sums AS (SELECT slide_id, count(*) AS nk, count(*) FILTER (heard) AS nh FROM hit GROUP BY 1),
+about AS (SELECT slide_id, lower(quick_text) || chr(3) || coalesce(string_agg(lower(text), chr(3)), '') AS t FROM w LEFT JOIN heard USING (slide_id) GROUP BY slide_id, quick_text)
 SELECT w.slide_id, coalesce(s.n, 0) AS n_segments, coalesce(nk, 0) AS n_keywords, round(coalesce(nh / nullif(nk, 0)::DOUBLE, 0.0), 6) AS reference_density,
    round(coalesce(emphasis, 0.0), 6) AS emphasis_score, round(coalesce(confusion, 0.0), 6) AS confusion_score,
-   round(CASE WHEN end_s - start_s < 10 AND coalesce(n_words, 0) < 30 THEN 0.9 ELSE 1 - coalesce(nh / nullif(nk, 0)::DOUBLE, 0.0) END, 6) AS skip_score, coalesce(top, '') AS top_keywords
-FROM w LEFT JOIN said s USING (slide_id) LEFT JOIN sums USING (slide_id) LEFT JOIN tops USING (slide_id)
+   round(CASE WHEN end_s - start_s < 10 AND coalesce(n_words, 0) < 30 THEN 0.9 ELSE 1 - coalesce(nh / nullif(nk, 0)::DOUBLE, 0.0) END, 6) AS skip_score, coalesce(top, '') AS top_keywords,
+   array_to_string(list_filter([{", ".join(f"CASE WHEN {sql_any('t', hints)} THEN '{name}' END" for name, hints in DOMAINS.items())}], lambda x: x IS NOT NULL), ',') AS domains
+FROM w LEFT JOIN said s USING (slide_id) LEFT JOIN sums USING (slide_id) LEFT JOIN tops USING (slide_id) JOIN about USING (slide_id)
 """,
 )
 def ground_slides(spark, folder):
-    return ground(E.slides(table(spark, folder, "documents")), E.segments(table(spark, folder, "conversations")))
+    return ground(E.slides(table(spark, folder, "documents")), E.segments(table(spark, folder, "conversations")), DOMAINS)
 
 
 @query(
