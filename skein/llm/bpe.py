@@ -15,12 +15,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from skein.llm.common import fresh
+
 #: Entries of a generation of a worker's memos. There are two generations of two memos, of
 #: about 200 bytes an entry; results do not depend on them.
 MEMO_ENTRIES = 200_000
 
 #: A space before a visible character; the character stays with the next piece.
 CUT = re.compile(r" (?=\S)").split
+#: Patterns that never match across such a place. A text is cut there only for these; for others it is one piece.
+SPACED = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -109,6 +113,7 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, whole: MinimalPerfectHash | None = None):
         self.find = regex.compile(pattern).findall
+        self.cut = pattern in SPACED
         self.ranks = ranks
         self.whole = whole or MinimalPerfectHash(list(ranks), list(ranks.values()))
         self.pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
@@ -168,10 +173,10 @@ class Codec:
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers.
 
-        The text is cut before every space that a visible character follows. The pattern
-        never matches across such a place, so the pieces' matches are the text's matches.
+        For a pattern of ``SPACED`` the text is cut before every space that a visible character
+        follows: it never matches across such a place, so the pieces' matches are the text's matches.
         """
-        first, *rest = CUT(text)
+        first, *rest = CUT(text) if self.cut else (text,)
         seen, miss = self.spaced.young.get, self.spaced.miss
         return b"".join([self._all(first), *[seen(p) or miss(p) for p in rest]])
 
@@ -227,9 +232,13 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def decode_ids(rows: DataFrame, ranks_path: str, ids_col: str = "token_ids") -> DataFrame:
-    """``rows`` with ``decoded`` (binary): the bytes of each row's ids; null ids give null, an empty list zero bytes."""
-    schema = StructType([*rows.schema.fields, StructField("decoded", BinaryType())])
+def decode_ids(rows: DataFrame, ranks_path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
+    """``rows`` with ``out_col`` (binary): the bytes of each row's ids; null ids give null, an empty list zero bytes.
+
+    Underscores are added to ``out_col`` until no column has that name. An empty table gives an empty one.
+    """
+    name = fresh(out_col, rows.columns)
+    schema = StructType([*rows.schema.fields, StructField(name, BinaryType())])
 
     shared = rows.sparkSession.sparkContext.broadcast({b: a for a, b in read_ranks(ranks_path).items()})
 
@@ -238,6 +247,6 @@ def decode_ids(rows: DataFrame, ranks_path: str, ids_col: str = "token_ids") ->
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
             made = [None if x is None else b"".join(pieces[i] for i in x) for x in lists]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=[*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=[*batch.schema.names, name])
 
     return rows.mapInArrow(run, schema)

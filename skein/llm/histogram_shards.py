@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from skein.llm.common import stored, text_or_empty
+from skein.llm.common import discard, fresh, stored, text_or_empty
 
 _HALF = 1 << 63
 _LOW = (1 << 64) - 1
@@ -104,17 +105,22 @@ def shard_documents(docs: DataFrame, shards: int = 16, tolerance: float = 0.005,
     """Per row: id, ``size``, ``text_crc32``, ``law`` ('bytes'), ``shard``, ``slot``, ``grown_shard`` (null).
 
     Size is the text's UTF-8 bytes plus 1; a null text has none and hashes as the empty text,
-    a null id sorts first. Shards follow the sort key, slots count from 0 along it in every
-    shard. Sizes differ from the mean by ``tolerance`` or one row, whichever is more. Repeated
-    rows have one key and stay together; an empty table gives an empty one; other columns are ignored.
+    a null id sorts first; ids that are not integers sort by their 64-bit hash, then by themselves.
+    Shards follow the sort key, slots count from 0 along it in every shard. A shard's bytes differ
+    from the mean by at most ``tolerance`` of it or the largest group of equal texts that the tolerance
+    can hold, or one row. Equal texts share a shard unless a boundary must cut
+    their group (where it is more than the tolerance) for sizes to be near equal. Repeated rows have
+    one key and stay together; an empty table gives an empty one; other columns are ignored, whatever their names.
 
     The text is read once into an index of about 40 bytes a row in the shared folder; every
     refinement is a scan of that index that returns one number per interval; then one exchange
     deals the index by part (some million rows each), and a window sorts and numbers a part.
     """
-    text = text_or_empty(text_col)
-    ident = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long"))
-    index = stored(docs.select(F.xxhash64(text).alias("_h"), ident.alias("_k"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.col(id_col).alias("_id")), "shard-index")
+    text = text_or_empty(f"`{text_col}`")
+    whole_ids = isinstance(docs.schema[id_col].dataType, IntegralType)
+    number = F.col(f"`{id_col}`").cast("long") if whole_ids else F.when(F.col(f"`{id_col}`").isNotNull(), F.xxhash64(f"`{id_col}`"))
+    ident = F.coalesce(number, F.lit(-(1 << 63)).cast("long"))
+    index = stored(docs.select(F.xxhash64(text).alias("_h"), ident.alias("_k"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.col(f"`{id_col}`").alias("_id")), "shard-index")
     whole = index.agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).first()
     total, n_rows = whole.size or 0, whole.n
     fine = max(8, -(-n_rows // (shards * per_part)))
@@ -131,7 +137,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, tolerance: float = 0.005,
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part.astype(np.int64)), pa.array(shard.astype(np.int32)), pa.array(skip)], names=[*batch.schema.names, "part", "shard", "_skip"])
 
     dealt = index.mapInArrow(deal, f"_h long, _k long, size long, text_crc32 long, _id {docs.schema[id_col].dataType.simpleString()}, part long, shard int, _skip long")
-    order = Window.partitionBy("part").orderBy("_h", "_k")
+    order = Window.partitionBy("part").orderBy("_h", "_k", "_id")
     return dealt.select(
         F.col("_id").alias(id_col),
         "size",
@@ -144,7 +150,18 @@ def shard_documents(docs: DataFrame, shards: int = 16, tolerance: float = 0.005,
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, id_col: str = "doc_id", **options) -> None:
-    """Write ``docs`` under ``path`` as ``shard=K`` folders of Parquet files in slot order. Ids must be unique."""
-    placed = shard_documents(docs, shards, id_col=id_col, **options).select(F.col(id_col).alias("_id"), "shard", "slot")
-    rows = docs.join(placed, docs[id_col].eqNullSafe(placed["_id"])).drop("_id")
-    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write ``docs`` under ``path`` as ``shard=K`` folders of Parquet files in slot order.
+
+    A column of the table's own called ``shard`` stays; the folders' column is then ``shard_``. Ids must
+    be unique (a null id is one id): repeated ones raise ValueError, as a row could not tell its slot. An
+    empty table writes no folder.
+    """
+    names = docs.columns
+    shard, slot, ident = (fresh(n, names) for n in ("shard", "_slot", "_id"))
+    placed = stored(shard_documents(docs, shards, id_col=id_col, **options).select(F.col(id_col).alias(ident), F.col("shard").alias(shard), F.col("slot").alias(slot)), "shard-places")
+    if placed.groupBy(ident).count().where("count > 1").limit(1).count():
+        discard(placed)
+        raise ValueError(f"{id_col} repeats: shards are written by unique ids")
+    rows = docs.join(placed, docs[f"`{id_col}`"].eqNullSafe(placed[ident])).drop(ident)
+    rows.repartitionByRange(shard, slot).sortWithinPartitions(shard, slot).drop(slot).write.partitionBy(shard).parquet(path)
+    discard(placed)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,9 @@ BITS = 16
 MAX_ROWS, MAX_CHARS = 800, 12_000_000
 #: A text's trigrams count as this many independent ones at most; weight of the parent level in a prior.
 EVIDENCE, KAPPA, ALPHA = 60.0, 8.0, 0.5
-#: Rows up to which the tables of declared languages and suffixes are broadcast; beyond, they are shuffled.
-BROADCAST_ROWS = 2000
+#: Rows up to which tables of counts by host, suffix or declaration are broadcast whole; beyond, only keys with at least one in
+#: so many of all rows are (no more than that many), and the rest is joined by a shuffle in which no key is hot.
+BROADCAST_ROWS, HOT_PART = 2000, 1000
 #: Sampled ids up to which they are broadcast.
 BROADCAST_IDS = 40_000
 
@@ -89,6 +91,25 @@ def text_evidence(items: DataFrame, model: tuple[list[str], np.ndarray], markup:
     return items.mapInArrow(run, schema)
 
 
+def _attach(rows: DataFrame, counts: DataFrame, on: list[str], value: str, total: int) -> DataFrame:
+    """``rows`` with the array ``value`` of ``counts`` (``on``, ``n``, ``rows``), null where a key is null or unknown."""
+    table = stored(counts, f"{value}-counts")
+    plain = table.select(*[F.col(c).alias(f"_{c}") for c in on], F.col("n").alias(value), "rows")
+    whole = table.count() <= BROADCAST_ROWS
+    hot = plain if whole else plain.where(F.col("rows") * HOT_PART >= total)
+    met = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on[:-1]] + [F.col(on[-1]) == F.col(f"_{on[-1]}")])
+    keys = [f"_{c}" for c in on]
+    rows = rows.join(F.broadcast(hot.drop("rows")), met, "left").drop(*keys)  # at most BROADCAST_ROWS or HOT_PART rows
+    if whole:
+        return rows
+    cold = plain.where(F.col("rows") * HOT_PART < total).select(*keys, F.col(value).alias("_cold"), F.lit(-1).alias("_open"))
+    # rows that need nothing more are dealt evenly: they carry a number that no count has
+    need = F.col(on[-1]).isNotNull() & F.col(value).isNull()
+    rows = rows.withColumn("_turn", F.when(need, F.lit(-1)).otherwise(F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int")))
+    joined = rows.join(cold.hint("merge"), (F.col("_turn") == F.col("_open")) & met, "left")
+    return joined.withColumn(value, F.coalesce(value, "_cold")).drop("_turn", "_open", "_cold", *keys)
+
+
 def fuse(scored: DataFrame, names: list[str]) -> DataFrame:
     """Adds ``lang`` and ``confidence`` to rows with ``declared``, ``suffix``, ``host``, ``ll`` and ``best``.
 
@@ -98,14 +119,13 @@ def fuse(scored: DataFrame, names: list[str]) -> DataFrame:
     often it stands on texts of each language. Null host, suffix or declaration is no evidence of that level.
     """
     one = lambda col, k: F.sum((F.col(col) == names[k]).cast("long"))
-    counts = lambda df, *by: df.groupBy(*by).agg(F.array(*[F.coalesce(one("best", k), F.lit(0)) for k in range(len(names))]).alias("n"))
+    counts = lambda df, *by: df.groupBy(*by).agg(F.array(*[F.coalesce(one("best", k), F.lit(0)) for k in range(len(names))]).alias("n"), F.count(F.lit(1)).alias("rows"))
+    n_rows = scored.count()
     total = counts(scored).select(F.col("n").alias("n_all"))
-    hosts = counts(scored.where("host IS NOT NULL"), "suffix", "host").select(F.col("suffix").alias("_s"), F.col("host").alias("_h"), F.col("n").alias("n_host"))
-    suffixes = stored(counts(scored.where("suffix IS NOT NULL"), "suffix").select(F.col("suffix").alias("_s2"), F.col("n").alias("n_suffix")), "suffixes")
-    told = stored(counts(scored.where("declared IS NOT NULL"), "declared").select(F.col("declared").alias("_d"), F.col("n").alias("n_told")), "declared")
-    small = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-    rows = scored.join(hosts.hint("merge"), F.col("host").eqNullSafe(F.col("_h")) & F.col("suffix").eqNullSafe(F.col("_s")), "left")
-    rows = rows.join(small(suffixes), F.col("suffix") == F.col("_s2"), "left").join(small(told), F.col("declared") == F.col("_d"), "left").crossJoin(F.broadcast(total))  # one row
+    rows = _attach(scored, counts(scored.where("host IS NOT NULL"), "suffix", "host"), ["suffix", "host"], "n_host", n_rows)
+    rows = _attach(rows, counts(scored.where("suffix IS NOT NULL"), "suffix"), ["suffix"], "n_suffix", n_rows)
+    rows = _attach(rows, counts(scored.where("declared IS NOT NULL"), "declared"), ["declared"], "n_told", n_rows)
+    rows = rows.crossJoin(F.broadcast(total))  # one row
 
     def at(array: str, k: int) -> Column:
         return F.coalesce(F.get(F.col(array), F.lit(k)), F.lit(0)).cast("double")
@@ -139,8 +159,9 @@ def identify(pages: DataFrame, docs: DataFrame, model: tuple[list[str], np.ndarr
     source) have text and, as host, their source; their ``lang`` only labels the rows that the
     text model is fitted on. Null or empty texts have no text evidence (``text_lang`` null) and
     fall back on the other kinds, in the end on the overall shares; ties go to the language first
-    in the alphabet. Rows are independent, repeated rows are rows of their own, empty tables give
-    none; other columns are ignored. Texts are read once, in full; what is exchanged are counts and rows of numbers.
+    in the alphabet. Null ids are ids like others. Repeated rows are rows of their own and count as
+    such, empty tables give none; other columns are ignored, whatever their names. Texts of any length count
+    as ``EVIDENCE`` trigrams at most. Texts are read once, in full; what is exchanged are counts and rows of numbers.
     """
     model = model or fit_text_model(docs)
     declared = F.nullif(F.lower(F.regexp_extract("html", r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]{2,3})\b""", 1)), F.lit(""))

@@ -45,26 +45,82 @@ def _crc16_table() -> np.ndarray:
 CRC16 = _crc16_table()
 
 
-def crc16(data: bytes, start: int = 0xFFFF) -> int:
-    """The standard's CRC-16 (polynomial 8005, from all ones)."""
+def crc16(data: bytes, start: int = 0xFFFF, bits: int | None = None) -> int:
+    """The standard's CRC-16 (polynomial 8005, from all ones) of the first ``bits`` bits, or of all."""
     word = start
-    for byte in data:
+    whole, rest = divmod(8 * len(data) if bits is None else bits, 8)
+    for byte in data[:whole]:
         word = ((word << 8) & 0xFFFF) ^ int(CRC16[(word >> 8) ^ byte])
+    for k in range(rest):
+        bit = data[whole] >> 7 - k & 1 ^ word >> 15
+        word = (word << 1 & 0xFFFF) ^ (0x8005 if bit else 0)
     return word
 
 
+#: Bits of an allocation field by subband, for layer II (13818-3 low rates; 11172-3 tables B.2a to B.2d).
+NBAL = {
+    "low": [4] * 4 + [3] * 7 + [2] * 19,
+    "a": [4] * 11 + [3] * 12 + [2] * 4,
+    "b": [4] * 11 + [3] * 12 + [2] * 7,
+    "c": [4] * 2 + [3] * 6,
+    "d": [4] * 2 + [3] * 10,
+}
+
+
+def protected_bits(frame: bytes, head: dict) -> int:
+    """Bits after the checksum that it covers: side information (III), allocation (I), allocation and scale factor selection (II)."""
+    if head["layer"] == 3:
+        return 8 * head["side"]
+    channels = 1 if head["mono"] else 2
+    bound = 4 * (head["extension"] + 1) if head["mode"] == 1 else 32
+    if head["layer"] == 1:
+        return 4 * (channels * bound + 32 - bound) if channels == 2 else 128
+    kbits = head["bits"] // 1000 // channels
+    if head["version"] != 3:
+        table = NBAL["low"]
+    elif 0 < kbits <= 48:
+        table = NBAL["d" if head["hertz"] == 32000 else "c"]
+    else:
+        table = NBAL["a" if head["hertz"] == 48000 or 0 < kbits <= 80 else "b"]
+    stream, at, used = int.from_bytes(frame[6:166], "big"), 0, 0
+    width = 8 * len(frame[6:166])
+    for k, size in enumerate(table):
+        for _ in range(channels if k < bound else 1):
+            used += (channels if k >= bound else 1) * bool(stream >> max(0, width - at - size) & (1 << size) - 1)
+            at += size
+    return at + 2 * used
+
+
 def header(word: int) -> dict | None:
-    """A frame header's fields, or None when the 32 bits cannot be one (free format counts as none)."""
+    """A frame header's fields, or None when the 32 bits cannot be one. A free format's ``size`` is 0: the stream tells it."""
     version, layer, rate, hz = word >> 19 & 3, 4 - (word >> 17 & 3), word >> 12 & 15, word >> 10 & 3
-    if word >> 21 != 0x7FF or version == 1 or layer == 4 or rate in (0, 15) or hz == 3 or word & 3 == 2:
+    if word >> 21 != 0x7FF or version == 1 or layer == 4 or rate == 15 or hz == 3 or word & 3 == 2:
         return None
     one, hertz = version == 3, HERTZ[version][hz]
     bits, pad = KBITS[one, layer][rate] * 1000, word >> 9 & 1
     samples = 384 if layer == 1 else 1152 if one or layer == 2 else 576
-    size = (12 * bits // hertz + pad) * 4 if layer == 1 else samples // 8 * bits // hertz + pad
+    size = 0 if not rate else (12 * bits // hertz + pad) * 4 if layer == 1 else samples // 8 * bits // hertz + pad
     mono = word >> 6 & 3 == 3
     side = (0 if layer != 3 else (17 if mono else 32) if one else (9 if mono else 17))
-    return {"version": version, "layer": layer, "bits": bits, "hertz": hertz, "size": size, "samples": samples, "mono": mono, "side": side, "crc": not word >> 16 & 1}
+    return {"version": version, "layer": layer, "bits": bits, "hertz": hertz, "size": size, "samples": samples, "mono": mono, "side": side, "crc": not word >> 16 & 1, "mode": word >> 6 & 3, "extension": word >> 4 & 3, "pad": pad * (4 if layer == 1 else 1)}
+
+
+#: Most bytes of a free-format frame (layer I at 448 kbit/s and 32 kHz would take 672; rates beyond the tables some more).
+FREE_BYTES = 8192
+
+
+def _free_size(data: bytes, at: int, head: dict, kind: tuple) -> int:
+    """Bytes without padding of a free-format frame at ``at``: as far as the next header of the kind that another one, or the end, follows as far on."""
+    p = at + 4
+    while 0 <= (p := data.find(b"\xff", p + 1, at + FREE_BYTES)):
+        after = header(int.from_bytes(data[p : p + 4], "big")) if p + 4 <= len(data) else None
+        if after and not after["size"] and (after["version"], after["layer"], after["hertz"]) == kind:
+            size = p - at - head["pad"]
+            third = p + size + after["pad"]
+            again = header(int.from_bytes(data[third : third + 4], "big")) if third + 4 <= len(data) else None
+            if third == len(data) or again and (again["version"], again["layer"], again["hertz"]) == kind:
+                return size
+    return 0
 
 
 def _tag_size(data: bytes, at: int) -> int:
@@ -93,6 +149,10 @@ def _tag_frames(tag: bytes) -> dict[str, str]:
     return out
 
 
+#: Encoders whose name opens the extension of a Xing or Info table.
+_ENCODERS = (b"LAME", b"Lavf", b"Lavc", b"GOGO")
+
+
 def _rate_table(frame: bytes, head: dict) -> dict | None:
     """The Xing/Info or VBRI table in a stream's first frame."""
     at = 4 + head["side"]
@@ -103,7 +163,11 @@ def _rate_table(frame: bytes, head: dict) -> dict | None:
             if flags & bit:
                 out[name], at = int.from_bytes(frame[at : at + 4], "big"), at + 4
         if flags & 4:
-            out["toc"] = list(frame[at : at + 100])
+            out["toc"], at = list(frame[at : at + 100]), at + 100
+        at += 4 * bool(flags & 8)
+        if frame[at : at + 4] in _ENCODERS:  # 12 bits each of samples before and after the sound
+            trim = int.from_bytes(frame[at + 21 : at + 24], "big")
+            out |= {"delay": trim >> 12, "padding": trim & 0xFFF}
         return out
     if frame[36:40] == b"VBRI":
         return {"kind": "VBRI", "bytes": int.from_bytes(frame[46:50], "big"), "frames": int.from_bytes(frame[50:54], "big"), "toc": None}
@@ -116,8 +180,11 @@ def parse(data: bytes) -> dict:
     Junk between frames is skipped: a frame counts where a valid header stands at the end of
     the frame before, or, after a loss of sync, where a valid header is followed by another
     consistent one (or by the end of the data). An ID3v1 tag counts only where no frame covers
-    its start. Empty input has no frames and lasts 0 s.
+    its start. Checksums are verified in all three layers; a free format's frame size is measured from
+    its headers. ``seconds`` leaves out the encoder's delay and padding where the table states
+    them. Empty input has no frames and lasts 0 s.
     """
+    free = 0
     offsets, samples, at, lost, checked, wrong, tags, table, first = [], 0, 0, 0, 0, 0, {}, None, None
     n = len(data)
     tag = n - 128 if n >= 128 and data[n - 128 : n - 125] == b"TAG" else n
@@ -136,6 +203,9 @@ def parse(data: bytes) -> dict:
             at += size
             continue
         head = at_header(at)
+        if head and not head["size"]:
+            free = free or _free_size(data, at, head, kind(head))
+            head = head | {"size": free + head["pad"]} if free else None
         if head and at + head["size"] <= n and first in (None, kind(head)):
             follow = at + head["size"]
             cut = tag < follow < n  # a frame cut short by the tag, unless another frame follows
@@ -144,9 +214,10 @@ def parse(data: bytes) -> dict:
                 frame, opening, first, synced = data[at:follow], first is None, kind(head), True
                 table = _rate_table(frame, head) if opening and head["layer"] == 3 else table
                 if not (opening and table):  # the table's frame holds no sound
-                    if head["crc"] and head["layer"] == 3:
+                    if head["crc"]:
                         checked += 1
-                        wrong += crc16(frame[2:4] + frame[6 : 6 + head["side"]]) != int.from_bytes(frame[4:6], "big")
+                        side = protected_bits(frame, head)
+                        wrong += crc16(frame[2:4] + frame[6 : 6 + -(-side // 8)], bits=16 + side) != int.from_bytes(frame[4:6], "big")
                     offsets.append(at)
                     samples += head["samples"]
                 at = follow
@@ -156,7 +227,8 @@ def parse(data: bytes) -> dict:
         past = min([*places, tag if at < tag else n])
         lost, at = lost + past - at, past
     hertz = first[2] if first else 0
-    return {"offsets": offsets, "samples": samples, "hertz": hertz, "lost": lost, "checked": checked, "wrong": wrong, "tags": tags, "table": table, "seconds": samples / hertz if hertz else 0.0}
+    played = max(0, samples - (table or {}).get("delay", 0) - (table or {}).get("padding", 0))
+    return {"offsets": offsets, "samples": samples, "hertz": hertz, "lost": lost, "checked": checked, "wrong": wrong, "tags": tags, "table": table, "seconds": played / hertz if hertz else 0.0}
 
 
 # -- carrying bytes ------------------------------------------------------------------

@@ -403,6 +403,30 @@ def test_shards_are_even_and_gapless(spark, data):
     assert max(abs(v - mean) for v in load.values()) <= 0.01 * mean + max(r.size for r in rows)
 
 
+def test_shards_are_a_sort(spark, data):
+    """Shards in turn, slots in turn: the rows by hash of the text and id; a text lies in one shard; cuts are where sizes ask."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    want = [r.doc_id for r in docs.orderBy(F.xxhash64(F.coalesce("text", F.lit(""))), "doc_id").collect()]
+    for source in (docs, docs.withColumn("doc_id", F.concat(F.lit("id-"), "doc_id"))):
+        rows = sorted(histogram_shards.shard_documents(source, 16).collect(), key=lambda r: (r.shard, r.slot))
+        if source is docs:
+            assert [r.doc_id for r in rows] == want
+        text, where = {r.doc_id: r.text or "" for r in source.collect()}, defaultdict(set)
+        total, below = sum(r.size for r in rows), Counter()
+        for r in rows:
+            where[text[r.doc_id]].add(r.shard)
+            below[r.shard] += r.size
+        assert len(rows) == len(want) and all(len(s) == 1 for s in where.values())
+        edges = np.cumsum([below[k] for k in range(16)])
+        group = Counter()
+        for r in rows:
+            group[text[r.doc_id]] += r.size
+        assert all(abs(edge - total * (k + 1) / 16) <= total / 16 * 0.005 + max(group.values()) for k, edge in enumerate(edges))
+    again = docs_of(spark, ["x", None, "y"]).unionByName(docs_of(spark, ["x", None, "y"])).withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
+    rows = histogram_shards.shard_documents(again, 4).collect()
+    assert len(rows) == 6 and sorted((r.shard, r.slot) for r in rows) == sorted({(r.shard, r.slot) for r in rows})
+
+
 def test_shards_split_hot_groups_and_awkward_rows(spark):
     texts = ["hot text of a third"] * 600 + [words(5, k) for k in range(1200)]
     rows = histogram_shards.shard_documents(docs_of(spark, texts), 16).collect()
@@ -420,6 +444,13 @@ def test_written_shards(spark, tmp_path):
     histogram_shards.write_shards(docs_of(spark, [words(9, k) for k in range(50)]), str(tmp_path / "s"), 4)
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == 50 and back.select("shard").distinct().count() == 4
+    clash = docs_of(spark, [words(9, k) for k in range(20)]).withColumns({"shard": F.lit("mine"), "slot": F.lit(1), "_id": F.lit(2)})
+    histogram_shards.write_shards(clash, str(tmp_path / "t"), 2)
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert set(back.columns) == {*clash.columns, "shard_"} and {r.shard for r in back.collect()} == {"mine"} and back.count() == 20
+    histogram_shards.write_shards(clash.limit(0), str(tmp_path / "u"), 2)
+    with pytest.raises(ValueError, match="repeats"):
+        histogram_shards.write_shards(docs_of(spark, ["a"]).unionByName(docs_of(spark, ["b"])), str(tmp_path / "v"), 2)
 
 
 # -- BPE
@@ -443,6 +474,19 @@ def test_bpe_decodes_and_handles_empty_tables(spark):
     rows = bpe.encode_documents(docs_of(spark, ["é中文", ""]).withColumn("decoded_x", F.lit(1)), PATH, public_tokenizers.PATTERN)
     assert sorted(bytes(r.decoded) for r in bpe.decode_ids(rows, PATH).collect()) == [b"", "é中文".encode()]
     assert bpe.encode_documents(docs_of(spark, []), PATH, public_tokenizers.PATTERN).count() == 0
+    clash = rows.withColumn("decoded", F.lit("mine"))
+    back = bpe.decode_ids(clash, PATH)
+    assert back.columns == [*clash.columns, "decoded_"] and {bytes(r.decoded_) for r in back.collect()} == {b"", "é中文".encode()}
+    odd = spark.createDataFrame([(None, "a b"), (None, "a b"), (7, None)], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in bpe.encode_documents(odd, PATH, public_tokenizers.PATTERN).collect()) == [(0, 2), (0, 2), (7, 0)]
+
+
+def test_bpe_with_a_pattern_that_spans_spaces(spark):
+    pattern = r"\p{L}+(?: \p{L}+)*|\s|[^\s\p{L}]+"
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
+    texts = ["the cat sat on the mat, twice", words(40, 6), "a  b c 1 2"]
+    rows = bpe.encode_documents(docs_of(spark, texts), PATH, pattern).collect()
+    assert [r.token_ids for r in sorted(rows, key=lambda r: r.doc_id)] == [library.encode_ordinary(t) for t in texts]
 
 
 def test_perfect_hash_has_no_false_hits_and_full_memos_do_not_matter(monkeypatch):
@@ -523,6 +567,83 @@ def test_evidence_without_text(spark):
     assert language_id.identify(pages.limit(0), none, model).count() == 0
 
 
+def brute_language(rows, model):
+    """(language, confidence) of rows (text or None, markup?, declared, host, suffix), by Bayes' rule in plain loops."""
+    names, table = model
+    lls, bests = [], []
+    for text, markup, *_ in rows:
+        if markup and text:
+            text = re.sub(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ", text)
+        padded, low = f" {(text or '').lower()} ", (1 << 64) - 1
+        hit = []
+        for k in range(len(padded) - 2):
+            a, b, c = map(ord, padded[k : k + 3])
+            word = ((a * 0x100000001B3 + b) * 0x100000001B3 + c) & low
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+                word = (word ^ word >> shift) * factor & low
+            hit.append(word >> 64 - language_id.BITS)
+        ll = [float(np.mean([table[j][x] for x in hit], dtype=np.float64)) * min(len(hit), language_id.EVIDENCE) if hit and text else 0.0 for j in range(len(names))]
+        lls.append([round(x - max(ll), 6) for x in ll])
+        bests.append(int(np.argmax(lls[-1])) if any(lls[-1]) else None)
+    def count(of, value):
+        return [sum(1 for r, b in zip(rows, bests, strict=True) if b == k and of(r) == value) for k in range(len(names))]
+    every, out = [sum(b == k for b in bests) for k in range(len(names))], []
+    for (_, _, declared, host, suffix), ll, best in zip(rows, lls, bests, strict=True):
+        own = [float(best == k) for k in range(len(names))]
+        post = []
+        for k in range(len(names)):
+            prior = (every[k] + 1) / (sum(every) + len(names))
+            if suffix is not None:
+                n = count(lambda r: r[4], suffix)
+                prior = (n[k] - own[k] + language_id.KAPPA * prior) / (sum(n) - sum(own) + language_id.KAPPA)
+            if host is not None:
+                n = count(lambda r: r[3:5], [host, suffix] if isinstance(rows[0], list) else (host, suffix))
+                prior = (n[k] - own[k] + language_id.KAPPA * prior) / (sum(n) - sum(own) + language_id.KAPPA)
+            said = 0.0
+            if declared is not None:
+                said = np.log((count(lambda r: r[2], declared)[k] + language_id.ALPHA) / (every[k] + language_id.ALPHA * 10))
+            post.append(round(ll[k] + np.log(prior) + said, 6))
+        top = max(post)
+        out.append((names[post.index(top)], 1 / sum(np.exp(x - top) for x in post)))
+    return out
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_language_is_brute_force(spark, monkeypatch, whole):
+    """With tables broadcast whole, and with hot keys broadcast and the others shuffled."""
+    if not whole:
+        monkeypatch.setattr(language_id, "BROADCAST_ROWS", 1)
+        monkeypatch.setattr(language_id, "HOT_PART", 4)
+    samples = {"en": "the cat and the dog sat on the mat", "de": "der hund und die katze sind im haus", "fr": "le chat et le chien dans la maison"}
+    model = language_id.text_model([t * 5 for t in samples.values()], list(samples))
+    rng, pages, docs, rows = random.Random(4), [], [], []
+    for k in range(60):
+        lang = rng.choice(list(samples))
+        text = None if k % 9 == 0 else "" if k % 10 == 3 else " ".join(rng.sample(samples[lang].split(), 3))
+        if k % 2:
+            host, said = rng.choice(["a.de", "b.fr", "c.com", "d.com", "127.0.0.1"]), rng.choice([None, lang, "en"])
+            html = None if text is None else (f'<html lang="{said}">' if said else "<html>") + f"<script>der die das</script><body>{text}</body></html>"
+            pages.append((None if k == 5 else k, f"https://{host}/p{k}" if k % 7 else None, html))
+            seen = host if k % 7 else None
+            suffix = re.search(r"\.([a-z]{2,})$", seen or "")
+            rows.append((html, True, said if html else None, seen, suffix[1] if suffix else None))
+        else:
+            source = rng.choice(["s1", "s2", None])
+            docs.append((k, text, None, source, 0))
+            rows.append((text, False, None, source, None))
+    pages += [pages[0]] * 2
+    rows += [rows[1]] * 2
+    want = brute_language(rows, model)
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({"lang": F.lit("x"), "n_host": F.lit(1), "_turn": F.lit(2), "best": F.lit(3)})
+    got = language_id.identify(table, spark.createDataFrame(docs, DOCS).withColumn("ll", F.lit(1)), model).collect()
+    key = lambda i, j, lang, c: (i is None, i or 0, j or 0, lang, round(c, 4))
+    names = []
+    it_pages, it_docs = iter(pages), iter(docs)
+    for r, w in zip(rows, want, strict=True):
+        names.append(key(None, next(it_pages)[0], *w) if r[1] else key(next(it_docs)[0], None, *w))
+    assert sorted(names) == sorted(key(r.doc_id, r.page_id, r.lang, r.confidence) for r in got)
+
+
 # -- MPEG audio
 
 
@@ -537,6 +658,75 @@ def test_audio_round_trip(spark):
     assert mpeg_audio.store_texts(docs_of(spark, [])).count() == 0
 
 
+def test_audio_features_are_those_of_the_stream(spark):
+    texts = ["", "short", words(300, 4), words(300, 4), None]
+    rows = sorted(mpeg_audio.store_texts(docs_of(spark, texts)).collect(), key=lambda r: r.doc_id)
+    for text, r in zip(texts, rows, strict=True):
+        n = max(1, -(-len((text or "").encode()) // 576))
+        tag, size = 10 + 10 + 1 + len("payload"), 144 * 144000 // 16000 // 2  # 72 bytes for each 1000 bit/s and kHz in the low layer III
+        offsets = np.array([tag + size * (k + 1) for k in range(n)], dtype="<i8")
+        want = {"crc": [n, 0], "frames": n, "lost": 0, "seconds": round(n * 576 / 16000, 6), "seek_md5": hashlib.md5(offsets.tobytes()).hexdigest(), "table": n, "title": "payload"}
+        assert json.loads(r.feature) == want and r.offsets == offsets.tolist() and r.media_bytes == tag + size * (n + 1)
+    assert rows[2].media_sha256 == rows[3].media_sha256 and rows[0].feature == rows[4].feature
+    same = spark.createDataFrame([(None, "x")] * 2, "doc_id long, text string")
+    assert [r.n_bytes for r in mpeg_audio.store_texts(same).collect()] == [1, 1]
+
+
+def bit_crc(bits):
+    word = 0xFFFF
+    for b in bits:
+        top = word >> 15 ^ b
+        word = (word << 1 & 0xFFFF) ^ (0x8005 if top else 0)
+    return word
+
+
+def frame_of(word, allocations, scale, size):
+    """A frame with a checksum over the allocation fields (width, value) and ``scale`` more bits."""
+    bits = [word >> 15 - k & 1 for k in range(16)]
+    side = [v >> w - 1 - k & 1 for w, v in allocations for k in range(w)] + [k % 2 for k in range(scale)]
+    body = side + [0] * (-len(side) % 8)
+    raw = bytes(int("".join(map(str, body[k : k + 8])), 2) for k in range(0, len(body), 8))
+    data = word.to_bytes(4, "big") + bit_crc(bits + side).to_bytes(2, "big") + raw
+    return data + bytes(size - len(data))
+
+
+def test_audio_checksums_of_layers_one_and_two():
+    rng = random.Random(2)
+    one = 0xFFFE0000 | 9 << 12 | 1 << 10 | 1 << 6 | 1 << 4  # MPEG-1 layer I, joint stereo with bound 8, 288 kbit/s, 48 kHz
+    size = mpeg_audio.header(one)["size"]
+    media = b"".join(frame_of(one, [(4, rng.randrange(15)) for _ in range(16 + 24)], 0, size) for _ in range(3))
+    found = mpeg_audio.parse(media)
+    assert (found["checked"], found["wrong"], found["seconds"]) == (3, 0, 3 * 384 / 48000)
+    for word, nbal, bound, channels in ((0xFFFC0000 | 10 << 12 | 0 << 10 | 1 << 6 | 0 << 4, mpeg_audio.NBAL["b"], 4, 2), (0xFFFC0000 | 2 << 12 | 2 << 10 | 3 << 6, mpeg_audio.NBAL["d"], 32, 1), (0xFFF40000 | 8 << 12 | 1 << 10, mpeg_audio.NBAL["low"], 32, 2)):
+        frames = []
+        for _ in range(3):
+            fields, used = [], 0
+            for k, width in enumerate(nbal):
+                for _ in range(channels if k < bound else 1):
+                    value = rng.choice([0, 0, 1, (1 << width) - 1])
+                    fields.append((width, value))
+                    used += (2 if k >= bound and channels == 2 else 1) * bool(value)
+            frames.append(frame_of(word, fields, 2 * used, mpeg_audio.header(word)["size"]))
+        found = mpeg_audio.parse(b"".join(frames))
+        assert (found["checked"], found["wrong"], len(found["offsets"])) == (3, 0, 3)
+        broken = bytearray(b"".join(frames))
+        broken[len(frames[0]) + 7] ^= 16
+        assert mpeg_audio.parse(bytes(broken))["wrong"] == 1
+
+
+def test_audio_delay_padding_and_free_format():
+    plain = (0xFFFB9064 & ~(3 << 6) | 3 << 6).to_bytes(4, "big")  # MPEG-1 layer III, mono, no checksum
+    lame = b"Info" + (15).to_bytes(4, "big") + (4).to_bytes(4, "big") + (417 * 5).to_bytes(4, "big") + bytes(100) + bytes(4) + b"LAME3.100" + bytes(12) + (576 << 12 | 1000).to_bytes(3, "big")
+    opening = plain + bytes(17) + lame
+    media = opening + bytes(417 - len(opening)) + (plain + bytes(413)) * 4
+    found = mpeg_audio.parse(media)
+    assert found["samples"] == 4 * 1152 and found["seconds"] == (4 * 1152 - 576 - 1000) / 44100
+    free = lambda pad: (0xFFFB0000 | pad << 9 | 3 << 6).to_bytes(4, "big") + b"\xff\xfb\x01" + bytes(293 + pad)
+    found = mpeg_audio.parse(b"".join(free(k % 2) for k in range(6)))
+    assert found["offsets"] == [0, 300, 601, 901, 1202, 1502] and found["lost"] == 0 and found["samples"] == 6 * 1152
+    assert mpeg_audio.parse(free(0))["offsets"] == []
+
+
 def test_audio_resynchronises_and_finds_damage():
     media = mpeg_audio.carry(mpeg_audio.pad(words(400, 2).encode()))
     whole = mpeg_audio.parse(media)
@@ -564,8 +754,9 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
         (1, 2, "b", "quote", '{"text": 5}', "a"), (1, 4, "d", "shell", "{}", "gone"), (1, 5, "e", "search", "not json", "f"), (1, 6, "f", "search", "[1]", "e"),
         (1, 9, "a", "count", '{"text": "again"}', None), (2, 1, None, "count", '{"text": "n"}', None), (None, None, "g", None, None, None),
     ], CALLS)
+    open_search = {k: v for k, v in tool_calls.SCHEMAS["search"].items() if k != "additionalProperties"}
     results = spark.createDataFrame([(1, 7, "c", "rc"), (1, 8, "zz", "orphan"), (1, 8, "a", "ra"), (1, 9, "a", "later"), (3, 1, None, "x")], RESULTS)
-    got = {r.call_id or "none": r for r in tool_calls.link_tool_calls(calls.withColumn("depth", F.lit(1)), results).collect()}
+    got = {r.call_id or "none": r for r in tool_calls.link_tool_calls(calls.withColumn("depth", F.lit(1)), results, tool_calls.SCHEMAS | {"search": open_search}).collect()}
     assert {k: r.status for k, r in got.items()} == {"a": "ok", "b": "invalid", "c": "ok", "d": "invalid", "e": "cycle", "f": "cycle", "g": "invalid", "none": "no_result", "zz": "orphan_result"}
     assert [got[k].depth for k in "abcdef"] == [0, 1, 2, 0, -1, -1] and [got[k].position for k in "adbcef"] == [1, 2, 3, 4, 5, 6]
     assert got["b"].errors == "missing:width,type:text" and got["d"].errors == "unknown_tool" and got["f"].errors == "not_an_object" and got["a"].n_repeats == 2
@@ -573,6 +764,46 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     json.loads(got["e"].message)
 
 
+def test_calls_with_several_parents(spark):
+    rng, schema = random.Random(5), CALLS.replace("after string", "after array<string>")
+    edges = {f"n{k:02d}": sorted({f"n{rng.randrange(k):02d}" for _ in range(rng.randrange(4))}) if k else [] for k in range(60)}
+    edges |= {"x": ["y", "n03"], "y": ["x"], "z": ["x", "n01"], "n60": ["n59", "gone", None], "w": ["z"]}
+    rows = [(1, k, name, "count", '{"text": "t"}', up) for k, (name, up) in enumerate(edges.items())] + [(1, 99, "none", "count", "{}", None)]
+
+    def deep(name):
+        return 1 + max((deep(p) for p in edges.get(name, []) if p in edges), default=-1)
+
+    got = {r.call_id: r for r in tool_calls.link_tool_calls(spark.createDataFrame(rows, schema), spark.createDataFrame([], RESULTS)).collect()}
+    want = {name: -1 if name in "xyzw" else deep(name) for name in edges} | {"none": 0}
+    assert {k: r.depth for k, r in got.items()} == want and {k for k, r in got.items() if r.status == "cycle"} == set("xyzw")
+    place = {k: r.position for k, r in got.items()}
+    assert all(place[p] < place[k] for k, up in edges.items() if want[k] >= 0 for p in up if p in edges) and sorted(place.values()) == list(range(1, len(place) + 1))
+
+
+def test_schemas_are_checked_inside(spark):
+    cases = {
+        '{"query":"a","limit":1,"options":{"order":"new","fields":["a"]}}': "", '{"query":"a","limit":1.5,"extra":1}': "type:limit,unknown:extra",
+        '{"query":"a","limit":1,"options":{"order":"up","fields":["a",1,2]}}': "enum:options.order,type:options.fields[]", '{"query":null,"limit":1,"options":{}}': "missing:options.order,type:query",
+        '{"query":"a","limit":1,"options":[1]}': "type:options", '{"query":"a","limit":1,"options":{"order":7}}': "type:options.order", "": "not_an_object",
+    }
+    rows = [(1, k, f"c{k}", "search", text, None) for k, text in enumerate(cases)]
+    got = tool_calls.link_tool_calls(spark.createDataFrame(rows, CALLS), spark.createDataFrame([], RESULTS)).collect()
+    assert {r.call_id: r.errors for r in got} == {f"c{k}": v for k, v in enumerate(cases.values())}
+    own = {"search": {"type": ["object"], "required": ["n"], "properties": {"query": {"enum": ["a", 1, True]}}}}
+    got = tool_calls.link_tool_calls(spark.createDataFrame(rows, CALLS), spark.createDataFrame([], RESULTS), own).collect()
+    assert [r.errors for r in got if r.call_id == "c0"] == ["missing:n"]
+
+
+def test_one_hot_conversation_is_numbered_across_partitions(spark):
+    rows = [(7 if k % 3 else 8, k, f"k{k}", "count", '{"text": "t"}', None) for k in range(900)] + [(None, 1, f"m{k}", "count", "{}", None) for k in range(5)]
+    got = tool_calls.link_tool_calls(spark.createDataFrame(rows, CALLS), spark.createDataFrame([(7, 5, "zz", "r")], RESULTS)).collect()
+    per = defaultdict(list)
+    for r in got:
+        per[r.conv_id].append((r.position, r.status == "orphan_result", r.turn or 0))
+    assert all([p for p, *_ in sorted(v)] == list(range(1, len(v) + 1)) and sorted(v) == sorted(v, key=lambda x: x[1:]) for k, v in per.items() if k is not None)
+    assert sorted(p for p, *_ in per[None]) == [1, 2, 3, 4, 5]
+
+
 def test_long_chains_and_empty_tables(spark):
     chain = spark.createDataFrame([(1, k, f"k{k}", "count", '{"text": "t"}', f"k{k - 1}") for k in range(150)], CALLS)
     none = spark.createDataFrame([], RESULTS)
