@@ -702,7 +702,8 @@ def _exhaust(lists: DataFrame, labels: DataFrame, sets: DataFrame, few: bool) ->
     tops = counts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("x"), F.sum("n").alias("whole"))
     blocks = lambda n: F.ceil(n / BLOCK_DOCS)
     tops = tops.select("bucket", F.col("x.label").alias("top"), blocks(F.col("x.n")).alias("n_top"), blocks(F.col("whole") - F.col("x.n")).alias("n_rest"))
-    marks = flat.join(tops, "bucket").join(sets.select("doc", "mark"), "doc").withColumn("left", F.col("label") == F.col("top"))
+    wide = lists.count() > BROADCAST_IDS  # a row per bucket still open; a hot bucket's members stay where they are
+    marks = flat.join(tops if wide else F.broadcast(tops), "bucket").join(sets.select("doc", "mark"), "doc").withColumn("left", F.col("label") == F.col("top"))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     own = F.pmod(F.xxhash64("doc"), F.when(F.col("left"), F.col("n_top")).otherwise(F.col("n_rest")))
     against = marks.withColumn("own", own).withColumn("other", F.explode(upto(F.when(F.col("left"), F.col("n_rest")).otherwise(F.col("n_top")))))
