@@ -167,15 +167,21 @@ def parse_tier(value: Column) -> Column:
 
 
 def natural_key(name: Column) -> Column:
-    """A string whose order is natural: digit runs by value, the rest in lower case."""
-    parts = words(F.lower(name), r"[0-9]+|[^0-9]+")
-    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike("^[0-9]"), F.lpad(F.regexp_replace(p, "^0+(?=.)", ""), 20, "0")).otherwise(p)), "\x01")
+    """A string whose order is natural: digit runs by value (their number of digits goes first), the rest in lower case."""
+    bare = lambda p: F.regexp_replace(p, "^0+(?=.)", "")
+    value = lambda p: F.concat(F.lpad(F.length(bare(p)).cast("string"), 10, "0"), bare(p))
+    return F.array_join(F.transform(words(F.lower(name), r"[0-9]+|[^0-9]+"), lambda p: F.when(p.rlike("^[0-9]"), value(p)).otherwise(p)), "\x01")
 
 
 def glob_to_regex(glob: Column) -> Column:
-    """``*`` and ``?`` as in file name patterns; everything else stands for itself."""
-    quoted = F.regexp_replace(glob, r"([\\.^$|()\[\]{}+])", r"\\$1")
-    return F.concat(F.lit("^"), F.replace(F.replace(quoted, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit(".")), F.lit("$"))
+    """``*``, ``?`` and classes as ``[a-c]`` or ``[!x]``, as in file name patterns; everything else, and an open bracket alone, stands for itself."""
+    parts = words(glob, r"\[!?\]?[^\]]*\]|(?s).")
+    part = lambda p: (
+        F.when(p == "*", ".*").when(p == "?", ".")
+        .when(F.length(p) > 1, F.concat(F.lit("["), F.regexp_replace(F.regexp_replace(F.right(p, F.length(p) - 1), "^!", "^"), r"\\", r"\\\\")))
+        .otherwise(F.concat(F.lit(r"\Q"), p, F.lit(r"\E")))
+    )
+    return F.concat(F.lit("(?s)^"), F.array_join(F.transform(parts, part), ""), F.lit("$"))
 
 
 def human_size(size: Column) -> Column:

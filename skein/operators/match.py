@@ -12,17 +12,19 @@ from skein.operators.sequences import first_wins
 HASH_BITS, SAME = 64, 6
 
 
-def triples(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{3}))"), F.lit(1)))
+def parts(text: Column) -> Column:
+    """The distinct parts of one, two and three characters of a text."""
+    every = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in (1, 2, 3)]
+    return F.array_distinct(F.concat(*every))
 
 
 def contained(rows: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
     """(key, name, at) of the names found in each row's short text, by equi-join on a name's first three characters.
 
-    Names of fewer than three characters are not looked for.
+    A shorter name is its own head. An empty name is found nowhere.
     """
-    heads = names.where(F.length("name") >= 3).select("name", F.left("name", F.lit(3)).alias("g"))
-    met = rows.select(key, text, F.explode(triples(F.col(text))).alias("g")).join(heads, "g")
+    heads = names.where("name <> ''").select("name", F.left("name", F.lit(3)).alias("g"))
+    met = rows.select(key, text, F.explode(parts(F.col(text))).alias("g")).join(heads, "g")
     return met.select(key, "name", F.expr(f"locate(name, {text})").alias("at")).where("at > 0")
 
 
@@ -30,14 +32,13 @@ def unique_match(names: DataFrame, stems: DataFrame) -> DataFrame:
     """(name, stem, how): the equal stem, else the only stem that contains the name or is contained in it.
 
     ``names`` (name) and ``stems`` (stem) are entity tables: distinct names, not rows of data.
-    Containment needs every character triple of the shorter string in the longer one, so
-    candidates come from an equi-join on a triple (strings under three characters match
-    by equality only); ambiguous names get no stem.
+    The longer string holds the first three characters of the shorter one (or all, if it has
+    fewer), so candidates come from an equi-join on them; ambiguous names get no stem.
     """
     exact = names.join(stems, F.col("name") == F.col("stem")).select("name", "stem", F.lit("exact").alias("how"))
     rest = names.join(exact, "name", "left_anti")
-    inner = lambda df, c: df.select(c, F.left(c, F.lit(3)).alias("g")).where(F.length(c) >= 3)  # noqa: E731  its first triple
-    outer = lambda df, c: df.select(c, F.explode(triples(F.col(c))).alias("g"))
+    inner = lambda df, c: df.select(c, F.left(c, F.lit(3)).alias("g")).where(F.col(c) != "")
+    outer = lambda df, c: df.select(c, F.explode(parts(F.col(c))).alias("g"))
     a = inner(rest, "name").join(outer(stems, "stem"), "g").where(F.contains("stem", F.col("name"))).select("name", "stem")
     b = outer(rest, "name").join(inner(stems, "stem"), "g").where(F.contains("name", F.col("stem"))).select("name", "stem")
     near = a.unionByName(b).distinct().groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("stem").alias("stem"))
@@ -94,23 +95,35 @@ def nearest_hash(frames: DataFrame, cache: DataFrame, within: int = SAME) -> Dat
     return first_wins(met, ["frame"], ["distance", "pos"]).select("frame", "entry", "distance")
 
 
+#: Rows of a recordings' n-gram table up to which it is broadcast (about 60 bytes each).
+BROADCAST_GRAMS = 500_000
+
+
 def vote_offsets(clips: DataFrame, recordings: DataFrame, width: int, rare: int = 4, n: int = 6) -> DataFrame:
     """(clip, rec, offset, votes): the place of each clip in the recording that its n-grams vote for.
 
     ``clips`` and ``recordings``: (id, text). Character n-grams meet where they are equal and at most ``rare``
     times in the recording; each meeting votes for a binned difference of places. Votes of
     a bin and both neighbours are summed; the highest wins, the smaller offset and then the
-    smaller recording on ties. The window's frames are a clip's bins, the join is on the n-gram.
+    smaller recording on ties.
+
+    The recordings' table has one row per n-gram, with its places in each recording; while it is small
+    (counted first) it is broadcast and no n-gram of the clips is exchanged. Otherwise both sides
+    meet by 64 bits of the n-gram, compared in full. Votes are counted on the map side; the window's frames are a clip's bins.
     """
     grams = lambda df, key, at: df.select(F.col("id").alias(key), F.posexplode(T.char_ngrams(F.col("text"), n)).alias(at, "gram"))
-    rec = grams(recordings, "rec", "rt")
-    few = rec.groupBy("rec", "gram").agg(F.collect_list("rt").alias("rts")).where(F.size("rts") <= rare)
-    met = grams(clips, "clip", "ct").join(few, "gram").select("clip", "rec", "ct", F.explode("rts").alias("rt"))
+    few = grams(recordings, "rec", "rt").groupBy("rec", "gram").agg(F.collect_list("rt").alias("rts")).where(F.size("rts") <= rare)
+    flat = few.select(F.col("gram").alias("g"), F.xxhash64("gram").alias("h"), "rec", "rts")
+    own = grams(clips, "clip", "ct")
+    if flat.count() <= BROADCAST_GRAMS:
+        listed = flat.groupBy("g").agg(F.collect_list(F.struct("rec", "rts")).alias("places"))  # as many as recordings, all broadcast
+        met = own.join(F.broadcast(listed), F.col("gram") == F.col("g")).select("clip", "ct", F.explode("places").alias("p")).select("clip", "p.rec", "ct", F.explode("p.rts").alias("rt"))
+    else:
+        met = own.withColumn("h", F.xxhash64("gram")).join(flat, "h").where("gram = g").select("clip", "rec", "ct", F.explode("rts").alias("rt"))
     votes = met.groupBy("clip", "rec", (F.bround((F.col("ct") - F.col("rt")) / width) * width).cast("long").alias("offset")).agg(F.count(F.lit(1)).alias("v"))
     w = Window.partitionBy("clip", "rec").orderBy("offset").rangeBetween(-width, width)
     smooth = votes.withColumn("votes", F.sum("v").over(w))
-    best = first_wins(smooth, ["clip", "rec"], [F.desc("votes"), "offset"])
-    return first_wins(best, ["clip"], [F.desc("votes"), "rec"]).select("clip", "rec", "offset", "votes")
+    return first_wins(smooth, ["clip"], [F.desc("votes"), "rec", "offset"]).select("clip", "rec", "offset", "votes")
 
 
 def best_jaccard(left: DataFrame, right: DataFrame, at_least: float, n: int = 3) -> DataFrame:

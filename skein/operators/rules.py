@@ -69,8 +69,10 @@ def embed_width(tier: Column, types: Column) -> Column:
 
 
 def language_verdict(cjk: Column, latin: Column) -> tuple[Column, Column]:
-    """(language, confidence) from character counts."""
+    """(language, confidence) from character counts: how far a share lies beyond its language's boundary, half at the
+    boundary, at most 1, to two places; half for bilingual text."""
     total = cjk + latin
     c, l = F.when(total > 0, cjk / total).otherwise(0.0), F.when(total > 0, latin / total).otherwise(0.0)  # noqa: E741
     lang = F.when(c >= 0.60, "zh").when((l >= 0.85) & (c < 0.10), "en").otherwise("bilingual")
-    return lang, F.greatest(c, l)
+    beyond = F.when(lang == "zh", (c - 0.60) / 0.40).when(lang == "en", (l - 0.85) / 0.15).otherwise(0.0)
+    return lang, F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), beyond + 0.5)) + 1e-9, 2)

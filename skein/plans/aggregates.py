@@ -43,14 +43,15 @@ def two_level_kpi_cv(spark, folder):
 
 @query(
     "trigram_repetition",
-    """WITH w AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9_]+') AS w FROM documents), g AS (SELECT doc_id, lower(w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS g, count(*) AS c FROM w, unnest(range(1, len(w) - 1)) AS u(i) WHERE len(w) >= 6 GROUP BY ALL)
+    """WITH w AS (SELECT doc_id, regexp_extract_all(text, '[\\pL\\pN_]+') AS w FROM documents), g AS (SELECT doc_id, lower(w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS g, count(*) AS c FROM w, unnest(range(1, len(w) - 1)) AS u(i) WHERE len(w) >= 6 GROUP BY ALL)
 SELECT w.doc_id, round(coalesce(max(c) / count(g)::DOUBLE, 0.0), 3) AS score FROM w LEFT JOIN g USING (doc_id) GROUP BY 1""",
 )
 def trigram_repetition(spark, folder):
     """Highest count of a word trigram over the number of distinct ones; 0 for fewer than six words."""
-    docs = table(spark, folder, "documents").select("doc_id", T.words(F.lower("text"), "[a-z0-9_]+").alias("w"))
-    grams = docs.where(F.size("w") >= 6).select("doc_id", F.posexplode("w").alias("i", "a"), "w").select("doc_id", F.concat_ws(" ", "a", F.get("w", F.col("i") + 1), F.get("w", F.col("i") + 2)).alias("g"), (F.col("i") + 2 < F.size("w")).alias("ok"))
-    counted = grams.where("ok").groupBy("doc_id", "g").agg(F.count(F.lit(1)).alias("c")).groupBy("doc_id").agg((F.max("c") / F.count(F.lit(1))).alias("s"))
+    docs = table(spark, folder, "documents").select("doc_id", T.words(F.lower("text"), r"[\p{L}\p{N}_]+").alias("w"))
+    grams = F.transform("w", lambda a, i: F.concat_ws(" ", a, F.get("w", i + 1), F.get("w", i + 2)))  # strings alone are exploded, never the array beside them
+    whole = F.when(F.size("w") >= 6, F.slice(grams, F.lit(1), F.size("w") - 2))
+    counted = docs.select("doc_id", F.explode(whole).alias("g")).groupBy("doc_id", "g").agg(F.count(F.lit(1)).alias("c")).groupBy("doc_id").agg((F.max("c") / F.count(F.lit(1))).alias("s"))
     return docs.select("doc_id").join(counted, "doc_id", "left").select("doc_id", F.round(F.coalesce("s", F.lit(0.0)), 3).alias("score"))
 
 

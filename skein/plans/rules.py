@@ -96,14 +96,14 @@ def tier_parse(spark, folder):
 @query(
     "language_verdict",
     """WITH c AS (SELECT source, sum(len(regexp_extract_all(text, '[\\x{4e00}-\\x{9fff}\\x{3400}-\\x{4dbf}]'))) AS cjk, sum(len(regexp_extract_all(text, '[A-Za-z]'))) AS latin FROM documents GROUP BY ROLLUP (source))
-SELECT coalesce(source, '(all)') AS source, cjk::BIGINT AS cjk, latin::BIGINT AS latin, CASE WHEN cjk / (cjk + latin) >= 0.6 THEN 'zh' WHEN latin / (cjk + latin) >= 0.85 AND cjk / (cjk + latin) < 0.1 THEN 'en' ELSE 'bilingual' END AS lang, round(greatest(cjk, latin) / (cjk + latin), 6) AS confidence FROM c""",
+SELECT coalesce(source, '(all)') AS source, cjk::BIGINT AS cjk, latin::BIGINT AS latin, CASE WHEN cjk / (cjk + latin) >= 0.6 THEN 'zh' WHEN latin / (cjk + latin) >= 0.85 AND cjk / (cjk + latin) < 0.1 THEN 'en' ELSE 'bilingual' END AS lang, round(least(1.0, 0.5 + CASE WHEN cjk / (cjk + latin) >= 0.6 THEN (cjk / (cjk + latin) - 0.6) / 0.4 WHEN latin / (cjk + latin) >= 0.85 AND cjk / (cjk + latin) < 0.1 THEN (latin / (cjk + latin) - 0.85) / 0.15 ELSE 0 END) + 1e-9, 2) AS confidence FROM c""",
 )
 def language_verdict(spark, folder):
     """Per clip (source) and pooled, in one pass by rollup."""
     cjk, latin = T.script_ratios(F.col("text"))
     rows = table(spark, folder, "documents").select("source", cjk.alias("c"), latin.alias("l")).rollup("source").agg(F.sum("c").alias("cjk"), F.sum("l").alias("latin"))
     lang, confidence = R.language_verdict(F.col("cjk"), F.col("latin"))
-    return rows.select(F.coalesce("source", F.lit("(all)")).alias("source"), "cjk", "latin", lang.alias("lang"), F.round(confidence, 6).alias("confidence"))
+    return rows.select(F.coalesce("source", F.lit("(all)")).alias("source"), "cjk", "latin", lang.alias("lang"), confidence.alias("confidence"))
 
 
 @query(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +35,17 @@ def read_transcripts(spark: SparkSession, pattern: str) -> DataFrame:
     return segments_from_json(files)
 
 
-def resolve_transcript(folder: str, names: tuple[str, ...] = ("transcript.json", "transcript_clean.json")) -> str:
-    """The first of ``names`` in ``folder``; none is an error, never an empty transcript."""
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def resolve_transcript(spark: SparkSession, folder: str, names: tuple[str, ...] = ("transcript.json", "transcript_clean.json")) -> str:
+    """The first of ``names`` in ``folder``, in any store; none is an error, never an empty transcript."""
     for name in names:
-        if (Path(folder) / name).exists():
-            return str(Path(folder) / name)
+        if exists(spark, f"{folder}/{name}"):
+            return f"{folder}/{name}"
     raise FileNotFoundError(f"no transcript in {folder}")
 
 
@@ -93,17 +97,30 @@ def bcd(byte: Column) -> Column:
     return F.shiftright(byte, 4) * 10 + byte.bitwiseAND(15)
 
 
-def deep_merge(base: dict, override: dict) -> dict:
-    """Nested settings: the override wins, except where it is None."""
-    out = dict(base)
-    for key, value in (override or {}).items():
-        if isinstance(value, dict) and isinstance(out.get(key), dict):
-            out[key] = deep_merge(out[key], value)
-        elif value is not None:
-            out[key] = value
+def leaves(settings: dict, path: tuple = ()) -> dict[tuple, object]:
+    """A nested dict as one of paths and values; an empty dict below the top is a value."""
+    out: dict[tuple, object] = {}
+    for key, value in settings.items():
+        out |= leaves(value, (*path, key)) if isinstance(value, dict) and value else {(*path, key): value}
     return out
 
 
+def deep_merge(base: dict, override: dict | None) -> dict:
+    """Nested settings, merged leaf by leaf: the override's leaves win, except where they are None.
+
+    A leaf of one side that stands where the other has a dict replaces it (unless it is None).
+    """
+    merged, new = leaves(base), {path: v for path, v in leaves(override or {}).items() if v is not None and v != {}}
+    merged = {path: v for path, v in merged.items() if not any(path[: len(n)] == n or n[: len(path)] == path for n in new)} | new
+    tree: dict = {}
+    for path, value in merged.items():
+        node = tree
+        for key in path[:-1]:
+            node = node.setdefault(key, {})
+        node[path[-1]] = value
+    return tree
+
+
 def avchd_clock(content: Column) -> Column:
     """The recording time in a camcorder stream: the first valid date and time pack behind a metadata mark.
 

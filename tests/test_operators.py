@@ -1,5 +1,7 @@
 """Edge rows of the operators, and properties against plain loops."""
 
+import random
+
 import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,8 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skein.functions import text as T
-from skein.functions.citations import parse_group
-from skein.functions.fuzzy import common_length, partial
+from skein.functions.citations import citations, parse_group
+from skein.functions.fuzzy import common_length, partial, reaches
 from skein.operators import folds, match, rules
 from skein.operators import sequences as S
 from skein.operators.intervals import interval_join
@@ -72,8 +74,11 @@ def test_unknown_density_keeps_slide(spark):
 
 
 def test_language_verdict(spark):
-    df = spark.createDataFrame([(60, 40), (5, 95), (30, 70), (0, 0)], "c int, l int")
-    assert [r[0] for r in df.select(rules.language_verdict(F.col("c"), F.col("l"))[0]).collect()] == ["zh", "en", "bilingual", "bilingual"]
+    df = spark.createDataFrame([(60, 40), (5, 95), (30, 70), (0, 0), (80, 20), (100, 0), (0, 9)], "c int, l int")
+    verdict = rules.language_verdict(F.col("c"), F.col("l"))
+    assert [tuple(r) for r in df.select(*verdict).collect()] == [("zh", 0.5), ("en", 1.0), ("bilingual", 0.5), ("bilingual", 0.5), ("zh", 1.0), ("zh", 1.0), ("en", 1.0)]
+    near = spark.createDataFrame([(70, 30), (12, 88), (9, 91)], "c int, l int")
+    assert [tuple(r) for r in near.select(*verdict).collect()] == [("zh", 0.75), ("bilingual", 0.5), ("en", 0.9)]
 
 
 def test_unique_match(spark):
@@ -81,6 +86,29 @@ def test_unique_match(spark):
     stems = spark.createDataFrame([("clip1",), ("clip10",), ("one",)], "stem string")
     got = {r.name: (r.stem, r.how) for r in match.unique_match(names, stems).collect()}
     assert got == {"clip1": ("clip1", "exact"), "clip": (None, "none"), "take one": ("one", "substring"), "zzz": (None, "none")}
+    names = spark.createDataFrame([("x",), ("ab",), ("long name q",), ("é",)], "name string")
+    stems = spark.createDataFrame([("box",), ("cab",), ("q",), ("tab",), ("né",)], "stem string")
+    got = {r.name: (r.stem, r.how) for r in match.unique_match(names, stems).collect()}
+    assert got == {"x": ("box", "substring"), "ab": (None, "none"), "long name q": ("q", "substring"), "é": ("né", "substring")}
+
+
+def test_short_names_are_found_in_texts(spark):
+    rows = spark.createDataFrame([(1, "take a1, then b2x"), (2, "c"), (3, "")], "k long, t string")
+    names = spark.createDataFrame([("a1",), ("b2x",), ("c",), ("",), ("zz",)], "name string")
+    assert sorted(map(tuple, match.contained(rows, "k", "t", names).collect())) == [(1, "a1", 6), (1, "b2x", 15), (2, "c", 1)]
+
+
+def test_natural_order_of_long_numbers(spark):
+    names = ["a2", "a10", "A1", "a" + "9" * 25, "a1" + "0" * 25, "a010", "b"]
+    keys = col(spark, T.natural_key, names)
+    order = sorted(range(len(names)), key=lambda i: keys[i])
+    assert [names[i] for i in order] == ["A1", "a2", "a10", "a010", "a" + "9" * 25, "a1" + "0" * 25, "b"]
+
+
+def test_globs(spark):
+    pairs = [("clip_*.mp4", "clip_01.mp4", True), ("c?.m", "c1.m", True), ("c[0-3]x", "c2x", True), ("c[!0-3]x", "c2x", False), ("c[", "c[", True), ("a.b", "axb", False), ("[]]", "]", True)]
+    df = spark.createDataFrame(pairs, "g string, t string, want boolean")
+    assert [r[0] for r in df.select(F.regexp_like("t", T.glob_to_regex(F.col("g"))) == F.col("want")).collect()] == [True] * len(pairs)
 
 
 def test_nearest_hash_ties_and_limit(spark):
@@ -144,6 +172,8 @@ def test_adapter_lines_and_route(spark):
 
 def test_merge_settings_and_upsert(spark):
     assert readers.deep_merge({"a": {"b": 1, "c": 2}}, {"a": {"b": None, "c": 3}}) == {"a": {"b": 1, "c": 3}}
+    assert readers.deep_merge({"a": {"b": 1}, "x": [1]}, {"a": 5, "n": {"m": {"k": 2}}, "x": None}) == {"a": 5, "x": [1], "n": {"m": {"k": 2}}}
+    assert readers.deep_merge({"a": 1, "e": {}}, {"a": {"b": 2}}) == {"a": {"b": 2}, "e": {}} and readers.deep_merge({"a": 1}, None) == {"a": 1}
     old, new = spark.createDataFrame([(1, 5, "o"), (2, 5, "o")], "k int, t int, v string"), spark.createDataFrame([(1, 5, "n"), (3, 1, "n")], "k int, t int, v string")
     assert sorted((r.k, r.v) for r in sinks.upsert(old, new, ["k"], "t").collect()) == [(1, "n"), (2, "o"), (3, "n")]
 
@@ -173,18 +203,173 @@ def test_citations():
     assert parse_group("V1 16:47, V2 00:00") == [("V1", 1007, None, False), ("V2", 0, None, False)]
     assert parse_group("05:02") == [] and parse_group("05:02", "a.mp4") == [("a.mp4", 302, None, False)]
     assert parse_group("see V1 07:30 he says") == [] and parse_group("1:00:05", "a.mp4") == [("a.mp4", 3605, None, False)]
+    legal = {
+        "seg06 V1 01:10": [("V1", 70, None, False)], "c00 14:17": [("c00", 857, None, False)], "A1 05:00": [("A1", 300, None, False)],
+        "V2 28:30-42": [("V2", 1710, 1722, False)], "x.MP4 04:22": [("x.MP4", 262, None, False)], "clip.m2ts 01:02": [("clip.m2ts", 62, None, False)],
+        "V1 ⚠️approx 03:00": [("V1", 180, None, True)], "00006.MTS 29:50–00007.MTS 01:25": [("00006.MTS", 1790, None, False), ("00007.MTS", 85, None, False)],
+        "15 knee lat 1_x264.mp4 100:43；101:00": [("15 knee lat 1_x264.mp4", 6043, None, False), ("15 knee lat 1_x264.mp4", 6060, None, False)],
+    }
+    assert {k: parse_group(k) for k in legal} == legal
+    assert parse_group("V9 01:00", known={"V1"}) == [] and parse_group("120:80", "a.mp4") == [] and parse_group("a: 1 V1 00:10") == []
+    assert citations("x `(V1 00:10)` y (no clock) (120:80)") == [("V1", 10, None, False)] and citations(None) == []
+
+
+def greedy_pieces(words, max_dur, soft_dur, gap):
+    pieces = [[]]
+    for k, (text, start, end) in enumerate(words):
+        held = pieces[-1]
+        if held and (start - held[-1][2] > gap or end - held[0][1] > max_dur or held[-1][0][-1:] in folds.HARD or held[-1][0][-1:] in folds.SOFT and held[-1][2] - held[0][1] >= soft_dur):
+            pieces.append(held := [])
+        held.append((text, start, end))
+    return [(k, round(p[0][1], 2), round(p[-1][2], 2), " ".join(x[0] for x in p)) for k, p in enumerate(pieces) if p]
+
+
+def test_resegmented_words_are_the_greedy_loop(spark):
+    draw, rows, want = random.Random(8), [], []
+    for clip in range(4):
+        now, words = 0.0, []
+        for k in range(80):
+            now += draw.choice([0, 0, 0, 0.5, 4.0]) if k else 0
+            lasts = draw.choice([0.25, 0.5, 1.0, 9.0 if k % 29 == 0 else 0.5])
+            words.append((draw.choice(["one", "two", "three"]) + draw.choice(["", "", "", ".", ",", "。"]), now, now + lasts))
+            now += lasts
+        rows += [(clip, k // 7, k % 7, f" {w}", a, b) for k, (w, a, b) in enumerate(words)]
+        want += [(clip, *p) for p in greedy_pieces(words, 8.0, 4.0, 3.0)]
+    got = folds.resegment(spark.createDataFrame(rows, "clip long, seg_idx long, pos long, word string, start double, end double"))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert folds.resegment(got.limit(0).selectExpr("clip", "piece seg_idx", "piece pos", "text word", "start", "end")).count() == 0
+
+
+def test_texts_without_word_times_are_spread(spark):
+    rows = spark.createDataFrame([(1, "ab。cdef", 0.0, 20.0), (2, "short", 1.0, 3.0), (3, "", 0.0, 50.0)], "k long, text string, start double, end double")
+    got = sorted(map(tuple, folds.spread_text(rows, 9.0).select("k", "piece", "start", "end", "text").collect()))
+    assert got == [(1, 0, 0.0, 8.57, "ab。"), (1, 1, 8.57, 17.14, "cde"), (1, 2, 17.14, 20.0, "f"), (2, 0, 1.0, 3.0, "short"), (3, 0, 0.0, 50.0, "")]
+
+
+def plain_rate_windows(rows, share, window):
+    """Every start in turn, by the definition; ``rows`` are (start, end, characters)."""
+    rates = sorted(n / (b - a) for a, b, n in rows if b - a > 0.5 and n)
+    median, found, at = rates[len(rates) // 2], [], 0
+    while at < len(rows):
+        mine = []
+        for row in rows[at:]:
+            if row[1] - rows[at][0] >= window:
+                break
+            mine.append(row)
+        span = mine[-1][1] - rows[at][0] if mine else 0
+        slow = mine and rows[at][1] - rows[at][0] >= 0.5 and span >= 0.8 * window and sum(r[2] for r in mine) / span < share * median
+        if slow:
+            found.append((rows[at][0], mine[-1][1], round(sum(r[2] for r in mine) / span, 6)))
+        at += len(mine) if slow else 1
+    return found
+
+
+def test_rate_windows_are_the_definition():
+    draw, hits = random.Random(3), 0
+    for _ in range(30):
+        now, rows = 0.0, []
+        for _ in range(60):
+            lasts = draw.choice([0.25, 2.0, 5.0, 7.0])
+            rows.append((now, now + lasts, draw.choice([0, 3, 10, 60])))
+            now += lasts + draw.choice([0, 0, 1.0])
+        frame = pd.DataFrame({"clip": 1, "seg_idx": range(60), "start": [r[0] for r in rows], "end": [r[1] for r in rows], "text": ["x" * r[2] for r in rows]})
+        got = folds.rate_windows(0.6, 30.0)(frame)
+        want = plain_rate_windows(rows, 0.6, 30.0)
+        assert list(got[["start", "end", "rate"]].itertuples(index=False, name=None)) == want
+        hits += len(want)
+    assert hits > 30
 
 
 def test_folds():
     span = folds.span_groups(60, 100)(pd.DataFrame({"clip": 1, "seg_idx": [0, 1, 2, 3], "start_ms": [0, 50, 90, 300], "end_ms": [40, 80, 120, 310]}))
     assert span["grp"].tolist() == [0, 0, 1, 2]
-    words = pd.DataFrame({"clip": 1, "seg_idx": 0, "pos": range(4), "word": ["one", "two.", "three", "four"], "start": [0, 1, 2, 9.0], "end": [1, 2, 3, 10.0]})
-    assert folds.resegment()(words)["text"].tolist() == ["one two.", "three", "four"]
-    assert [p[2] for p in folds.split_by_chars("ab。cdef", 0, 20, 9)] == ["ab。", "cde", "f"]
     hashes = pd.DataFrame({"clip": 1, "pos": [0, 1, 2], "hi": [0, 0, 2**32 - 1], "lo": [0, 1, 2**32 - 1]})
     assert folds.drift_groups(hashes)["grp"].tolist() == [0, 0, 1]
 
 
+@given(st.text("abcd ", min_size=1, max_size=12), st.text("abcd ", max_size=60), st.sampled_from([85, 88, 90]))
+@settings(max_examples=400, deadline=None)
+def test_reaching_a_ratio_is_having_it(a, b, least):
+    assert reaches(a, b, least) == (partial(a, b) >= least)
+
+
+@given(st.integers(0, 2**32), st.sampled_from([85, 88, 90]))
+@settings(max_examples=300, deadline=None)
+def test_reaching_a_ratio_near_the_bound(seed, least):
+    draw = random.Random(seed)
+    a = "".join(draw.choices("abcdefghijkl", k=draw.randint(8, 24)))
+    w = list(a)
+    for _ in range(draw.randint(1, 4)):
+        w[draw.randrange(len(w)) :][:1] = []
+        at = draw.randrange(len(w))
+        w[at : at + draw.randint(0, 1)] = draw.choice(["", "x", "y"])
+    b = "".join(draw.choices("abcdefghijkl ", k=draw.randint(0, 30))) + "".join(w) + "".join(draw.choices("abcdefghijkl ", k=draw.randint(0, 30)))
+    assert reaches(a, b, least) == (partial(a, b) >= least)
+
+
+def test_grounding_by_plain_loops(spark):
+    import re
+
+    from skein.operators.ground import LEAST, ground
+
+    draw = random.Random(6)
+    stems = ["tendinopathy", "rehabilitation", "MRI", "adalimumab", "shoulder", "motion", "x-ray", "arthritis", "exercise", "ALS", "肩關節復健科", "supraspinatus"]
+
+    def bend(w):
+        at = draw.randrange(1, len(w))
+        return draw.choice([w, "e" + w, w[:at] + "x" + w[at + 1 :], w[:at] + w[at + 1 :]]) if len(w) < 8 else w[:at] + draw.choice(["x", "", "xx"]) + w[at + 1 :]
+
+    slides = [(k, 1, 15 * k, 15 * k + 15, " ".join(draw.sample(stems, 6)) + " Motion") for k in range(8)]
+    segments = [(1, k, 9000 * k, 9000 * k + 8000, " ".join(bend(draw.choice(stems)) for _ in range(6)) if k % 5 else "knee") for k in range(16)]
+    got = {r.slide_id: r for r in ground(spark.createDataFrame(slides, "slide_id long, clip long, start_s long, end_s long, quick_text string"), spark.createDataFrame(segments, "clip long, seg_idx long, start_ms long, end_ms long, text string"), {"msk": ["shoulder", "肩"], "lab": ["none of it"]}).collect()}
+    kinds = {w: c for w, c in zip(stems + ["Motion"], col(spark, T.keyword_class, stems + ["Motion"]), strict=True)}
+    n_fuzzy = 0
+    for k, _, a, b, text in slides:
+        heard = [t for _, _, s, e, t in segments if e >= max(0, a * 1000 - 20_000) and s <= b * 1000 + 20_000]
+        keys = list(dict.fromkeys((w if kinds[w] == "abbreviation" else w.lower(), kinds[w]) for w in text.split() if kinds[w]))
+        hits = []
+        for key, kind in keys:
+            if kind == "abbreviation":
+                ok = any(re.search(rf"(?<![A-Za-z0-9]){key}(?![A-Za-z0-9])", t) for t in heard)
+            elif len(key) <= 7:
+                ok = any(re.search(rf"(?<![a-z0-9]){key}", t.lower()) if key.isascii() else key in t for t in heard)
+            else:
+                ok = any(partial(key, t.lower()) >= LEAST[kind] for t in heard)
+                n_fuzzy += ok and not any(key in t.lower() for t in heard)
+            hits += [key] * ok
+        assert got[k].n_keywords == len(keys) and abs(got[k].reference_density - len(hits) / len(keys)) < 1e-6 and got[k].n_segments == len(heard)
+        assert got[k].top_keywords == ",".join(list(dict.fromkeys(hits + [w for w, _ in keys]))[:5])
+        assert got[k].domains == ("msk" if any("shoulder" in t.lower() or "肩" in t for t in [*heard, text]) else "")
+    assert n_fuzzy > 3
+
+
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_votes_are_the_histogram(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(match, "BROADCAST_GRAMS", broadcast)
+    draw = random.Random(4)
+    recs = {k: "".join(draw.choices("abcde", k=400)) + "the same refrain " * 6 for k in range(3)}
+    clips = {k: "xx" + recs[k % 3][40 * k : 40 * k + 90] + "the same refrain zz" for k in range(7)} | {9: "short", 10: None}
+    rows = lambda d: spark.createDataFrame(list(d.items()), "id long, text string")
+    got = {r.clip: (r.rec, r.offset, r.votes) for r in match.vote_offsets(rows(clips), rows(recs), 25).collect()}
+    squeezed = lambda t: "".join((t or "").split())
+    grams = lambda t: [t[i : i + 6] for i in range(len(t) - 5)]
+    want = {}
+    for c, text in clips.items():
+        votes = {}
+        for r, whole in recs.items():
+            places = {}
+            for at, g in enumerate(grams(squeezed(whole))):
+                places.setdefault(g, []).append(at)
+            for ct, g in enumerate(grams(squeezed(text))):
+                for rt in places.get(g, []) if len(places.get(g, [])) <= 4 else []:
+                    key = (r, round((ct - rt) / 25) * 25)
+                    votes[key] = votes.get(key, 0) + 1
+        ranked = sorted((-sum(votes.get((r, o + d), 0) for d in (-25, 0, 25)), r, o) for r, o in votes)
+        if ranked:
+            want[c] = (ranked[0][1], ranked[0][2], -ranked[0][0])
+    assert got == want and len(want) >= 7
+
+
 def test_late_events_are_left_out(spark, tmp_path):
     from skein.streaming import events as E
 
