@@ -17,21 +17,22 @@ def stream_status(spark, folder):
 
 @query("stream_tumbling", "SELECT epoch(time_bucket(INTERVAL 1 HOUR, ts))::BIGINT AS start_s, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_tumbling(spark, folder):
-    return S.drain(S.tumbling(_log(spark, folder), "1 hour", "10 minutes"), "complete")
+    return S.drain(S.tumbling(_log(spark, folder), "1 hour", "10 minutes"), "update", ["start_s", "event_type"])
 
 
 @query(
     "stream_session",
     """WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS nw FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
-s AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g) SELECT user_id, epoch_us(min(ts)) AS start_us, count(*) AS n FROM s GROUP BY user_id, k""",
+s AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g) SELECT user_id, epoch_us(min(ts)) AS start_us, count(*) AS n FROM s GROUP BY user_id, k HAVING max(ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
 )
 def stream_session(spark, folder):
-    return S.drain(S.sessions(_log(spark, folder), "2 hours", "10 minutes"), "complete")
+    """Sessions that have ended by the watermark; later ones stay open in the state."""
+    return S.drain(S.sessions(_log(spark, folder), "2 hours", "10 minutes"), "append")
 
 
 @query("stream_lifecycle", "SELECT user_id, arg_max(event_type, (ts, event_id)) AS stage, count(*) AS n FROM events GROUP BY 1")
 def stream_lifecycle(spark, folder):
-    return S.drain(S.lifecycle(_log(spark, folder)), "complete")
+    return S.drain(S.lifecycle(_log(spark, folder)), "update", ["user_id"])
 
 
 @query(

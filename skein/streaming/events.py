@@ -1,7 +1,7 @@
 """Structured Streaming over stage event logs: filters, windows, sessions, lifecycle, staleness.
 
 Every function takes and returns streaming DataFrames; :func:`drain` runs one to the end of
-what has arrived (``availableNow``) into a table, with its checkpoint in the shared folder.
+what has arrived (``availableNow``) into a table, with its checkpoint in the shared folder, from which a named run resumes.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from skein.operators.sequences import first_wins
 from skein.sources.sinks import shared_dir
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -27,13 +28,13 @@ def status_filter(events: DataFrame, status: str) -> DataFrame:
 
 
 def tumbling(events: DataFrame, width: str, lateness: str) -> DataFrame:
-    """Counts per window and stage; events later than ``lateness`` behind the watermark are left out."""
+    """Counts per window and stage; windows wholly behind the watermark, ``lateness`` behind the latest event, are closed and forgotten."""
     counted = events.withWatermark("at", lateness).groupBy(F.window("at", width), "event_type").agg(F.count(F.lit(1)).alias("n"))
     return counted.select(F.unix_seconds("window.start").alias("start_s"), "event_type", "n")
 
 
 def sessions(events: DataFrame, gap: str, lateness: str) -> DataFrame:
-    """Sessions of a run: events less than ``gap`` apart."""
+    """Sessions of a run: events less than ``gap`` apart. A session is a row once the watermark has passed its end (append mode)."""
     grouped = events.withWatermark("at", lateness).groupBy("user_id", F.session_window("at", gap)).agg(F.count(F.lit(1)).alias("n"))
     return grouped.select("user_id", F.unix_micros("session_window.start").alias("start_us"), "n")
 
@@ -67,13 +68,23 @@ def stale_gaps(events: DataFrame, seconds: int) -> DataFrame:
     return keyed.groupBy("user_id").applyInPandasWithState(beat, "user_id long, event_id long, gap_s double", "last long", "append", GroupStateTimeout.NoTimeout)
 
 
-def drain(stream: DataFrame, mode: str) -> DataFrame:
-    """Run the stream over all that has arrived; the table it leaves. Complete mode replaces the table with each batch."""
-    path = shared_dir(stream.sparkSession)
+def drain(stream: DataFrame, mode: str, keys: list[str] | None = None, name: str | None = None) -> DataFrame:
+    """Run the stream over all that has arrived; the table it leaves.
+
+    Rows are only ever added. In append mode they are final. In update mode each batch adds the
+    rows that changed, under its number (written over when a batch is repeated after a failure), and the
+    table is the last row of every key in ``keys``. With a ``name`` the checkpoint and the
+    table are kept under it in the shared folder: the next run resumes and reads only what is new.
+    """
+    spark, path = stream.sparkSession, shared_dir(stream.sparkSession, name and f"streams/{name}")
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
     if mode == "append":
-        query = writer.format("parquet").option("path", f"{path}/table").start()
-    else:
-        query = writer.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{path}/table")).start()
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/table")
+        writer.format("parquet").option("path", f"{path}/table").start().awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{path}/table")
+
+    def changed(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/table/batch={batch}")
+
+    writer.foreachBatch(changed).start().awaitTermination()
+    rows = spark.read.schema(stream.schema.add("batch", "long")).option("basePath", f"{path}/table").parquet(f"{path}/table/batch=*")
+    return first_wins(rows, keys or stream.columns, [F.desc("batch")]).drop("batch")
