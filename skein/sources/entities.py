@@ -61,3 +61,46 @@ def note_lines(documents: DataFrame) -> DataFrame:
 
 
 NOTE_LINES = """note_lines AS (SELECT doc_id AS note, i - 1 AS line_no, l[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), unnest(range(1, len(l) + 1)) AS u(i))"""
+
+
+#: What a note of the audit may hold besides a document's text: before it, and after it.
+NOTE_HEAD = [
+    "---\ntags: a\n---\n", "---\nkey: 1\n---\n", "# L3 Title\n", "# 總整理\n![[f1.jpg|600]]\n", "# seg 03 title\n", "# 逐段筆記\n", "# Topic `Smith 2020`\n", "# Background\nPrognosis 併發症\n",
+    "# Evaluation\n# Management\n## ⭐ algorithm\n", "# Management\n## drugs\n", "> [!summary] Pearls\n", "## empty\n\n## next\n",
+]
+NOTE_TAIL = [
+    "\n# Resource\n", "\n![[f1.jpg|600]]\n![[figures/f2.png]]\n\n> a caption\n![[f3.jpg|300]]\n*after*\n", "\n[[_HUB_x]] [[L2_seg01_a]] [[L3_seg09_z|alias]]\n", "\n縮寫 table\n| a | b |\n", "\n- said (V1 01:02)\n  - deeper\n",
+    "\n的==中文== and ==a<b==\n", "\n| [[a|b]] |\n| 1 |\n| 2 |\ntext\n| [[a|b]] |\n| 1 |\n| 2 |\n", "\n[!todo] 屍體 GRF\n", "\n```\ncode\n```\n", "\n🗣️ (citation 3) 各段 GRF (ground)\n", "\n> [!figure] " + "long title " * 5 + "\n> ![[f1.jpg]]\n", "\n- " + "字" * 60 + "\n",
+]
+_PATHS = ["/c/L3/L3_seg01_a.md", "/c/L2/L2_seg01_a.md", "/c/_HUB_c.md", "/c/notes/x.md", "/c/L3/overview.md", "/c/L2/q.md"]
+_MODES, _TEMPLATES = ["lecture-seg", "lecture", "textbook", "lecture-seg", "textbook"], ["disease", "exam", "tool", "atlas"]
+NOTE_FILES = ["/c/L2/L2_seg01_a.md", "figures/f1.jpg", "figures/f2.png"]
+
+
+def _cycle(items: list[str], by: int):
+    return F.element_at(F.array(*map(F.lit, items)), (F.col("doc_id") % by % len(items)).cast("int") + 1)
+
+
+def audit_notes(documents: DataFrame) -> DataFrame:
+    """Notes for the audit: note, mode, template, path, text (a document's whole text among parts chosen by its id)."""
+    part = lambda k, x: F.when(F.col("doc_id") * (k + 3) % 11 < 3, F.lit(x)).otherwise("")
+    head = [part(k, x) for k, x in enumerate(NOTE_HEAD)]
+    tail = [part(k + 20, x) for k, x in enumerate(NOTE_TAIL)]
+    return documents.select(F.col("doc_id").alias("note"), _cycle(_MODES, 35).alias("mode"), _cycle(_TEMPLATES, 48).alias("template"), _cycle(_PATHS, 66).alias("path"), F.concat(*head, F.coalesce("text", F.lit("")), *tail).alias("text"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+def _sql_cycle(items: list[str], by: int) -> str:
+    return "[" + ", ".join(map(_quoted, items)) + f"][doc_id % {by} % {len(items)} + 1]"
+
+
+def _sql_parts(items: list[str], first: int) -> str:
+    return " || ".join(f"CASE WHEN doc_id * {k + first + 3} % 11 < 3 THEN {_quoted(x)} ELSE '' END" for k, x in enumerate(items))
+
+
+AUDIT_NOTES = f"""notes AS (SELECT doc_id AS note, {_sql_cycle(_MODES, 35)} AS mode, {_sql_cycle(_TEMPLATES, 48)} AS template, {_sql_cycle(_PATHS, 66)} AS path,
+  {_sql_parts(NOTE_HEAD, 0)} || coalesce(text, '') || {_sql_parts(NOTE_TAIL, 20)} AS text FROM documents),
+lines AS (SELECT note, mode, template, i - 1 AS line_no, l[i] AS line FROM (SELECT note, mode, template, string_split(text, chr(10)) AS l FROM notes), unnest(range(1, len(l) + 1)) AS u(i))"""
