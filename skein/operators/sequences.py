@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from skein.sources.shared import shared_dir
 
 
 def _cols(names) -> list[Column]:
@@ -67,3 +70,20 @@ def drop_repeats(df: DataFrame, by: list, order: list, value: str) -> DataFrame:
 def upper_median(values: Column) -> Column:
     """The middle element of the sorted array, the upper one of two."""
     return F.get(F.array_sort(values), F.floor(F.size(values) / 2).cast("int"))
+
+
+def ranked(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
+    """``df`` with ``name``: every row's place, from 1, in the order of all rows (``order`` must tell rows apart).
+
+    A window over the whole table would be one task. Rows are sorted by range instead, written, numbered
+    within their partition, and moved by the rows of the partitions before: one number per partition.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark)
+    df.repartitionByRange(*_cols(order)).withColumn("_p", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.schema(StructType([*df.schema.fields, StructField("_p", IntegerType())])).parquet(path)
+    ahead = F.coalesce(F.sum("n").over(Window.orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = rows.groupBy(F.col("_p").alias("_q")).agg(F.count(F.lit(1)).alias("n")).select("_q", ahead.alias("_before"))
+    local = rows.withColumn("_local", F.row_number().over(Window.partitionBy("_p").orderBy(*_cols(order))))
+    out = local.join(F.broadcast(before), F.col("_p") == F.col("_q"))  # a row per partition
+    return out.withColumn(name, (F.col("_local") + F.col("_before")).cast("long")).drop("_p", "_q", "_local", "_before")

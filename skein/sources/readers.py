@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,3 +146,75 @@ def avchd_clock(content: Column) -> Column:
 def refine_seconds(claim: Column, mtime: Column) -> Column:
     """The file's time where it falls in the minute that its name claims, else the claim."""
     return F.when(F.date_trunc("minute", mtime) == F.date_trunc("minute", claim), mtime).otherwise(claim)
+
+
+def slide_rows(rows: DataFrame, item: str, column: str = "value") -> DataFrame:
+    """One row per entry ``x`` (of type ``item``) of JSON lists: bare, under ``slides``, or the first list in an object.
+
+    Any other shape raises when the row is read; an empty list gives no rows.
+    """
+    v, kind = F.parse_json(column), f"array<{item}>"
+    members = F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
+    first = F.get(F.filter(members, lambda m: F.schema_of_variant(m).startswith("ARRAY")), F.lit(0))
+    found = F.coalesce(F.try_variant_get(v, "$", kind), F.try_variant_get(v, "$.slides", kind), F.try_variant_get(first, "$", kind))
+    checked = F.when(found.isNull(), F.raise_error(F.concat(F.lit("no list of slides: "), F.left(column, F.lit(80))))).otherwise(found)
+    return rows.select(*[c for c in rows.columns if c != column], F.posexplode(checked).alias("pos", "x"))
+
+
+def page_range(pages: DataFrame, low: int, high: int, page: str = "page") -> DataFrame:
+    """The pages from ``low`` to ``high``; a page without a number is in no range."""
+    return pages.where(F.col(page).between(low, high))
+
+
+def deck(intro: DataFrame, pages: DataFrame) -> DataFrame:
+    """A deck's pages with ``part`` and ``part_no``, by which introductory pages go before the others."""
+    named = lambda df, name, n: df.withColumns({"part": F.lit(name), "part_no": F.lit(n)})
+    return named(intro, "intro", 0).unionByName(named(pages, "pages", 1))
+
+
+def read_settings(spark: SparkSession, path: str | None, defaults: dict) -> dict:
+    """``defaults`` with the settings of a YAML or JSON file merged in; without a path, or where it does not exist, the defaults.
+
+    A file that cannot be read as settings is an error. YAML needs the yaml library; JSON does not.
+    """
+    if not path or not exists(spark, path):
+        return dict(defaults)
+    text = spark.read.text(path, wholetext=True).first().value
+    try:
+        loaded = json.loads(text)
+    except ValueError:
+        import yaml
+
+        loaded = yaml.safe_load(text)
+    if not isinstance(loaded, dict | None):
+        raise ValueError(f"{path} holds no settings")
+    return deep_merge(defaults, loaded)
+
+
+def resolve_alias(name: str, settings: dict) -> str:
+    """A model's path or public name: an alias from ``models.aliases``, with ``{folder}`` filled in from ``paths.models``.
+
+    An alias that needs a folder where none is set is an error.
+    """
+    target = (settings.get("models") or {}).get("aliases", {}).get(name, name)
+    folder = (settings.get("paths") or {}).get("models")
+    if "{folder}" in target and not folder:
+        raise ValueError(f"alias {name} needs paths.models")
+    return target.replace("{folder}", (folder or "").rstrip("/"))
+
+
+def scan_media(spark: SparkSession, folders: list[str], kinds: tuple[str, ...] = ("video", "image", "audio")) -> DataFrame:
+    """source, path, file, kind, length, modified of the media files right in each folder, given as ``FOLDER`` or ``LABEL=FOLDER``.
+
+    The label, else the folder's last part, is the source. Files of other kinds are left out; contents are not read.
+    """
+    parts = []
+    for given in folders:
+        label, _, folder = given.rpartition("=")
+        if not exists(spark, folder):
+            raise FileNotFoundError(folder)
+        files = spark.read.format("binaryFile").load(f"{folder}/*").select("path", "length", F.col("modificationTime").alias("modified"))
+        parts.append(files.withColumn("source", F.lit(label or folder.rstrip("/").rpartition("/")[2])))
+    every = reduce(DataFrame.unionByName, parts)
+    name = F.regexp_extract("path", "([^/]*)$", 1)
+    return every.select("source", "path", name.alias("file"), file_kind(name).alias("kind"), "length", "modified").where(F.col("kind").isin(*kinds))

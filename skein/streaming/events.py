@@ -10,9 +10,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from skein.operators.sequences import first_wins
-from skein.sources.sinks import shared_dir
+from skein.sources.shared import shared_dir
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -62,7 +63,8 @@ def stale_gaps(events: DataFrame, seconds: int) -> DataFrame:
                 found.append((key[0], ident, (us - last) / 1e6))
             last = us if last is None else max(last, us)
         state.update((last,))
-        yield pd.DataFrame(found, columns=["user_id", "event_id", "gap_s"])
+        if found:
+            yield pd.DataFrame(found, columns=["user_id", "event_id", "gap_s"])
 
     keyed = events.select("user_id", "event_id", F.unix_micros("at").alias("us"))
     return keyed.groupBy("user_id").applyInPandasWithState(beat, "user_id long, event_id long, gap_s double", "last long", "append", GroupStateTimeout.NoTimeout)
@@ -86,5 +88,5 @@ def drain(stream: DataFrame, mode: str, keys: list[str] | None = None, name: str
         rows.write.mode("overwrite").parquet(f"{path}/table/batch={batch}")
 
     writer.foreachBatch(changed).start().awaitTermination()
-    rows = spark.read.schema(stream.schema.add("batch", "long")).option("basePath", f"{path}/table").parquet(f"{path}/table/batch=*")
+    rows = spark.read.schema(StructType([*stream.schema.fields, StructField("batch", LongType())])).option("basePath", f"{path}/table").parquet(f"{path}/table/batch=*")
     return first_wins(rows, keys or stream.columns, [F.desc("batch")]).drop("batch")

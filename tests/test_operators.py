@@ -446,3 +446,119 @@ def test_adapters(spark):
         return 7
 
     assert A.retry(flaky) == 7
+
+
+def test_gates(spark):
+    from skein.operators import gates as G
+
+    rows = spark.createDataFrame([("a", True, False, 2.0), ("a", True, True, 4.0), ("a", False, False, None), ("b", False, False, 1.0)], "stage string, called boolean, failed boolean, s double")
+    counted = G.counters(rows, "stage", F.col("called"), F.col("failed"), F.col("s"))
+    got = {r.stage: (r.n_input, r.n_called, r.n_failed, r.mean_s, r.fail_ratio, r.eta_s) for r in counted.collect()}
+    assert got == {"a": (3, 2, 1, 3.0, 0.5, 3.0), "b": (1, 0, 0, None, None, None)}
+    assert G.guard(counted.where("stage = 'a'"), 0.5).count() == 1
+    for bad in (counted.where("stage = 'a'"), counted.where("stage = 'b'"), counted.limit(0)):
+        with pytest.raises(G.GateError):
+            G.guard(bad)
+    names = ["a/b/x.y.MTS", "plain", ".hidden", "dir.d/file"]
+    assert col(spark, G.extension, names) == [".mts", "", ".hidden", ""] and col(spark, G.stem, names) == ["x.y", "plain", ".hidden", "file"]
+    assert col(spark, G.language_code, ["auto", "bilingual", "en", None]) == [None, "zh", "en", None]
+    assert col(spark, G.schema_fault, ["{", "[]", '{"fixture": 1}', None]) == ["not an object", "not an object", "fixture wrong type", "not an object"]
+    assert col(spark, lambda c: F.size(G.ocr_items(c)), ["null", "[]", '[[], "t"]', None, "[[], [0.1]]", '{"txts": []}']) == [0, 0, 0, 0, 0, 0]
+
+
+def test_rows_are_ranked_across_partitions(spark):
+    draw = random.Random(2)
+    rows = [(k, draw.choice([None, *range(40)])) for k in range(500)]
+    got = {r.k: r.place for r in S.ranked(spark.createDataFrame(rows, "k long, v long").repartition(5), [F.col("v").asc_nulls_last(), "k"], "place").collect()}
+    want = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0]))
+    assert [got[k] for k, _ in want] == list(range(1, 501))
+    assert S.ranked(spark.createDataFrame([], "k long"), ["k"]).count() == 0
+
+
+def test_decks_and_settings(spark, tmp_path):
+    texts = [("a", '[{"n": 1}, {"n": 2}]'), ("b", '{"slides": [{"n": 3}]}'), ("c", '{"t": "x", "cards": [{"n": 4}], "more": [{"n": 9}]}'), ("d", "[]")]
+    got = readers.slide_rows(spark.createDataFrame(texts, "deck string, value string"), "struct<n:int>")
+    assert sorted((r.deck, r.pos, r.x.n) for r in got.collect()) == [("a", 0, 1), ("a", 1, 2), ("b", 0, 3), ("c", 0, 4)]
+    with pytest.raises(Exception, match="no list of slides"):
+        readers.slide_rows(spark.createDataFrame([("e", '{"t": 1}')], "deck string, value string"), "struct<n:int>").collect()
+    path = tmp_path / "settings.json"
+    path.write_text('{"models": {"aliases": {"big": "{folder}/large"}}, "paths": {"models": "/m/"}, "k": null}')
+    settings = readers.read_settings(spark, str(path), {"k": 1, "models": {"aliases": {}}})
+    assert settings["k"] == 1 and readers.resolve_alias("big", settings) == "/m/large" and readers.resolve_alias("other", settings) == "other"
+    assert readers.read_settings(spark, None, {"k": 1}) == {"k": 1} and readers.read_settings(spark, str(tmp_path / "none"), {"k": 1}) == {"k": 1}
+    with pytest.raises(ValueError, match="needs"):
+        readers.resolve_alias("big", {"models": {"aliases": {"big": "{folder}/x"}}})
+
+
+def test_media_folders_and_transcripts(spark, tmp_path):
+    for name in ("cam/a.MP4", "cam/b.txt", "rec [1]/c.mp3", "clip1/transcript_clean.json", "clip1/transcript.json"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text('[{"start": 0, "end": 1, "text": "hi"}]')
+    got = readers.scan_media(spark, [str(tmp_path / "cam")])
+    assert [(r.source, r.file, r.kind) for r in got.collect()] == [("cam", "a.MP4", "video")]
+    assert [(r.source, r.kind) for r in readers.scan_media(spark, [f"room={tmp_path}/cam"]).collect()] == [("room", "video")]
+    with pytest.raises(FileNotFoundError):
+        readers.scan_media(spark, [str(tmp_path / "none")])
+    assert readers.resolve_transcript(spark, str(tmp_path / "clip1")).endswith("clip1/transcript.json")
+    with pytest.raises(FileNotFoundError):
+        readers.resolve_transcript(spark, str(tmp_path / "cam"))
+    assert [(r.clip, r.seg_idx, r.text) for r in readers.read_transcripts(spark, f"{tmp_path}/*/transcript.json").collect()] == [("clip1", 0, "hi")]
+
+
+def test_page_texts_fingerprints_and_times(spark, tmp_path):
+    pages = lambda text, n=None: [(r.page, r.text) for r in readers.page_texts(spark.createDataFrame([(text,)], "value string"), pages=n).collect()]
+    assert pages('[{"page": 1, "text": "a"}, {"page": 2, "text": "b"}]') == [(0, "a"), (1, "b")] == pages('{"pages": ["a", "b", "c"]}', 2)
+    big = bytes(range(256)) * 1024
+    (tmp_path / "big.bin").write_bytes(big)
+    (tmp_path / "small.bin").write_bytes(b"abc")
+    import hashlib
+
+    got = {r.path.rpartition("/")[2]: (r.length, r.fingerprint) for r in readers.media_fingerprint(spark.read.format("binaryFile").load(str(tmp_path))).collect()}
+    assert got == {"big.bin": (len(big), hashlib.sha256(big[:65536] + big[-65536:]).hexdigest()[:8]), "small.bin": (3, hashlib.sha256(b"abc").hexdigest()[:8])}
+    df = spark.createDataFrame([("2024-05-26 11:19:00", "2024-05-26 11:19:42"), ("2024-05-26 11:19:00", "2024-05-26 11:20:00")], "a string, b string").selectExpr("cast(a as timestamp) a", "cast(b as timestamp) b")
+    assert [r[0].second for r in df.select(readers.refine_seconds(F.col("a"), F.col("b"))).collect()] == [42, 0]
+
+
+def test_sinks_add_keep_and_refuse(spark, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v int")
+    sinks.append_events(spark.createDataFrame([(1, None), (2, "own")], "n int, run string"), at("log"), {"run": "r1", "host": "h"})
+    sinks.append_events(spark.createDataFrame([(3,)], "n int"), at("log"), {"run": "r2"})
+    assert sorted((r.n, r.run) for r in spark.read.json(at("log")).collect()) == [(1, "r1"), (2, "own"), (3, "r2")]
+    sinks.append_run_summary(spark, at("runs"), {"done": 5, "host": "mine"}, "r1")
+    line = spark.read.json(at("runs")).first()
+    assert (line.done, line.host, line.run_id) == (5, "mine", "r1") and line.ts.startswith("20")
+    assert sinks.write_once(rows(1), at("o")) and not sinks.write_once(rows(2), at("o")) and spark.read.parquet(at("o")).first().v == 1
+    assert sinks.write_once(rows(3), at("o"), force=True) and spark.read.parquet(at("o")).first().v == 3
+    sinks.write_new(rows(1), at("n"))
+    with pytest.raises(Exception, match="(?i)exists"):
+        sinks.write_new(rows(2), at("n"))
+    assert sinks.rewrite(rows(1), at("r")) is None
+    assert sinks.rewrite(spark.read.parquet(at("r")).selectExpr("v + 1 as v"), at("r")) == at("r.bak")
+    assert sinks.rewrite(rows(9), at("r")).startswith(at("r.bak-")) and spark.read.parquet(at("r.bak")).first().v == 1 and spark.read.parquet(at("r")).first().v == 9
+    manifest = spark.createDataFrame([(0, "b", 5), (1, "a", 2)], "idx long, src string, start long")
+    sinks.reorder_by_time(manifest, at("m"))
+    assert sorted((r.idx, r.src) for r in spark.read.parquet(at("m")).collect()) == [(0, "a"), (1, "b")]
+    with pytest.raises(ValueError, match="no time"):
+        sinks.reorder_by_time(manifest.withColumn("start", F.lit(None).cast("long")), at("m"))
+    sinks.write_transcript_lines(spark.createDataFrame([(1, 61.0, " b "), (0, 0.0, "a")], "seg_idx int, start double, text string"), at("t"))
+    assert [r.value for r in spark.read.text(at("t")).collect()] == ["[00:00] a", "[01:01] b"] or sorted(r.value for r in spark.read.text(at("t")).collect()) == ["[00:00] a", "[01:01] b"]
+    a, b = spark.createDataFrame([("x", 1, 2), ("y", 1, 2), ("z", 1, 2)], "name string, size int, mtime int"), spark.createDataFrame([("x", 1, 2), ("y", 1, 3)], "name string, size int, mtime int")
+    assert sorted(r.name for r in sinks.needs_refresh(a, b).collect()) == ["y", "z"]
+
+
+def test_runs_and_first_seen(spark, tmp_path):
+    from skein.streaming import events as E
+
+    rows = spark.createDataFrame([(1, k, s, float(k), k + 0.5) for k, s in enumerate("aabbbac")], "g int, pos int, s string, a double, b double")
+    got = S.runs(rows, ["g"], ["pos"], F.col("s"), F.col("s") != "c", 2, "a", "b")
+    assert sorted((r.first_pos, r.last_pos, r.run_start, r.run_end, r.n) for r in got.collect()) == [(0, 1, 0.0, 1.5, 2), (2, 4, 2.0, 4.5, 3)]
+    make = lambda rows, n: spark.createDataFrame(rows, "event_id long, at string, user_id long, event_type string, value double, props string").selectExpr("event_id", "cast(at as timestamp_ntz) ts", "user_id", "event_type", "value", "props").write.parquet(str(tmp_path / f"in/{n}"))
+    make([(1, "2024-01-01 00:00:10", 1, "a", 1.0, ""), (2, "2024-01-01 00:00:20", 1, "a", 1.0, ""), (3, "2024-01-01 00:00:30", 1, "b", 1.0, "")], 1)
+    log = lambda: E.read_log(spark, str(tmp_path / "in/*"))
+    assert sorted(r.event_type for r in E.drain(E.first_seen(log(), "1 hour"), "append").collect()) == ["a", "b"]
+    name = f"test-{random.random()}"
+    follow = lambda: {r.user_id: (r.stage, r.n) for r in E.drain(E.lifecycle(log()), "update", ["user_id"], name).collect()}
+    assert follow() == {1: ("b", 3)}
+    make([(4, "2024-01-01 01:00:00", 1, "c", 1.0, ""), (5, "2024-01-01 01:00:00", 2, "a", 1.0, "")], 2)
+    assert follow() == {1: ("c", 4), 2: ("a", 1)} == follow()  # the named run goes on where it stopped
