@@ -58,3 +58,48 @@ def sections(lines: DataFrame, by: str, order: str, line: str, header: str) -> D
 def table_cells(line: Column) -> Column:
     """The trimmed cells of a table row; null for other lines."""
     return F.when(line.rlike(r"^\s*\|.*\|\s*$"), F.transform(F.split(F.regexp_replace(line, r"^\s*\||\|\s*$", ""), r"\|"), lambda x: F.trim(x)))
+
+
+def preprocessed(text: Column) -> Column:
+    """A note's text made ready for a converter: no frontmatter, no production prefix on headings, no closing hub section,
+    callout heads as bold lines with an empty quote line behind, highlights as marks."""
+    bare = F.regexp_replace(body(text), r"(?md)^(#{1,3})\s*L[23]\s+", "$1 ")
+    bare = F.regexp_replace(bare, r"(?s)(?:\n-{3,}\s*)?\n#{1,3}\s*課程 Hub\b.*\z", "\n")
+    bare = F.regexp_replace(bare, r"(?md)^> \[!(\w+)\][ \t]*(\S.*)$", "> **【$1】 $2**\n>")
+    bare = F.regexp_replace(bare, r"(?md)^> \[!(\w+)\][ \t]*$", "> **【$1】**\n>")
+    return F.regexp_replace(bare, r"==([^=]+)==", "<mark>$1</mark>")
+
+
+_PIECE = r"(!\[\[[^\]|]+\.(?:jpg|jpeg|png|webp)(?:\|\d+)?\]\])|c\d+_frame_\d+(?:\.jpg)?|(?<!!)\[\[[^\]|#]+(?:#[^\]|]+)?(?:\|[^\]]+)?\]\]"
+
+
+def rewritten_links(notes: DataFrame, names: DataFrame, key: str = "note", text: str = "text") -> DataFrame:
+    """``notes`` (key, text) with their references renamed by ``names`` (old, new): picture embeds keep their width, links their
+    section and alias, frame names in prose become the picture's; what has no new name stays.
+
+    References are cut out in order, looked up by one equi-join, and put back by position; the text between
+    them is never looked at twice. A link to a segment whose name is not known is looked up by its kind and number.
+    """
+    pattern = f"(?i){_PIECE}"
+    parts = notes.select(key, F.split(text, pattern, -1).alias("between"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+    refs = parts.select(key, F.posexplode("found").alias("pos", "ref"))
+    target = F.regexp_replace(F.regexp_extract("ref", r"^!?\[\[([^\]|#]+)", 1), r"^\s+|\s+$", "")
+    frame = F.when(F.lower("ref").endswith(".jpg"), F.col("ref")).otherwise(F.concat("ref", F.lit(".jpg")))
+    refs = refs.withColumn("old", F.when(F.contains("ref", F.lit("[[")), target).otherwise(frame))
+    segment = lambda c: F.nullif(F.regexp_extract(c, r"^(L[23]_seg\d+_)", 1), F.lit(""))
+    by_number = names.where(segment(F.col("old")).isNotNull()).groupBy(segment(F.col("old")).alias("_seg")).agg(F.min("new").alias("_new2"))
+    met = refs.join(names.select(F.col("old"), F.col("new")), "old", "left").join(by_number, segment(F.col("old")) == F.col("_seg"), "left")
+    named = F.coalesce("new", F.when(~F.startswith("ref", F.lit("!")), F.col("_new2")))
+    rest = F.regexp_extract("ref", r"^!?\[\[[^\]|#]+([^\]]*)\]\]$", 1)
+    bracket = F.concat(F.when(F.startswith("ref", F.lit("!")), "![[").otherwise("[["), named, rest, F.lit("]]"))
+    put = met.withColumn("out", F.when(named.isNull(), F.col("ref")).when(F.contains("ref", F.lit("[[")), bracket).otherwise(named))
+    lists = put.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "out"))), lambda x: x["out"]).alias("outs"))
+    joined = parts.join(lists, key, "left")
+    woven = F.array_join(F.transform("between", lambda b, i: F.concat(b, F.coalesce(F.get("outs", i), F.lit("")))), "")
+    return joined.select(key, woven.alias(text))
+
+
+def stamps_first(html: Column) -> Column:
+    """Each list item with its first time link at the front; items with lists inside, and those without a link, stay."""
+    items = F.regexp_replace(html, r'(?s)(<li[^>]*>)((?:(?!</li>|<ul|<ol|<a class="ts").)*?)\s*(<a class="ts"(?:(?!</a>).)*</a>)((?:(?!</li>|<ul|<ol).)*)(?=</li>)', "$1$3 \u0001$2$4\u0002")
+    return F.regexp_replace(F.regexp_replace(items, "\u0001[ \t\n]*", ""), "[ \t\n]*\u0002", "")

@@ -562,3 +562,56 @@ def test_runs_and_first_seen(spark, tmp_path):
     assert follow() == {1: ("b", 3)}
     make([(4, "2024-01-01 01:00:00", 1, "c", 1.0, ""), (5, "2024-01-01 01:00:00", 2, "a", 1.0, "")], 2)
     assert follow() == {1: ("c", 4), 2: ("a", 1)} == follow()  # the named run goes on where it stopped
+
+
+def test_container_and_exif_probes(spark, tmp_path):
+    import struct
+
+    from skein.sources import probes
+
+    box = lambda kind, body: struct.pack(">I", 8 + len(body)) + kind + body
+    when = probes.EPOCH_1904 + 1_716_722_340
+    mvhd = box(b"mvhd", bytes(4) + struct.pack(">IIII", when, when, 1000, 62_500) + bytes(80))
+    name = b"com.apple.quicktime.CreationDate"
+    keys = box(b"keys", bytes(4) + struct.pack(">I", 1) + struct.pack(">I", 8 + len(name)) + b"mdta" + name)
+    ilst = box(b"ilst", box(struct.pack(">I", 1), box(b"data", struct.pack(">II", 1, 0) + b"2024-05-26T19:19:00+0800")))
+    plain = box(b"ftyp", b"isom") + box(b"mdat", b"x" * 50) + box(b"moov", mvhd)
+    assert probes.probe_container(plain) == (62.5, "2024-05-26T11:19:00Z", None)
+    assert probes.probe_container(box(b"ftyp", b"qt  ") + box(b"moov", mvhd + box(b"meta", keys + ilst))) == (62.5, "2024-05-26T19:19:00+0800", None)
+    long = box(b"mvhd", b"\1\0\0\0" + struct.pack(">QQIQ", when, when, 600, 1200))
+    assert probes.probe_container(box(b"ftyp", b"isom") + box(b"moov", long))[0] == 2.0
+
+    def tiff(order, taken, changed):
+        texts, top, sub = b"", [], []
+        base = 8 + 2 + 12 * 3 + 4 + 2 + 12 + 4
+        for into, tag, text in ((top, 306, changed), (top, 272, "Cam X"), (sub, 36867, taken)):
+            raw = text.encode() + b"\0"
+            into.append((tag, 2, len(raw), base + len(texts)))
+            texts += raw
+        top.append((34665, 4, 1, 8 + 2 + 12 * 3 + 4))
+        pack = lambda rows: struct.pack(order + "H", len(rows)) + b"".join(struct.pack(order + "HHII", *r) for r in rows) + bytes(4)
+        return (b"II*\0" if order == "<" else b"MM\0*") + struct.pack(order + "I", 8) + pack(top) + pack(sub) + texts
+
+    for order in "<>":
+        body = b"Exif\0\0" + tiff(order, "2024:05:26 11:19:00", "2024:06:01 00:00:00")
+        jpeg = b"\xff\xd8\xff\xe0\0\4ab\xff\xe1" + struct.pack(">H", 2 + len(body)) + body + b"\xff\xd9"
+        assert probes.probe_exif(jpeg) == ("2024:06:01 00:00:00", "Cam X") and probes.probe_exif(body[6:])[1] == "Cam X"
+    assert probes.probe_exif(b"\xff\xd8\xff\xd9") == (None, None) and probes.probe_container(b"") == (None, None, None)
+    for file, data in (("a.mp4", plain), ("b.jpg", jpeg), ("c.txt", b"text"), ("d.tif", b"II*\0" + b"\xff" * 4)):
+        (tmp_path / file).write_bytes(data)
+    got = {r.path.rpartition("/")[2]: tuple(r)[1:] for r in probes.probe(spark.read.format("binaryFile").load(str(tmp_path))).collect()}
+    assert got["a.mp4"] == (62.5, "2024-05-26T11:19:00Z", None, None) and got["b.jpg"][1] == "2024:06:01 00:00:00" and got["c.txt"] == (None,) * 4 and set(got) == {"a.mp4", "b.jpg", "c.txt", "d.tif"}
+
+
+def test_notes_are_made_ready(spark):
+    from skein.functions import markdown as M
+
+    text = "---\ntags: a\n---\n# L3 Title\n> [!note] Head ==x==\n> [!tip]\ntext\n---\n## 課程 Hub\n[[_HUB]]\n"
+    assert col(spark, M.preprocessed, [text, "plain"]) == ["# Title\n> **【note】 Head <mark>x</mark>**\n>\n> **【tip】**\n>\ntext\n", "plain"]
+    notes = spark.createDataFrame([(1, "a ![[f1.jpg|600]] b [[L2_seg01_x#s|al]] c01_frame_02 [[gone]] ![[no.png]] [[L3_seg09_wrong]] end"), (2, "none"), (3, "")], "note int, text string")
+    names = spark.createDataFrame([("f1.jpg", "nice.jpg"), ("L2_seg01_x", "Part one"), ("c01_frame_02.jpg", "frame two.jpg"), ("L3_seg09_right", "Nine")], "old string, new string")
+    got = {r.note: r.text for r in M.rewritten_links(notes, names).collect()}
+    assert got == {1: "a ![[nice.jpg|600]] b [[Part one#s|al]] frame two.jpg [[gone]] ![[no.png]] [[Nine]] end", 2: "none", 3: ""}
+    ts = '<a class="ts" data-t="5">▶</a>'
+    items = [f"<li>said {ts} here</li><li>plain</li>", f"<li>a<ul><li>b {ts}</li></ul></li>", f'<li class="q">{ts} first</li>']
+    assert col(spark, M.stamps_first, items) == [f"<li>{ts} said here</li><li>plain</li>", f"<li>a<ul><li>{ts} b</li></ul></li>", f'<li class="q">{ts} first</li>']
