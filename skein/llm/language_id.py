@@ -51,12 +51,16 @@ def text_model(texts: list[str], langs: list[str]) -> tuple[list[str], np.ndarra
 def fit_text_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Fitted on the first ``MAX_ROWS`` rows of each language by hash of the id, up to ``MAX_CHARS`` characters."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    names = [r[0] for r in known.select(lang_col).distinct().orderBy(lang_col).collect()]
+    counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}  # a number a language
+    names = sorted(counts)
     if not names:
         return text_model([], [])
     order = [F.xxhash64(id_col), F.col(id_col)]
-    first = F.row_number().over(Window.partitionBy(lang_col).orderBy(*order))  # cut to MAX_ROWS a language before the exchange
-    ids = known.select(id_col, lang_col).withColumn("_n", first).where(F.col("_n") <= MAX_ROWS).select(F.col(id_col).alias("_p")).distinct()
+    # the least hashes: about twice MAX_ROWS of each language are left before rows are ranked, however many there are
+    share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.1, 2.0 * MAX_ROWS / n))]), F.col(lang_col))
+    few = known.select(id_col, lang_col).where(F.xxhash64(id_col) / 2.0**64 + 0.5 <= share)
+    first = F.row_number().over(Window.partitionBy(lang_col).orderBy(*order))
+    ids = few.withColumn("_n", first).where(F.col("_n") <= MAX_ROWS).select(F.col(id_col).alias("_p")).distinct()
     ids = F.broadcast(ids) if len(names) * MAX_ROWS <= BROADCAST_IDS else ids
     rows = known.join(ids, known[id_col] == ids["_p"], "left_semi").orderBy(*order, lang_col, text_col).select(text_col, lang_col)
     texts, langs, chars = [], [], dict.fromkeys(names, 0)
