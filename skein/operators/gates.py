@@ -192,3 +192,63 @@ def terms(text: Column, most: int = 50) -> Column:
     """Capitalised terms and acronyms, distinct, sorted, the first ``most`` (the feature's own limit)."""
     found = F.regexp_extract_all(text, F.lit(r"\b[A-Z][A-Za-z0-9₂₃]+(?:[-_/][A-Za-z0-9]+)*\b"), F.lit(0))
     return F.slice(F.array_sort(F.array_distinct(found)), 1, most)
+
+
+def reliable(source: Column) -> Column:
+    """Whether a capture time is a device's own claim: the file system's time, or none, is not."""
+    return ~F.coalesce(source, F.lit("none")).rlike("^(mtime|none)")
+
+
+def load_verdict(free_mb: Column, util: Column, heaviest_mb: Column, least_free: int = 4000, busy: int = 80, heavy: int = 1024) -> Column:
+    """One look at an accelerator: blocked when too little is free, or another heavy user keeps it busy; warning when there is such a user."""
+    user = F.coalesce(heaviest_mb >= heavy, F.lit(False))
+    return F.when((free_mb < least_free) | (user & (util > busy)), "blocked").when(user, "warning").otherwise("ok")
+
+
+def polled(polls: DataFrame, by: str, verdict: Column) -> DataFrame:
+    """(by, n_polls, verdict): blocked only when every look was, otherwise the worst of those that were not."""
+    every = F.bool_and(verdict == "blocked")
+    return polls.groupBy(by).agg(F.count(F.lit(1)).alias("n_polls"), F.when(every, "blocked").when(F.bool_or(verdict == "warning"), "warning").otherwise("ok").alias("verdict"))
+
+
+#: What a picture model reports, by kind.
+SIGNALS = {
+    "list": ["content_type", "apparent_educational_function", "visible_labels"],
+    "bool": ["contains_measurement", "contains_algorithm", "contains_clinical_imaging"],
+    "number": ["text_redundancy", "visual_complexity", "non_textual_information_density"],
+}
+
+
+def coerced(text: Column) -> list[Column]:
+    """The model's report (JSON) as typed columns: a lone value for a list is a list of it; anything but false, 0, null and
+    empty is true; what is no number is 0; what is absent is empty, false or 0."""
+    v = F.try_parse_json(text)
+    out = []
+    for kind, names in SIGNALS.items():
+        for name in names:
+            part = F.try_variant_get(v, f"$.{name}", "variant")
+            shape = F.coalesce(F.schema_of_variant(part), F.lit("VOID"))
+            plain = F.try_variant_get(part, "$", "string")
+            if kind == "list":
+                many = F.coalesce(F.try_variant_get(part, "$", "array<string>"), F.array().cast("array<string>"))
+                value = F.when(shape == "VOID", F.array().cast("array<string>")).when(shape.startswith("ARRAY"), many).otherwise(F.array(plain))
+            elif kind == "bool":
+                value = F.when(shape.isin("VOID", "ARRAY<VOID>", "OBJECT<>"), F.lit(False)).when(shape == "STRING", plain != "").when(shape.rlike("^(ARRAY|OBJECT)"), F.lit(True)).when(shape == "BOOLEAN", plain == "true").otherwise(F.coalesce(plain.try_cast("double") != 0, F.lit(False)))
+            else:
+                value = F.when(shape == "BOOLEAN", F.when(plain == "true", 1.0).otherwise(0.0)).otherwise(F.coalesce(plain.try_cast("double"), F.lit(0.0)))
+            out.append(value.alias(name))
+    return out
+
+
+def plan_faults(rows: DataFrame, by: str) -> DataFrame:
+    """Per plan: rows, rows without a slug, title, start or end, rows whose slug another has, rows that start before the one ahead ends, and the verdict.
+
+    ``rows``: ``by``, seg, slug, title, start, end. A plan without faults is ``ok``; else the first kind of fault counts.
+    """
+    w = Window.partitionBy(by).orderBy("seg", "start")
+    needed = F.col("slug").isNull() | F.col("title").isNull() | F.col("start").isNull() | F.col("end").isNull()
+    again = (F.count("slug").over(Window.partitionBy(by, "slug")) > 1) & F.col("slug").isNotNull()
+    marked = rows.withColumns({"_missing": needed, "_again": again, "_early": F.coalesce(F.col("start") < F.lag("end").over(w), F.lit(False))})
+    out = marked.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("_missing").alias("n_missing"), F.count_if("_again").alias("n_repeated"), F.count_if("_early").alias("n_overlaps"))
+    verdict = F.when(F.col("n_missing") > 0, "missing").when(F.col("n_repeated") > 0, "duplicate").when(F.col("n_overlaps") > 0, "overlap").otherwise("ok")
+    return out.withColumn("verdict", verdict)

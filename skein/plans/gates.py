@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skein.operators import gates as G
+from skein.operators.folds import semantic_groups
 from skein.operators.sequences import first_wins, ranked
 from skein.plans.base import query, table
 from skein.plans.rules import SIGNALS, signals
@@ -254,3 +256,61 @@ def deck_pages(spark, folder):
     shaped = F.when(F.col("deck") % 3 == 0, F.col("value")).when(F.col("deck") % 3 == 1, F.concat(F.lit('{"slides": '), F.col("value"), F.lit("}"))).otherwise(F.concat(F.lit('{"title": "x", "cards": '), F.col("value"), F.lit("}")))
     read = lambda rows: R.slide_rows(rows.withColumn("value", shaped), "struct<page:int,ocr:struct<n:int>>").select("deck", "x.page", "x.ocr.n")
     return R.deck(read(intro), R.page_range(read(pages), 1, 5)).select("deck", "part", "page", "n")
+
+
+@query(
+    "load_gate_polls",
+    """WITH v AS (SELECT event_id // 3 AS host, CASE WHEN event_id * 37 % 9000 < 4000 OR (user_id % 3 = 0 AND event_id % 100 > 80) THEN 'blocked' WHEN user_id % 3 = 0 THEN 'warning' ELSE 'ok' END AS v FROM events)
+SELECT host, count(*) AS n_polls, CASE WHEN bool_and(v = 'blocked') THEN 'blocked' WHEN bool_or(v = 'warning') THEN 'warning' ELSE 'ok' END AS verdict FROM v GROUP BY 1""",
+)
+def load_gate_polls(spark, folder):
+    """Three events in turn are polls of one accelerator."""
+    i = F.col("event_id")
+    rows = table(spark, folder, "events").select(F.expr("event_id div 3").alias("host"), (i * 37 % 9000).alias("free"), (i % 100).alias("util"), F.when(F.col("user_id") % 3 == 0, 2000).alias("heavy"))
+    return G.polled(rows, "host", G.load_verdict(F.col("free"), F.col("util"), F.col("heavy")))
+
+
+_COERCED = [  # the report, and what its nine columns are
+    ('{"content_type": ["a", "b"], "contains_measurement": true, "text_redundancy": 0.5}', "'a|b', '', '', true, false, false, 0.5, 0.0, 0.0"),
+    ('{"content_type": "chart", "visible_labels": 7, "contains_algorithm": "false", "visual_complexity": "0.25"}', "'chart', '', '7', false, true, false, 0.0, 0.25, 0.0"),
+    ('{"contains_measurement": 0, "contains_algorithm": "", "contains_clinical_imaging": [1], "text_redundancy": "high", "visual_complexity": true}', "'', '', '', false, false, true, 0.0, 1.0, 0.0"),
+    ('{"contains_measurement": null, "contains_algorithm": {}, "contains_clinical_imaging": [], "non_textual_information_density": 3}', "'', '', '', false, false, false, 0.0, 0.0, 3.0"),
+    ("not json", "'', '', '', false, false, false, 0.0, 0.0, 0.0"),
+]
+_NAMES = [n for names in G.SIGNALS.values() for n in names]
+
+
+@query(
+    "signal_coercion",
+    f"SELECT p.p_partkey, v.* EXCLUDE (k) FROM part p JOIN (VALUES {', '.join(f'({k}, {values})' for k, (_, values) in enumerate(_COERCED))}) AS v(k, {', '.join(_NAMES)}) ON p.p_partkey % {len(_COERCED)} = v.k",
+)
+def signal_coercion(spark, folder):
+    text = F.element_at(F.array(*[F.lit(t) for t, _ in _COERCED]), (F.col("p_partkey") % len(_COERCED)).cast("int") + 1)
+    rows = table(spark, folder, "part").select("p_partkey", *G.coerced(text))
+    return rows.withColumns({n: F.array_join(n, "|") for n in G.SIGNALS["list"]})
+
+
+@query(
+    "plan_faults",
+    """WITH r AS (SELECT event_id // 7 AS plan, event_id % 7 AS seg, CASE WHEN event_id % 53 = 0 THEN NULL ELSE 's' || CASE WHEN event_id % 31 = 0 THEN 1 ELSE event_id % 7 END END AS slug, CASE WHEN event_id % 97 = 0 THEN NULL ELSE 't' END AS title, event_id % 7 * 100 - CASE WHEN event_id % 11 = 0 THEN 60 ELSE 0 END AS s, event_id % 7 * 100 + 90 AS e FROM events),
+m AS (SELECT *, slug IS NULL OR title IS NULL AS missing, slug IS NOT NULL AND count(slug) OVER (PARTITION BY plan, slug) > 1 AS again, coalesce(s < lag(e) OVER (PARTITION BY plan ORDER BY seg), false) AS early FROM r),
+f AS (SELECT plan, count(*) AS n_rows, count(*) FILTER (missing) AS n_missing, count(*) FILTER (again) AS n_repeated, count(*) FILTER (early) AS n_overlaps FROM m GROUP BY 1)
+SELECT *, CASE WHEN n_missing > 0 THEN 'missing' WHEN n_repeated > 0 THEN 'duplicate' WHEN n_overlaps > 0 THEN 'overlap' ELSE 'ok' END AS verdict FROM f""",
+)
+def plan_faults(spark, folder):
+    """Seven events in turn are the rows of a plan."""
+    i, seg = F.col("event_id"), F.col("event_id") % 7
+    slug = F.when(i % 53 != 0, F.concat(F.lit("s"), F.when(i % 31 == 0, 1).otherwise(seg).cast("string")))
+    start = seg * 100 - F.when(i % 11 == 0, 60).otherwise(0)
+    rows = table(spark, folder, "events").select(F.expr("event_id div 7").alias("plan"), seg.alias("seg"), slug.alias("slug"), F.when(i % 97 != 0, "t").alias("title"), start.alias("start"), (seg * 100 + 90).alias("end"))
+    return G.plan_faults(rows, "plan")
+
+
+@query("semantic_group_text")
+def semantic_group_text(spark, folder):
+    """Twenty-five parts in turn are slides; two of three show (most of) the name before."""
+    k = F.col("p_partkey")
+    shown = F.first("p_name").over(Window.partitionBy(F.expr("p_partkey div 25"), F.expr("p_partkey % 25 div 3")).orderBy(k))
+    text = F.when(k % 3 == 1, F.concat(shown, F.lit(" more"))).otherwise(shown)
+    rows = table(spark, folder, "part").select(F.expr("p_partkey div 25").alias("clip"), (k % 25).alias("seg_idx"), (k % 25 * 20_000).alias("start_ms"), (k % 25 * 20_000 + 19_000).alias("end_ms"), text.alias("text"), F.when(k % 10 == 9, 0.9).alias("fused"))
+    return semantic_groups(rows)

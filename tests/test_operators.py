@@ -615,3 +615,33 @@ def test_notes_are_made_ready(spark):
     ts = '<a class="ts" data-t="5">▶</a>'
     items = [f"<li>said {ts} here</li><li>plain</li>", f"<li>a<ul><li>b {ts}</li></ul></li>", f'<li class="q">{ts} first</li>']
     assert col(spark, M.stamps_first, items) == [f"<li>{ts} said here</li><li>plain</li>", f"<li>a<ul><li>{ts} b</li></ul></li>", f'<li class="q">{ts} first</li>']
+
+
+@pytest.mark.parametrize("cap", [None, 100])
+def test_semantic_groups_by_plain_loops(spark, cap):
+    draw = random.Random(9)
+    base = ["rotator cuff tear", "frozen shoulder", "supraspinatus tendon", "", None]
+    rows, now = [], 0
+    for k in range(80):
+        now += draw.choice([1, 5, 70])
+        text = draw.choice(base)
+        rows.append((k // 40, k, now, now + 10, text and draw.choice([text, text + " more", text[:-1]]), draw.choice([None, 0.5, 0.9])))
+        now += 10
+    want, group = {}, -1
+    for k, (clip, pos, start, end, text, fused) in enumerate(rows):
+        before = rows[k - 1] if k and rows[k - 1][0] == clip else None
+        a, b = (text or "").strip(), (before and before[4] or "").strip()
+        alike = bool(a and b and partial(a, b) >= 88) or (fused or 0) > 0.85
+        if before is None:
+            group, first = 0, start
+        elif not (alike and start - before[3] < 60 and (cap is None or end - first <= cap)):
+            group, first = group + 1, start
+        want[pos] = group
+    got = folds.semantic_groups(spark.createDataFrame(rows, "clip long, seg_idx long, start_ms long, end_ms long, text string, fused double"), 60, cap)
+    assert {r.seg_idx: r.grp for r in got.collect()} == want and max(want.values()) > 5
+
+
+def test_reliable_claims(spark):
+    from skein.operators import gates as G
+
+    assert col(spark, G.reliable, ["exif", "mtime", "mtime-x", "none", None, "filename"]) == [True, False, False, False, False, True]
