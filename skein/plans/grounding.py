@@ -96,27 +96,40 @@ suspects AS (SELECT lower(t) AS token, min(seg_idx) AS first_seg, count(*) AS n
   GROUP BY 1)"""
 
 
-def vocabulary(documents, books: int = 3):
-    """Words found in at least ``books`` books (sources)."""
-    pairs = documents.select("source", F.explode(F.array_distinct(F.transform(T.words(F.col("text"), T.ASCII_TOKEN), F.lower))).alias("w")).distinct()
-    return pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n_books")).where(F.col("n_books") >= books)
+#: Distinct words up to which they are broadcast to the corpus (about 40 bytes each); beyond, corpus words are shuffled.
+BROADCAST_WORDS = 300_000
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def suspects(segments, words, glossary):
-    """Tokens of a transcript that no stop word, glossary or vocabulary explains: first segment and count."""
+def vocabulary(documents, books: int = 3, of=None):
+    """Words (w, n_books) found in at least ``books`` books (sources); of the words in ``of`` alone, where that is given.
+
+    Letters are made small before words are cut out, so no array is walked twice; with a small ``of`` (counted
+    first, then broadcast) other words never leave their task.
+    """
+    low = F.translate("text", _UPPER, _LOWER)
+    found = documents.select("source", F.explode(T.words(low, r"[a-z][a-z0-9'\-]*")).alias("w"))
+    if of is not None:
+        found = found.join(F.broadcast(of) if of.count() <= BROADCAST_WORDS else of, "w", "left_semi")
+    return found.distinct().groupBy("w").agg(F.count(F.lit(1)).alias("n_books")).where(F.col("n_books") >= books)
+
+
+def suspects(segments, documents, glossary):
+    """Tokens of a transcript that no stop word, glossary or vocabulary (of ``documents``) explains: first segment and count."""
     stop = segments.sparkSession.createDataFrame([(w,) for w in T.STOPWORDS], "w string")
     tokens = segments.select("seg_idx", F.explode(T.words(F.col("text"), T.ASCII_TOKEN)).alias("t"))
     counted = tokens.groupBy("t").agg(F.min("seg_idx").alias("first_seg"), F.count(F.lit(1)).alias("n")).withColumn("w", F.lower("t"))
     rest = counted.join(F.broadcast(stop), "w", "left_anti").join(glossary, "w", "left_anti")
     acronym = F.col("t").rlike(T.ACRONYM)
-    known = rest.where(~acronym & (F.length("t") >= 4)).join(words, "w", "left_anti")
-    return rest.where(acronym).unionByName(known).groupBy(F.col("w").alias("token")).agg(F.min("first_seg").alias("first_seg"), F.sum("n").alias("n"))
+    asked = rest.where(~acronym & (F.length("t") >= 4))
+    known = vocabulary(documents, of=asked.select("w").distinct()).select("w")
+    return rest.where(acronym).unionByName(asked.join(known, "w", "left_anti")).groupBy(F.col("w").alias("token")).agg(F.min("first_seg").alias("first_seg"), F.sum("n").alias("n"))
 
 
 def _suspects(spark, folder):
     docs = table(spark, folder, "documents")
     glossary = table(spark, folder, "benchmark").select(F.explode(F.transform(T.words(F.col("text"), T.ASCII_TOKEN), F.lower)).alias("w")).distinct()
-    return suspects(E.segments(table(spark, folder, "conversations")), vocabulary(docs).select("w"), glossary), glossary
+    return suspects(E.segments(table(spark, folder, "conversations")), docs, glossary), glossary
 
 
 @query("suspect_tokens", f"WITH {E.SEGMENTS}, {VOCABULARY} SELECT token, first_seg, n FROM suspects")

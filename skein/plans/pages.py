@@ -42,17 +42,17 @@ def _lap() -> str:
     "image_measures",
     f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), m AS (SELECT *, {_lap()} AS l,
   list_transform(range(0, 8), lambda b: len(list_filter(e, lambda x: least(greatest(floor((x + 0.5) * 8), 0), 7) = b)) / 64.0::DOUBLE) AS hist FROM v),
-w AS (SELECT *, lag(hist) OVER (PARTITION BY label ORDER BY vec_id) AS was FROM m)
+w AS (SELECT *, lag(hist) OVER (PARTITION BY vec_id // 40 ORDER BY vec_id) AS was FROM m)
 SELECT vec_id, array_to_string(list_transform(range(1, 65), lambda i: CASE WHEN i % 8 = 0 THEN NULL WHEN e[i + 1] > e[i] THEN '1' ELSE '0' END), '') AS gradient_hash,
   round(list_sum(list_transform(l, lambda x: x * x)) / len(l) - (list_sum(l) / len(l)) ** 2, 6) AS sharpness,
   CASE WHEN was IS NOT NULL THEN round(sqrt(greatest(0.0, 1 - list_sum(list_transform(range(1, 9), lambda i: sqrt(hist[i] * was[i]))))), 4) END AS distance FROM w""",
 )
 def image_measures(spark, folder):
-    """Vectors as 8 by 8 pictures: gradient hash, sharpness, and the histogram distance from the picture before."""
+    """Vectors as 8 by 8 pictures: gradient hash, sharpness, and the histogram distance from the picture before (forty in turn are a clip)."""
     e = F.col("e")
     rows = table(spark, folder, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
     rows = rows.select("vec_id", "label", P.gradient_hash(e, 8).alias("gradient_hash"), F.round(P.laplacian_variance(e, 8), 6).alias("sharpness"), P.histogram(e, -0.5, 0.5, 8).alias("hist"))
-    rows = rows.withColumn("was", F.lag("hist").over(Window.partitionBy("label").orderBy("vec_id")))
+    rows = rows.withColumn("was", F.lag("hist").over(Window.partitionBy(F.expr("vec_id div 40")).orderBy("vec_id")))
     return rows.select("vec_id", "gradient_hash", "sharpness", F.when(F.col("was").isNotNull(), F.round(P.bhattacharyya(F.col("hist"), F.col("was")), 4)).alias("distance"))
 
 
