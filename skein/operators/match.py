@@ -71,11 +71,12 @@ def hash_words(vector: Column, above: float) -> tuple[Column, Column]:
 def nearest_hash(frames: DataFrame, cache: DataFrame, within: int = SAME) -> DataFrame:
     """(frame, entry, distance) of the nearest cache entry, the first of equals, at most ``within`` bits away.
 
-    ``frames`` (frame, hi, lo), ``cache`` (entry, pos, hi, lo). The 64 bits are cut into
-    ``within + 1`` bands; hashes that near agree in one of them, so an equi-join per band
-    finds every candidate, and a pair is kept in the first band it agrees in.
+    ``frames`` (frame, hi, lo), ``cache`` (entry, pos, hi, lo). The 64 bits are cut into ``within // 2 + 1``
+    bands; hashes that near differ by at most one bit in one of them. So every frame asks, for each band, for
+    its word and the words one bit away, an equi-join finds every candidate, and a pair is kept
+    in the first band that is that near. With six bits, bands have 16: a probe meets one cache entry in 65,536.
     """
-    n = within + 1
+    n = within // 2 + 1
     cuts = [HASH_BITS * k // n for k in range(n + 1)]
 
     def bits(hi: Column, lo: Column, a: int, b: int) -> Column:
@@ -83,13 +84,14 @@ def nearest_hash(frames: DataFrame, cache: DataFrame, within: int = SAME) -> Dat
         part = lambda w, x, y: F.shiftright(w, 32 - y).bitwiseAND((1 << (y - x)) - 1) if y > x else F.lit(0).cast("long")
         return part(hi, *high) * (1 << (low[1] - low[0])) + part(lo, *low)
 
-    def banded(df: DataFrame, tag: str) -> DataFrame:
-        words = F.array(*[bits(F.col("hi"), F.col("lo"), a, b) for a, b in zip(cuts, cuts[1:], strict=False)])
-        return df.withColumn(f"{tag}_words", words).select("*", F.posexplode(f"{tag}_words").alias("band", "word"))
-
-    left = banded(frames, "l").withColumnsRenamed({"hi": "l_hi", "lo": "l_lo"})
-    met = left.join(banded(cache, "r"), ["band", "word"])
-    first = F.array_position(F.zip_with("l_words", "r_words", lambda x, y: x == y), True) - 1
+    words = F.array(*[bits(F.col("hi"), F.col("lo"), a, b) for a, b in zip(cuts, cuts[1:], strict=False)])
+    widths = F.array(*[F.lit(b - a) for a, b in zip(cuts, cuts[1:], strict=False)])
+    right = cache.withColumn("r_words", words).select("*", F.posexplode("r_words").alias("band", "word"))
+    left = frames.withColumn("l_words", words).withColumnsRenamed({"hi": "l_hi", "lo": "l_lo"}).select("*", F.posexplode("l_words").alias("band", "own"))
+    flip = lambda i: F.col("own").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))
+    near = F.concat(F.array("own"), F.transform(F.sequence(F.lit(0), F.get(widths, F.col("band")) - 1), flip))
+    met = left.withColumn("word", F.explode(near)).join(right, ["band", "word"])
+    first = F.array_position(F.zip_with("l_words", "r_words", lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= 1), True) - 1
     distance = F.bit_count(F.col("l_hi").bitwiseXOR(F.col("hi"))) + F.bit_count(F.col("l_lo").bitwiseXOR(F.col("lo")))
     met = met.where(first == F.col("band")).withColumn("distance", distance).where(F.col("distance") <= within)
     return first_wins(met, ["frame"], ["distance", "pos"]).select("frame", "entry", "distance")

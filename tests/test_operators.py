@@ -645,3 +645,23 @@ def test_reliable_claims(spark):
     from skein.operators import gates as G
 
     assert col(spark, G.reliable, ["exif", "mtime", "mtime-x", "none", None, "filename"]) == [True, False, False, False, False, True]
+
+
+@pytest.mark.parametrize("within", [0, 3, 6, 7])
+def test_nearest_hash_is_all_pairs(spark, within):
+    draw = random.Random(within)
+    entries = [draw.getrandbits(64) for _ in range(60)]
+    frames = [draw.getrandbits(64) for _ in range(20)]
+    for e in entries * 2:
+        for bit in draw.sample(range(64), draw.randrange(9)):
+            e ^= 1 << bit
+        frames.append(e)
+    split = lambda h: (h >> 32, h & 0xFFFFFFFF)
+    cache = spark.createDataFrame([(100 + k, k, *split(h)) for k, h in enumerate(entries)], "entry long, pos int, hi long, lo long")
+    got = {r.frame: (r.entry, r.distance) for r in match.nearest_hash(spark.createDataFrame([(k, *split(h)) for k, h in enumerate(frames)], "frame long, hi long, lo long"), cache, within).collect()}
+    want = {}
+    for k, f in enumerate(frames):
+        distance, entry = min(((f ^ e).bit_count(), j) for j, e in enumerate(entries))
+        if distance <= within:
+            want[k] = (100 + entry, distance)
+    assert got == want and len(want) > 5
