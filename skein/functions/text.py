@@ -199,7 +199,7 @@ def safe_name(title: Column, limit: int = 16) -> Column:
 
 def normalize_time(raw: Column, utc_offset_hours: float) -> tuple[Column, Column]:
     """(local timestamp without zone, which form matched): Zulu, offset-tagged (wall time kept), EXIF, ISO."""
-    zulu = F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(int(utc_offset_hours)))
+    zulu = F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).cast("timestamp_ntz") + F.make_dt_interval(mins=F.lit(round(utc_offset_hours * 60)))
     tagged = F.try_to_timestamp(F.regexp_replace(raw, r"[+-]\d\d:?\d\d$", ""), F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp_ntz")
     exif = F.try_to_timestamp(raw, F.lit("yyyy:MM:dd HH:mm:ss")).cast("timestamp_ntz")
     iso = F.coalesce(F.try_to_timestamp(raw, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ss"))).cast("timestamp_ntz")

@@ -76,7 +76,7 @@ def nearest_hash(frames: DataFrame, cache: DataFrame, within: int = SAME) -> Dat
     its word and the words one bit away, an equi-join finds every candidate, and a pair is kept
     in the first band that is that near. With six bits, bands have 16: a probe meets one cache entry in 65,536.
     """
-    n = within // 2 + 1
+    n = max(2, within // 2 + 1)  # words of 32 bits at most
     cuts = [HASH_BITS * k // n for k in range(n + 1)]
 
     def bits(hi: Column, lo: Column, a: int, b: int) -> Column:
@@ -129,10 +129,23 @@ def vote_offsets(clips: DataFrame, recordings: DataFrame, width: int, rare: int
 
 
 def best_jaccard(left: DataFrame, right: DataFrame, at_least: float, n: int = 3) -> DataFrame:
-    """(title, match, score): for each distinct title the most similar candidate by character n-gram Jaccard, at least ``at_least``."""
-    grams = lambda c: F.array_distinct(T.char_ngrams(F.lower(F.col(c)), n))
-    a = left.select("title", grams("title").alias("g")).select("title", F.size("g").alias("na"), F.explode("g").alias("gram"))
-    b = right.select("match", grams("match").alias("g")).select("match", F.size("g").alias("nb"), F.explode("g").alias("gram"))
-    both = a.join(b, "gram").groupBy("title", "match", "na", "nb").agg(F.count(F.lit(1)).alias("k"))
-    scored = both.withColumn("score", F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))).where(F.col("score") >= at_least)
+    """(title, match, score): for each distinct title the most similar candidate by character n-gram Jaccard, at least ``at_least``.
+
+    Texts that alike share one of their rarest n-grams: of k n-grams, in one order by frequency, the first
+    k - ceil(at_least * k) + 1. Only these meet, so common n-grams make few pairs; pairs are then scored in full.
+    """
+    grams = lambda df, c: df.select(c, F.array_distinct(T.char_ngrams(F.lower(F.col(c)), n)).alias("g")).distinct()
+    a, b = grams(left, "title"), grams(right, "match")
+    flat = lambda df, c: df.select(c, F.explode("g").alias("gram"))
+    often = flat(a, "title").select("gram").union(flat(b, "match").select("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("f"))
+
+    def rarest(df: DataFrame, c: str) -> DataFrame:
+        ranked = flat(df, c).join(often, "gram").groupBy(c).agg(F.array_sort(F.collect_list(F.struct("f", "gram"))).alias("r"))
+        size = F.size("r") - F.ceil(F.size("r") * at_least - 1e-9).cast("int") + 1
+        return ranked.select(c, F.explode(F.slice("r", F.lit(1), size)).alias("x")).select(c, F.col("x.gram").alias("gram"))
+
+    pairs = rarest(a, "title").join(rarest(b, "match"), "gram").select("title", "match").distinct()
+    both = pairs.join(a.withColumnRenamed("g", "ga"), "title").join(b.withColumnRenamed("g", "gb"), "match")
+    shared = F.size(F.array_intersect("ga", "gb"))
+    scored = both.withColumn("score", shared / (F.size("ga") + F.size("gb") - shared)).where(F.col("score") >= at_least)
     return first_wins(scored, ["title"], [F.desc("score"), "match"]).select("title", "match", "score")

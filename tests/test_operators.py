@@ -63,6 +63,7 @@ def test_json_in_prose(spark):
 def test_timestamps(spark):
     raw = ["2024-05-26T11:19:00Z", "2024-05-26T11:19:00+08:00", "2024:05:26 11:19:00", "2024-05-26 11:19:00", "2024-13-45"]
     assert col(spark, lambda c: T.normalize_time(c, 8)[1], raw) == ["utc", "tagged", "exif", "iso", "none"]
+    assert str(col(spark, lambda c: T.normalize_time(c, 5.5)[0], raw)[0]) == "2024-05-26 16:49:00"
     names = ["IMG_20240526_111900.jpg", "a 240526-1119.mov", "x_20241399_256199", None]
     assert [None if t is None else str(t) for t in col(spark, T.filename_time, names)] == ["2024-05-26 11:19:00", "2024-05-26 11:19:00", None, None]
 
@@ -665,3 +666,18 @@ def test_nearest_hash_is_all_pairs(spark, within):
         if distance <= within:
             want[k] = (100 + entry, distance)
     assert got == want and len(want) > 5
+
+
+@pytest.mark.parametrize("least", [0.3, 0.6, 1.0])
+def test_best_jaccard_is_all_pairs(spark, least):
+    draw = random.Random(int(least * 10))
+    word = lambda: " ".join(draw.choices(["the", "knee", "joint", "exam", "of", "hip", "pain"], k=draw.randint(1, 4)))
+    left, right = sorted({word() for _ in range(40)} | {"ab", ""}), sorted({word() for _ in range(40)})
+    grams = lambda t: {x[i : i + 3] for x in ["".join(t.lower().split())] for i in range(len(x) - 2)}
+    want = {}
+    for a in left:
+        scored = sorted((-len(grams(a) & grams(b)) / len(grams(a) | grams(b)), b) for b in right if grams(a) & grams(b))
+        if scored and -scored[0][0] >= least:
+            want[a] = (scored[0][1], round(-scored[0][0], 9))
+    got = match.best_jaccard(spark.createDataFrame([(x,) for x in left], "title string"), spark.createDataFrame([(x,) for x in right], "match string"), least)
+    assert {r.title: (r.match, round(r.score, 9)) for r in got.collect()} == want and want
