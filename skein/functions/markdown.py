@@ -103,3 +103,43 @@ def stamps_first(html: Column) -> Column:
     """Each list item with its first time link at the front; items with lists inside, and those without a link, stay."""
     items = F.regexp_replace(html, r'(?s)(<li[^>]*>)((?:(?!</li>|<ul|<ol|<a class="ts").)*?)\s*(<a class="ts"(?:(?!</a>).)*</a>)((?:(?!</li>|<ul|<ol).)*)(?=</li>)', "$1$3 \u0001$2$4\u0002")
     return F.regexp_replace(F.regexp_replace(items, "\u0001[ \t\n]*", ""), "[ \t\n]*\u0002", "")
+
+
+#: A request for a slide's picture, the mark left in a sentence, and a picture's block.
+PLACEHOLDER = r"\[\[EMBED\s+s(\d+)(?:\s*:\s*([^\]]+?))?\s*\]\]"
+_MARK, _BLOCK = "(見 s%s 圖 ↓)", "> [!figure] s%s — %s (T%s)\n> ![[%s/%s|%s]]"
+
+
+def expanded_embeds(lines: DataFrame, slides: DataFrame, root: str) -> DataFrame:
+    """(note, text): notes (note, line_no, line) with their requests for pictures filled in from ``slides``.
+
+    ``slides``: slide_id, name, width, caption, tier, suppressed. A request alone on its line becomes a block with blank
+    lines around it; within a sentence a mark takes its place and the block follows the line. Requests for
+    slides that are unknown, beyond tier 2 or suppressed go. Fenced code stays as it is. The note's own words go before
+    the slide's caption. One equi-join on the slide; lines meet again by number.
+    """
+    w = Window.partitionBy("note").orderBy("line_no")
+    fence = F.ltrim("line").rlike("^(```|~~~)")
+    before = F.coalesce(F.sum(fence.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    none = F.array().cast("array<string>")
+    rows = lines.withColumn("_code", fence | (before % 2 == 1))
+    rows = rows.withColumn("found", F.when(F.col("_code"), none).otherwise(F.regexp_extract_all("line", F.lit(PLACEHOLDER), F.lit(0))))
+    refs = rows.select("note", "line_no", F.posexplode("found").alias("pos", "ref"))
+    refs = refs.select("note", "line_no", "pos", F.regexp_extract("ref", PLACEHOLDER, 1).cast("long").alias("slide_id"), F.trim(F.regexp_extract("ref", PLACEHOLDER, 2)).alias("said"))
+    met = refs.join(slides, "slide_id", "left")
+    good = F.coalesce((F.col("tier") <= 2) & (F.coalesce("suppressed", F.lit("")) == ""), F.lit(False))
+    words = F.coalesce(F.nullif("said", F.lit("")), F.nullif("caption", F.lit("")), F.lit("figure"))
+    block = F.format_string(_BLOCK, F.col("slide_id"), words, F.col("tier"), F.lit(root), F.coalesce("name", F.format_string("s%02d.jpg", "slide_id")), F.coalesce("width", F.lit(500)))
+    made = met.withColumn("x", F.struct("pos", F.when(good, F.format_string(_MARK, "slide_id")).otherwise("").alias("mark"), F.when(good, block).alias("block")))
+    made = made.groupBy("note", "line_no").agg(F.array_sort(F.collect_list("x")).alias("made"))
+    alone = (F.size("found") == 1) & F.trim("line").rlike(f"^{PLACEHOLDER}$")
+    rows = rows.join(made, ["note", "line_no"], "left").withColumns({"_alone": alone, "_blocks": F.coalesce(F.filter(F.transform("made", lambda x: x["block"]), lambda b: b.isNotNull()), none)})
+    kept = rows.where(~F.col("_alone") | (F.size("_blocks") > 0))
+    blank_end = (F.size("_blocks") > 0) | (F.trim("line") == "")
+    kept = kept.withColumn("_open", ~F.coalesce(F.lag(blank_end).over(w), F.lit(True)))
+    woven = F.array_join(F.transform(F.split("line", PLACEHOLDER, -1), lambda part, i: F.concat(part, F.coalesce(F.get("made", i)["mark"], F.lit("")))), "")
+    around = F.flatten(F.transform("_blocks", lambda b: F.array(F.lit(""), b, F.lit(""))))
+    own = F.concat(F.when(F.col("_open"), F.array(F.lit(""))).otherwise(none), "_blocks", F.array(F.lit("")))
+    out = F.when(F.col("_alone"), own).when(F.size("found") > 0, F.concat(F.array(woven), around)).otherwise(F.array("line"))
+    text = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("line_no", out.alias("out")))), lambda r: r["out"])), "\n")
+    return kept.groupBy("note").agg(text.alias("text"))

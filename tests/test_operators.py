@@ -681,3 +681,16 @@ def test_best_jaccard_is_all_pairs(spark, least):
             want[a] = (scored[0][1], round(-scored[0][0], 9))
     got = match.best_jaccard(spark.createDataFrame([(x,) for x in left], "title string"), spark.createDataFrame([(x,) for x in right], "match string"), least)
     assert {r.title: (r.match, round(r.score, 9)) for r in got.collect()} == want and want
+
+
+def test_embeds_are_expanded(spark):
+    from skein.functions import markdown as M
+
+    text = "intro\n[[EMBED s1: my words]]\nsee [[EMBED s2]] and [[EMBED s9]] end\n[[EMBED s3]]\n\n[[EMBED s4]]\n```\n[[EMBED s1]]\n```\nlast [[EMBED s4 : x ]]"
+    slides = spark.createDataFrame([(1, "a.jpg", 600, "cap", 1, None), (2, None, None, "two", 2, ""), (3, "c.jpg", 1, "c", 3, None), (4, "d.jpg", 400, None, 2, None), (5, "e.jpg", 1, "", 1, "dup")], "slide_id long, name string, width int, caption string, tier int, suppressed string")
+    lines = spark.createDataFrame([(1, k, x) for k, x in enumerate(text.split("\n"))] + [(2, 0, "[[EMBED s5]]"), (2, 1, "stays")], "note long, line_no int, line string")
+    got = {r.note: r.text for r in M.expanded_embeds(lines, slides, "att").collect()}
+    block = lambda k, words, tier, name, width: f"> [!figure] s{k} — {words} (T{tier})\n> ![[att/{name}|{width}]]"
+    one, two, four = block(1, "my words", 1, "a.jpg", 600), block(2, "two", 2, "s02.jpg", 500), block(4, "figure", 2, "d.jpg", 400)
+    want = f"intro\n\n{one}\n\nsee (見 s2 圖 ↓) and  end\n\n{two}\n\n\n{four}\n\n```\n[[EMBED s1]]\n```\nlast (見 s4 圖 ↓)\n\n{block(4, 'x', 2, 'd.jpg', 400)}\n"
+    assert got == {1: want, 2: "stays"}
