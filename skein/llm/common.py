@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,3 +109,24 @@ def distinct(x: np.ndarray) -> np.ndarray:
     """The distinct values, ascending; a sort and a comparison, several times faster on integers than a hash table."""
     x = np.sort(x)
     return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
+def trim() -> None:
+    """Give this process's free memory back to the system (where the C library is glibc)."""
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give is not None:
+        give(0)
+
+
+def trimmed(run):
+    """``run`` (of an Arrow map), after which the worker gives free memory back to the system.
+
+    Python workers live on between tasks and stages; without this each keeps the most that any stage needed.
+    """
+
+    def all_of(batches):
+        yield from run(batches)
+        trim()
+
+    return all_of

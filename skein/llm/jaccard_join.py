@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import discard, distinct, fresh, mix64, stored
+from skein.llm.common import discard, distinct, fresh, mix64, stored, trim, trimmed
 from skein.llm.components import components
 
 WORDS = 5
@@ -409,7 +409,9 @@ def resolve(docs: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], marks:
 def _resolve(table: pa.Table) -> pa.Table:
     docs, first = np.unique(table.column("doc").to_numpy(), return_index=True)
     table = table.take(pa.array(first))
-    sets = [np.frombuffer(x, dtype="<u8") for x in table.column("members").to_pylist()]
+    column = table.column("members").combine_chunks()
+    flat, cuts = column.values.to_numpy(), column.offsets.to_numpy().tolist()
+    sets = [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     marks = [np.frombuffer(x, dtype="<u8") for x in table.column("mark").to_pylist()]
     links = resolve(docs, table.column("label").to_numpy(), sets, marks) if len(docs) > 1 else []
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
@@ -436,13 +438,6 @@ def linked(one: np.ndarray, two: np.ndarray) -> bool:
     return bool(both) and DEN * both >= NUM * (len(one) + len(two) - both)
 
 
-def _verify(batches):
-    for batch in batches:
-        ok = [linked(np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        keep = pa.array(ok, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
-
-
 def _sets_of(words: int):
     def run(batches):
         for batch in batches:
@@ -450,7 +445,8 @@ def _sets_of(words: int):
                 cut = batch.slice(start, length)
                 sets = shingle_sets(cut.column(1), words)
                 marks = pa.array([sketch(x).tobytes() for x in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([cut.column(0), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary()), marks], names=["doc", "members", "mark"])
+                members = pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([cut.column(0), members, marks], names=["doc", "members", "mark"])
 
     return run
 
@@ -495,8 +491,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seed = 0
     while True:
         try:
-            raw = rows.mapInArrow(_emit(hot, seed, parts, words), _RAW)
-            found = stored(raw.repartitionById(parts, F.col("part")).mapInArrow(_meet, _BUCKETS), "buckets")
+            raw = rows.mapInArrow(trimmed(_emit(hot, seed, parts, words)), _RAW)
+            found = stored(raw.repartitionById(parts, F.col("part")).mapInArrow(trimmed(_meet), _BUCKETS), "buckets")
             break
         except Exception as failed:
             if _SHORT not in str(failed) or seed >= 8:
@@ -505,7 +501,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lists = stored(found.where("kind = 2").select("docs", "sizes", "probing").distinct().withColumn("bucket", F.monotonically_increasing_id()), "lists")
     member = stored(lists.select(F.explode("docs").alias("doc")).distinct(), "members")
     few = member.count() <= BROADCAST_IDS
-    sets = stored(rows.join(F.broadcast(member) if few else member, rows["_id"] == member["doc"], "left_semi").mapInArrow(_sets_of(words), "doc long, members binary, mark binary"), "sets")
+    sets = stored(rows.join(F.broadcast(member) if few else member, rows["_id"] == member["doc"], "left_semi").mapInArrow(trimmed(_sets_of(words)), "doc long, members array<long>, mark binary"), "sets")
     weight = sets.agg(F.coalesce(F.sum(F.octet_length("mark")), F.lit(0)).alias("bytes")).first().bytes
     if few and weight <= BROADCAST_SKETCHES:
         before, lists = lists, stored(_thinned(lists, sets).distinct().withColumn("bucket", F.monotonically_increasing_id()), "lists")
@@ -528,6 +524,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         labels = components(edges)
         for used in old:
             discard(used)
+        trim()
     for used in (lists, member, sets, edges, *([places] if places is not None else [])):
         discard(used)
     sizes = found.where("kind = 0").select(F.col("doc").alias("_id"), F.col("n").alias("n_shingles"))
@@ -655,7 +652,7 @@ def _thinned(lists: DataFrame, sets: DataFrame) -> DataFrame:
                     made[2].append(int((part < probing).sum()))
             yield pa.RecordBatch.from_arrays([pa.array(made[0], pa.list_(pa.int64())), pa.array(made[1], pa.list_(pa.int32())), pa.array(made[2], pa.int32())], names=["docs", "sizes", "probing"])
 
-    return lists.select("docs", "sizes", "probing").mapInArrow(run, "docs array<long>, sizes array<int>, probing int")
+    return lists.select("docs", "sizes", "probing").mapInArrow(trimmed(run), "docs array<long>, sizes array<int>, probing int")
 
 
 def _members(lists: DataFrame) -> DataFrame:
@@ -713,8 +710,9 @@ def _exhaust(lists: DataFrame, labels: DataFrame, sets: DataFrame, few: bool) ->
     shape = ["bucket", "kind", "c0", "c1", "doc", "size", "probe", "label", "mark", "left"]
     pairs = stored(against.select(*shape).unionByName(rest.select(*shape)).groupBy("bucket", "kind", "c0", "c1").applyInArrow(_cross, "a long, b long").distinct(), "pairs")
     one = pairs.join(sets.select(F.col("doc").alias("a"), F.col("members").alias("x")), "a")
-    both = one.join(sets.select(F.col("doc").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(_verify, "a long, b long")
+    both = one.join(sets.select(F.col("doc").alias("b"), F.col("members").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))  # a row at a time, however long the sets are
+    return both.where((shared > 0) & (DEN * shared >= NUM * (F.size("x") + F.size("y") - shared))).select("a", "b")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from skein.llm.common import discard, distinct, fresh, mix64, stored
+from skein.llm.common import discard, distinct, fresh, mix64, stored, trim, trimmed
 
 ORDERS = (4, 5, 6)
 BITS = 22
@@ -36,7 +36,7 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def _chunks(texts, limit: int = 400_000):
+def _chunks(texts, limit: int = 100_000):
     """Lists of (position, code points) of up to about ``limit`` characters; a longer text is alone."""
     out, size = [], 0
     for k, text in enumerate(texts):
@@ -116,20 +116,21 @@ def features(texts) -> list[np.ndarray]:
 def log_count_ratios(held: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Per bucket, log of the share of label-1 texts that hold it over that of label-0 texts, both smoothed by
     ``SMOOTH`` texts of the overall share; 0 for buckets that fewer than ``LEAST`` texts hold."""
-    seen = np.zeros((2, 1 << BITS))
+    seen = np.zeros((2, 1 << BITS), dtype=np.int32 if len(held) >= 1 << 14 else np.int16)
     for buckets, label in zip(held, y, strict=True):
         seen[int(label), buckets] += 1
+    often = np.flatnonzero(seen.sum(0, dtype=seen.dtype) >= LEAST)
     n = np.array([len(y) - y.sum(), y.sum()])
-    shares = [(seen[k] + SMOOTH * n[k] / n.sum()) / n[k] for k in (0, 1)]
-    ratios = np.log(shares[1]) - np.log(shares[0])
-    ratios[seen.sum(0) < LEAST] = 0
+    shares = [(seen[k, often] + SMOOTH * n[k] / n.sum()) / n[k] for k in (0, 1)]
+    ratios = np.zeros(1 << BITS, dtype=np.float32)
+    ratios[often] = np.log(shares[1]) - np.log(shares[0])
     return ratios
 
 
 def fit_features(held: list[np.ndarray], labels: list[int], prior: float | None = None, rounds: int = 100) -> Model:
     """Logistic loss over the scaled features, by ``rounds`` accelerated gradient steps from 0; few steps keep coefficients small.
 
-    ``held`` are the buckets of each text; ``prior`` is the share of label 1 among all labelled
+    ``held`` are the buckets of each text, and is emptied; ``prior`` is the share of label 1 among all labelled
     rows when the sample is stratified. Without both labels every score is the prior.
     """
     y = np.array(labels, dtype=np.float64)
@@ -143,9 +144,11 @@ def fit_features(held: list[np.ndarray], labels: list[int], prior: float | None
         return Model(weight, known, bias)
     known[pick] = True
     column = np.cumsum(known, dtype=np.int32) - 1
-    scale = ratios[pick]
+    scale = ratios[pick].astype(np.float64)
     blocks, rows, size = [], [], 0  # blocks of texts bound what one step holds in memory
-    for k, buckets in enumerate(held):
+    del ratios
+    for k in range(len(held)):
+        buckets, held[k] = held[k], None  # what a block holds is not kept twice
         mine = column[buckets[known[buckets]]]
         if len(mine):
             rows.append((k, mine))
@@ -211,10 +214,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             chars += r.n
     wanted = F.broadcast(spark.createDataFrame(kept, "place long, name string"))
     got = sample.join(wanted, ["place", "name"], "left_semi").select(F.struct("place", "name").cast("string").alias("place"), F.col("_y").alias("y"), F.col("_text").alias("text"))
-    found = sorted((r.place, r.y, bytes(r.buckets)) for r in got.mapInArrow(_extract, "place string, y int, buckets binary").toLocalIterator())
+    found = sorted((r.place, r.y, bytes(r.buckets)) for r in got.mapInArrow(trimmed(_extract), "place string, y int, buckets binary").toLocalIterator())
     discard(sample)
     n = sum(totals.values())
-    return fit_features([np.frombuffer(x, dtype="<i4") for _, _, x in found], [y for _, y, _ in found], totals.get(1, 0) / n if n else 0.0)
+    y = [y for _, y, _ in found]
+    held = [np.frombuffer(x, dtype="<i4") for _, _, x in found]
+    del found
+    model = fit_features(held, y, totals.get(1, 0) / n if n else 0.0)
+    trim()
+    return model
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "_score") -> DataFrame:
@@ -229,7 +237,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
                 cut = batch.slice(part, 1000)
                 yield pa.RecordBatch.from_arrays([*cut.columns, pa.array(shared.value.scores(cut.column(at).to_pylist()))], names=[*names, score_col])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
+    return docs.mapInArrow(trimmed(run), StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:

@@ -58,3 +58,22 @@ def test_every_labelled_language_is_in_the_model(spark):
     assert names == [f"l{k:02d}" for k in range(53)]
     for _, text, lang in rows:
         assert names[table[:, language_id._buckets(text)].mean(1).argmax()] == lang
+
+
+def test_very_long_texts_and_pages(spark):
+    long = "the cat and the dog sat on the mat " * 20_000
+    model = language_id.text_model(["the cat and the dog sat on the mat " * 5, "der hund und die katze sind im haus " * 5], ["en", "de"])
+    pages = spark.createDataFrame([(1, None, f"<p>{long}</p><script>{'der hund ' * 50_000}</script>"), (2, None, None)], "page_id long, url string, html string")
+    docs = spark.createDataFrame([(7, long, "xx", None)], "doc_id long, text string, lang string, source string")
+    got = {r.page_id or r.doc_id: r for r in language_id.identify(pages, docs, model).collect()}
+    assert got[1].lang == got[7].lang == "en" and got[1].text_lang == "en" and got[2].text_lang is None and 0 < got[2].confidence <= 1
+
+
+def test_very_long_arguments_and_results(spark):
+    long = 'word "quoted" \\ 東京\n' * 60_000
+    calls = spark.createDataFrame([(1, 1, "a", "count", json.dumps({"text": long}), None), (1, 2, "b", "count", "{" + "[" * 2000, None)], "conv_id long, turn long, call_id string, name string, arguments string, after string")
+    results = spark.createDataFrame([(1, 3, "a", long)], "conv_id long, turn long, call_id string, content string")
+    got = {r.call_id: r for r in tool_calls.link_tool_calls(calls, results).collect()}
+    message = json.loads(got["a"].message)
+    assert got["a"].status == "ok" and message["content"] == long and message["arguments"]["text"] == long
+    assert got["b"].status == "invalid" and got["b"].errors == "not_an_object"
