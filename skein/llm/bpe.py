@@ -15,11 +15,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from skein.llm.common import fresh, trimmed
+from skein.llm.common import CACHES, fresh, trimmed
 
 #: Entries of a generation of a worker's memos. There are two generations of two memos, of
 #: about 200 bytes an entry; results do not depend on them.
-MEMO_ENTRIES = 100_000
+MEMO_ENTRIES = 200_000
 
 #: A space before a visible character; the character stays with the next piece.
 CUT = re.compile(r" (?=\S)").split
@@ -184,7 +184,7 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[str, Codec] = CACHES.setdefault("bpe", {})
 
 
 def codec(label: str, shared, pattern: str) -> Codec:
@@ -229,7 +229,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                 names.append("token_ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select(id_col, text_col).mapInArrow(trimmed(run), schema)
+    return docs.select(id_col, text_col).mapInArrow(trimmed(run, "bpe"), schema)
 
 
 def decode_ids(rows: DataFrame, ranks_path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:

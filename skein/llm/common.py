@@ -119,13 +119,26 @@ def trim() -> None:
         give(0)
 
 
-def trimmed(run):
+#: What Python workers keep between tasks, by operator.
+CACHES: dict[str, dict] = {}
+
+
+def drop_caches(own: str | None = None) -> None:
+    """Empty what other operators than ``own`` keep in this worker."""
+    for name, cache in CACHES.items():
+        if name != own:
+            cache.clear()
+
+
+def trimmed(run, own: str | None = None):
     """``run`` (of an Arrow map), after which the worker gives free memory back to the system.
 
-    Python workers live on between tasks and stages; without this each keeps the most that any stage needed.
+    Python workers live on between tasks and stages; without this each keeps the most that any stage
+    needed. Before, what other operators than ``own`` keep in :data:`CACHES` is dropped.
     """
 
     def all_of(batches):
+        drop_caches(own)
         yield from run(batches)
         trim()
 
