@@ -20,9 +20,10 @@ _CJK = r"(?=([\u4e00-\u9fff]{2,7}))"
 
 
 def keywords(text: Column) -> Column:
-    """Distinct (key, kind) of a slide's keywords in order; abbreviations keep their case."""
-    kinds = F.transform(T.words(text, T.GROUNDING_TOKEN), lambda w: F.struct(F.when(T.keyword_class(w) == "abbreviation", w).otherwise(F.lower(w)).alias("key"), T.keyword_class(w).alias("kind")))
-    return F.array_distinct(F.filter(kinds, lambda k: k["kind"].isNotNull()))
+    """Distinct (key, kind) of a slide's keywords in order; abbreviations keep their case. A token is classified once."""
+    kinds = F.transform(F.array_distinct(T.words(text, T.GROUNDING_TOKEN)), lambda w: F.struct(w.alias("key"), T.keyword_class(w).alias("kind")))
+    kept = F.filter(kinds, lambda k: k["kind"].isNotNull())
+    return F.array_distinct(F.transform(kept, lambda k: F.struct(F.when(k["kind"] == "abbreviation", k["key"]).otherwise(F.lower(k["key"])).alias("key"), k["kind"].alias("kind"))))
 
 
 def _heads(text: Column, pattern: str, lengths: list[int]) -> Column:
@@ -63,20 +64,22 @@ def ground(slides: DataFrame, segments: DataFrame, domains: dict[str, list[str]]
     named = lambda keep: F.transform(F.filter("keys", keep), lambda k: F.when(k["kind"] == "abbreviation", F.concat(F.lit("="), k["key"])).otherwise(k["key"]))
     is_long = lambda k: (k["kind"] != "abbreviation") & (F.length(k["key"]) > EXACT_LENGTH)
     least = F.transform(F.filter("keys", is_long), lambda k: F.when(k["kind"] == "drug", LEAST["drug"]).when(k["kind"] == "medical_term", LEAST["medical_term"]).otherwise(LEAST["general"]))
-    spans = slides.select("slide_id", F.col("clip").alias("s_clip"), w0.alias("w0"), w1.alias("w1"), keywords(F.col("quick_text")).alias("keys"))
-    spans = spans.select("slide_id", "s_clip", "w0", "w1", named(lambda k: ~is_long(k)).alias("exact"), named(is_long).alias("long"), least.alias("least"))
+    windows = windows.select("slide_id", "start_s", "end_s", "own_low", named(lambda k: ~is_long(k)).alias("exact"), named(is_long).alias("long"), least.alias("least"), named(lambda k: F.lit(True)).alias("names"))
+    spans = slides.select("slide_id", F.col("clip").alias("s_clip"), w0.alias("w0"), w1.alias("w1"))
     low = F.lower("text")
     cue = lambda parts: T.any_contains(low, parts).cast("double")
     hints = [F.when(T.any_contains(low, [h.lower() for h in parts]), F.lit(name)) for name, parts in (domains or {}).items()]
     texts = segments.select("clip", "seg_idx", "start_ms", "end_ms", low.alias("low"), exact_marks(F.col("text")).alias("marks"), cue(T.EMPHASIS).alias("e"), cue(T.CONFUSION).alias("c"), F.size(T.words(F.col("text"), r"\S+")).alias("n"), F.array_compact(F.array(*hints)).cast("array<string>").alias("about"))
     pairs = interval_join(spans, texts, [("s_clip", "clip")], ("w0", "w1"), ("start_ms", "end_ms"), 60_000)
-    pairs = pairs.select("slide_id", "e", "c", "n", "about", F.concat(F.array_intersect("exact", "marks"), heard("long", "least", "low")).alias("hit"))
-    gathered = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
-    said = pairs.groupBy("slide_id").agg(F.avg("e").alias("emphasis"), F.avg("c").alias("confusion"), F.sum("n").alias("n_words"), F.count(F.lit(1)).alias("n_segments"), gathered("hit").alias("hit"), gathered("about").alias("about"))
-    rows = windows.join(said, "slide_id", "left")
+    pairs = pairs.select(F.col("slide_id").alias("_slide"), "seg_idx", "e", "c", "n", "about", "marks", "low")
     none = F.array().cast("array<string>")
-    all_keys = named(lambda k: F.lit(True))
-    rows = rows.withColumns({"names": all_keys, "hits": F.array_intersect(all_keys, F.coalesce("hit", none))})
+    # keywords are found once; the join and the sums below share one exchange by slide
+    met = windows.join(pairs, F.col("slide_id") == F.col("_slide"), "left")
+    met = met.withColumn("hit", F.concat(F.coalesce(F.array_intersect("exact", "marks"), none), F.coalesce(heard("long", "least", "low"), none)))
+    gathered = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    own = [F.first(c).alias(c) for c in ("start_s", "end_s", "own_low", "names")]
+    rows = met.groupBy("slide_id").agg(*own, F.avg("e").alias("emphasis"), F.avg("c").alias("confusion"), F.sum("n").alias("n_words"), F.count("seg_idx").alias("n_segments"), gathered("hit").alias("hit"), gathered("about").alias("about"))
+    rows = rows.withColumn("hits", F.array_intersect("names", "hit"))
     plain = lambda names: F.transform(names, lambda x: F.when(F.startswith(x, F.lit("=")), F.right(x, F.length(x) - 1)).otherwise(x))
     n, h = F.size("names"), F.size("hits")
     density = F.when(n > 0, h / n).otherwise(0.0)
