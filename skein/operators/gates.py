@@ -150,10 +150,12 @@ def ordering(files: DataFrame, by: str) -> DataFrame:
 
 
 def bracketed(files: DataFrame, by: str, serial: str, at: str) -> DataFrame:
-    """``files`` with ``after`` and ``before``: for one without a time, the times of the nearest timed files by serial number."""
-    w = Window.partitionBy(by).orderBy(serial)
-    earlier = F.last(at, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    later = F.first(at, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    """``files`` with ``after`` and ``before``: for one without a time, the times of the nearest timed files by serial number.
+
+    Both look backwards, the second in the opposite order: a frame to the group's end is read anew for every row.
+    """
+    near = lambda order: F.last(at, ignorenulls=True).over(Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    earlier, later = near(F.col(serial).asc_nulls_first()), near(F.col(serial).desc_nulls_last())
     return files.withColumns({"after": F.when(F.col(at).isNull(), earlier), "before": F.when(F.col(at).isNull(), later)})
 
 

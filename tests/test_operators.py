@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from skein.functions import text as T
 from skein.functions.citations import citations, parse_group
 from skein.functions.fuzzy import common_length, partial, reaches
-from skein.operators import folds, match, rules
+from skein.operators import folds, gates, match, rules
 from skein.operators import sequences as S
 from skein.operators.intervals import interval_join
 from skein.plans.timeline import replace_segments
@@ -241,6 +241,22 @@ def test_resegmented_words_are_the_greedy_loop(spark):
     assert folds.resegment(got.limit(0).selectExpr("clip", "piece seg_idx", "piece pos", "text word", "start", "end")).count() == 0
 
 
+def test_bracketing_looks_backwards_only(spark):
+    """Against a plain loop; no frame reaches to a group's end, which Spark reads anew for every row."""
+    draw = random.Random(5)
+    rows = [(by, k, draw.choice([None, None, 10 * k + draw.randint(0, 9)])) for by in [None, 1, 2] for k in range(40)] + [(3, 0, None), (4, 0, 7), (5, None, 1), (5, 2, None)]
+    serial = lambda r: (r[1] is not None, r[1] or 0)
+    want = set()
+    for by, k, at in rows:
+        timed = sorted((r for r in rows if r[0] == by and r[2] is not None), key=serial)
+        earlier, later = [r[2] for r in timed if serial(r) < serial((by, k))], [r[2] for r in timed if serial(r) > serial((by, k))]
+        want.add((by, k, at, *((earlier or [None])[-1:] + (later or [None])[:1] if at is None else [None, None])))
+    draw.shuffle(rows)
+    got = gates.bracketed(spark.createDataFrame(rows, "by long, serial long, at long"), "by", "serial", "at")
+    assert set(map(tuple, got.collect())) == want and len(want) == len(rows)
+    assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
+
+
 def test_pieces_are_cut_in_one_pass_over_batches(spark):
     """Pieces run across Arrow batches, clips share them, a clip or word without value is not lost; no call per sentence, no join."""
     draw, rows, want = random.Random(21), [], []
