@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,19 +15,29 @@ from skein.operators.sequences import first_wins
 HASH_BITS, SAME = 64, 6
 
 
-def parts(text: Column) -> Column:
-    """The distinct parts of one, two and three characters of a text."""
-    every = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in (1, 2, 3)]
+#: Lengths of the heads by which names meet texts, and bytes of names up to which they are broadcast.
+HEADS, BROADCAST_NAMES = (1, 2, 3, 6, 12, 24, 48, 96), 16_000_000
+
+
+def parts(text: Column, lengths: Iterable[int] = (1, 2, 3)) -> Column:
+    """The distinct parts of one, two and three characters of a text, or of other ``lengths``."""
+    every = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]
     return F.array_distinct(F.concat(*every))
 
 
 def contained(rows: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
-    """(key, name, at) of the names found in each row's short text, by equi-join on a name's first three characters.
+    """(key, name, at) of the names found in each row's short text, by equi-join on a name's head.
 
-    A shorter name is its own head. An empty name is found nowhere.
+    The head is the longest of ``HEADS`` that the name fills, so a name that meets a text in vain shares half of
+    itself (or 96 characters) with it; texts give parts of the lengths in use only. An empty name is found nowhere.
+    The names' bytes are summed first: up to ``BROADCAST_NAMES`` they are broadcast, beyond both sides are
+    shuffled. The parts are many times the rows, which Spark's estimate doesn't see: they must never be broadcast.
     """
-    heads = names.where("name <> ''").select("name", F.left("name", F.lit(3)).alias("g"))
-    met = rows.select(key, text, F.explode(parts(F.col(text))).alias("g")).join(heads, "g")
+    n = reduce(lambda longer, h: longer.when(F.length("name") >= h, h), reversed(HEADS[:-1]), F.when(F.length("name") >= HEADS[-1], HEADS[-1]))
+    heads = names.where("name <> ''").select("name", F.left("name", n).alias("g"))
+    used = heads.groupBy(F.length("g").alias("n")).agg(F.sum(F.octet_length("name") + F.octet_length("g") + 64).alias("bytes")).collect()
+    cut = rows.select(key, text, F.explode(parts(F.col(text), sorted(r.n for r in used) or HEADS[:1])).alias("g"))
+    met = cut.join(F.broadcast(heads), "g") if sum(r.bytes for r in used) <= BROADCAST_NAMES else cut.hint("merge").join(heads, "g")
     return met.select(key, "name", F.expr(f"locate(name, {text})").alias("at")).where("at > 0")
 
 

@@ -164,8 +164,8 @@ def substring_ordered_collect(spark, folder):
     part = table(spark, folder, "part").select("p_partkey", F.concat_ws(" / ", "p_type", "p_name", "p_brand").alias("time"), "p_name")
     names = part.select(F.explode(F.split("p_name", " ")).alias("name")).distinct()
     met = M.contained(part, "p_partkey", "time", names).select("p_partkey", F.struct("at", "name").alias("x"))
-    found = met.groupBy("p_partkey").agg(F.array_join(F.array_sort(F.collect_list("x")).getField("name"), ",").alias("clips"))
-    return part.select("p_partkey").join(found, "p_partkey", "left").select("p_partkey", F.coalesce("clips", F.lit("")).alias("clips"))
+    rows = met.unionByName(part.select("p_partkey", F.lit(None).cast(met.schema["x"].dataType).alias("x")))  # a row without names has its key
+    return rows.groupBy("p_partkey").agg(F.array_join(F.array_sort(F.collect_list("x")).getField("name"), ",").alias("clips"))
 
 
 @query(

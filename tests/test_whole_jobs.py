@@ -2,7 +2,10 @@
 
 import random
 
-from skein.plans import grounding, timeline
+import pytest
+
+from skein.operators import match
+from skein.plans import grounding, matching, timeline
 
 
 def lev(a, b):
@@ -42,3 +45,22 @@ def test_interleave_carries_whole_speech_and_six_lines(spark, tmp_path):
     got = {(r.kind, r.pos): r.text for r in timeline.time_interleave(spark, str(tmp_path)).collect()}
     lines = lambda t: " / ".join(t.strip().splitlines()[:6])
     assert got == {(0, 0): lines(page), (0, 1): "", (0, 2): "one", (1, 0): talk, (1, 1): "short"}
+
+
+@pytest.mark.parametrize("limit", [match.BROADCAST_NAMES, 0])
+def test_names_meet_texts_and_the_parts_of_texts_stay_off_the_driver(spark, tmp_path, monkeypatch, limit):
+    """Names of all head lengths, by both ways; Spark's estimate must not have it broadcast what the texts are cut into."""
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choices("ab#é𝄞", k=draw.choice([1, 2, 3, 4, 5, 6, 7, 13, 30, 130])))
+    rows = [(k, " ".join(word() for _ in range(draw.randint(0, 3))), draw.choice(["a#b", "", "éé"]), draw.choice(["bab", "aaaaaaaa", "𝄞"])) for k in range(120)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    names = {w for _, name, _, _ in rows for w in name.split(" ") if w}
+    want = {}
+    for k, name, brand, kind in rows:
+        text = f"{kind} / {name} / {brand}"
+        want[k] = ",".join(w for _, w in sorted((text.find(w), w) for w in names if w in text))
+    monkeypatch.setattr(match, "BROADCAST_NAMES", limit)
+    got = matching.substring_ordered_collect(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and plan.count("BroadcastExchange") == (limit > 0)
+    assert {r.p_partkey: r.clips for r in got.collect()} == want
