@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,8 +15,8 @@ from skein.operators.sequences import first_wins
 HASH_BITS, SAME = 64, 6
 
 
-#: Lengths of the heads by which names meet texts, and bytes of names up to which they are broadcast.
-HEADS, BROADCAST_NAMES = (1, 2, 3, 6, 12, 24, 48, 96), 16_000_000
+#: Lengths of the heads by which names meet texts; names of one head beyond which heads of up to so many other lengths are taken; bytes of names up to which they are broadcast.
+HEADS, CROWD, LENGTHS, BROADCAST_NAMES = (1, 2, 3, 6, 12, 24, 48, 96), 16, 32, 16_000_000
 
 
 def parts(text: Column, lengths: Iterable[int] = (1, 2, 3)) -> Column:
@@ -28,16 +28,28 @@ def parts(text: Column, lengths: Iterable[int] = (1, 2, 3)) -> Column:
 def contained(rows: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
     """(key, name, at) of the names found in each row's short text, by equi-join on a name's head.
 
-    The head is the longest of ``HEADS`` that the name fills, so a name that meets a text in vain shares half of
-    itself (or 96 characters) with it; texts give parts of the lengths in use only. An empty name is found nowhere.
+    The head is the longest of ``HEADS`` that the name fills; where many names share one, the lengths of the names
+    themselves are taken (each length, while there are up to ``LENGTHS``), so that a name meets few texts in vain. Texts
+    give parts of the lengths in use only. An empty name is found nowhere.
     The names' bytes are summed first: up to ``BROADCAST_NAMES`` they are broadcast, beyond both sides are
     shuffled. The parts are many times the rows, which Spark's estimate doesn't see: they must never be broadcast.
     """
-    n = reduce(lambda longer, h: longer.when(F.length("name") >= h, h), reversed(HEADS[:-1]), F.when(F.length("name") >= HEADS[-1], HEADS[-1]))
-    heads = names.where("name <> ''").select("name", F.left("name", n).alias("g"))
-    used = heads.groupBy(F.length("g").alias("n")).agg(F.sum(F.octet_length("name") + F.octet_length("g") + 64).alias("bytes")).collect()
-    cut = rows.select(key, text, F.explode(parts(F.col(text), sorted(r.n for r in used) or HEADS[:1])).alias("g"))
-    met = cut.join(F.broadcast(heads), "g") if sum(r.bytes for r in used) <= BROADCAST_NAMES else cut.hint("merge").join(heads, "g")
+    named = names.where("name <> ''")
+
+    def headed(lengths: Sequence[int]) -> DataFrame:
+        n = reduce(lambda longer, h: longer.when(F.length("name") >= h, h), lengths[-2::-1], F.when(F.length("name") >= lengths[-1], lengths[-1]))
+        return named.select("name", F.left("name", n).alias("g"))
+
+    heads = headed(HEADS)
+    groups = heads.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("name") + F.octet_length("g") + 64).alias("bytes"))
+    known = groups.agg(F.max("n").alias("most"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.collect_set(F.length("g")).alias("used")).first()
+    used = sorted(known.used) or HEADS[:1]
+    if known.most and known.most > CROWD:
+        every = sorted(r.n for r in named.select(F.length("name").alias("n")).distinct().collect())
+        used = every[:: -(-len(every) // LENGTHS)]
+        heads = headed(used)
+    cut = rows.select(key, text, F.explode(parts(F.col(text), used)).alias("g"))
+    met = cut.join(F.broadcast(heads), "g") if known.bytes <= BROADCAST_NAMES else cut.hint("merge").join(heads, "g")
     return met.select(key, "name", F.expr(f"locate(name, {text})").alias("at")).where("at > 0")
 
 

@@ -64,3 +64,15 @@ def test_names_meet_texts_and_the_parts_of_texts_stay_off_the_driver(spark, tmp_
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BuildLeft" not in plan and plan.count("BroadcastExchange") == (limit > 0)
     assert {r.p_partkey: r.clips for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("lengths", [match.LENGTHS, 2])
+def test_names_that_begin_alike_meet_few_texts_in_vain(spark, monkeypatch, lengths):
+    """300 names share a head of six; each meets the texts that hold its own length of it, and none is lost with fewer lengths."""
+    names = [f"ring#1{k}" for k in range(300)] + ["r", "ring", "g#1"]
+    texts = [(k, f"x ring#1{k} y") for k in range(300)]
+    monkeypatch.setattr(match, "LENGTHS", lengths)
+    got = match.contained(spark.createDataFrame(texts, "k long, t string"), "k", "t", spark.createDataFrame([(n,) for n in names], "name string"))
+    assert set(map(tuple, got.collect())) == {(k, n, t.find(n) + 1) for k, t in texts for n in names if n in t}
+    plan = got._jdf.queryExecution().toString()
+    assert lengths == 2 or all(f"{{{n}}}" in plan for n in {len(n) for n in names})
